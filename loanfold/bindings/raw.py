@@ -448,6 +448,49 @@ RAW = {
         o_orderdate + INTERVAL 7 DAY AS dateperformed, o_orderdate AS lastmodifiedon, 1 AS isactive FROM {orders} WHERE o_orderkey % 4 <> 3""",
 }
 
+# Silver tables as the operators read them, derived the same way.
+RAW |= {
+    "slv_loan_details": """
+        SELECT o_orderkey AS loan_application_id, CASE WHEN o_orderkey % 50 <> 49 THEN o_custkey % 26 END AS branch_id,
+               o_custkey % 50 AS sales_officer_emp_id, CAST(o_orderdate AS DATE) AS login_date,
+               o_orderdate + INTERVAL 15 DAY AS last_sanction_date, o_orderdate + INTERVAL 30 DAY AS last_booked_date,
+               o_orderdate + INTERVAL 20 DAY AS first_disbursal_date, o_orderdate + INTERVAL 50 DAY AS last_disbursal_date,
+               CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_totalprice * 0.6 AS DECIMAL(18,2)) END AS total_disbursed_amount,
+               o_orderkey % 23 AS loan_purpose_id, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 3 = 1 THEN 0 END AS is_actually_fully_disbursed,
+               CASE o_orderstatus WHEN 'F' THEN 189 WHEN 'O' THEN 190 ELSE 199 END AS loanstatus_typedetail_id,
+               CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_custkey % 100 AS DECIMAL(10,4)) END AS final_foir_pct,
+               o_orderkey % 17 = 0 AS is_employee_loan FROM {orders} WHERE o_orderkey % 40 <> 39""",
+    "slv_contract_perf_monthly": """
+        SELECT loanmonthlyid AS loan_monthly_id, loanapplicationid AS loan_application_id, make_date(summaryyear, summarymonth, 1) AS snapshot_date,
+               pos, maxdeliquencyday AS max_dpd, isnpa AS is_npa, dueinterest AS due_interest, dueprinciple AS due_principal
+        FROM {tblloanmonthly} WHERE isactive = 1""",
+    "slv_customer": """
+        SELECT o_orderkey AS loan_application_id, CASE WHEN o_orderkey % 60 <> 59 THEN o_custkey END AS entity_id, TRUE AS is_main_applicant,
+               o_orderdate AS record_modified_at, o_custkey % 9 AS income_considered FROM {orders} WHERE o_orderkey % 7 <> 6
+        UNION ALL
+        SELECT o_orderkey, o_custkey + 1, FALSE, o_orderdate + INTERVAL 9 DAY, 77 FROM {orders} WHERE o_orderkey % 3 = 0""",
+    "slv_asset": """
+        SELECT o_orderkey AS loan_application_id, CASE o_orderkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS is_negative_area
+        FROM {orders} WHERE o_orderkey % 5 <> 4
+        UNION ALL SELECT o_orderkey, o_custkey % 2 = 0 FROM {orders} WHERE o_orderkey % 4 = 0""",
+    "slv_employee": """
+        SELECT s_suppkey AS employee_id, CAST(s_nationkey AS INT) AS base_branch_id, s_suppkey % 9 <> 8 AS is_active,
+               CASE s_suppkey % 6 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'n' WHEN 2 THEN ' false' END AS is_resigned,
+               CASE s_suppkey % 3 WHEN 0 THEN 'Fos' WHEN 1 THEN 'clerk' END AS designation_name FROM {supplier}
+        UNION ALL
+        SELECT s_suppkey, CAST(s_nationkey AS INT), s_suppkey % 9 <> 8, NULL, 'Fos' FROM {supplier} WHERE s_suppkey % 6 > 2 AND s_suppkey % 3 = 0""",
+    "slv_channel_partner": """SELECT s_suppkey AS dsa_id, CASE WHEN s_suppkey % 8 <> 7 THEN CAST(s_nationkey AS BIGINT) END AS base_location_branch_id FROM {supplier}""",
+    "slv_early_warning": """
+        SELECT o_orderkey + 1 AS ews_id, CAST(o_orderkey AS VARCHAR(20)) AS loan_application_id, DATE '1998-05-31' AS signal_date,
+               'MONTH_END' AS snapshot_type, CAST(o_custkey % 60 AS INT) AS ews_risk_score FROM {orders} WHERE o_orderkey % 5 < 3
+        UNION ALL
+        SELECT o_orderkey, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-04-30', 'MONTH_END', 99 FROM {orders} WHERE o_orderkey % 5 < 4
+        UNION ALL
+        SELECT o_orderkey, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-06-15', 'CURRENT_DAY', 1 FROM {orders} WHERE o_orderkey % 5 = 0
+        UNION ALL
+        SELECT o_orderkey, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-06-30', 'MONTH_END', 2 FROM {orders} WHERE o_orderkey % 10 = 3""",
+}
+
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -459,12 +502,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def load(name: str) -> DataFrame:
         text = RAW[name]
         used = {s: source(spark, sf_dir, s) for s in SOURCES if "{" + s + "}" in text}
+        used |= {n: tables[n] for n in RAW if "{" + n + "}" in text}
         return spark.sql(text, **used)
 
-    return Tables(load)
+    tables = Tables(load)
+    return tables
 
 
 def raw_sql(*names: str) -> str:
     """The named raw tables as leading SQL clauses: 'WITH a AS (...), b AS (...)'."""
-    plain = {s: s for s in SOURCES}
+    plain = {s: s for s in (*SOURCES, *RAW)}
     return "WITH " + ",\n".join(f"{n} AS (\n{RAW[n].format(**plain)})" for n in names)

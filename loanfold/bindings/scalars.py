@@ -41,7 +41,7 @@ def _(t):
 
 
 @query("f4_join_name", f"""
-    SELECT c_custkey, NULLIF(array_to_string(list_filter([TRIM(a), TRIM(b), TRIM(c)], x -> x IS NOT NULL AND x <> ''), ' '), '') AS full_name
+    SELECT c_custkey, NULLIF(array_to_string(list_filter([TRIM(a), TRIM(b), TRIM(c)], lambda x: x IS NOT NULL AND x <> ''), ' '), '') AS full_name
     FROM ({_NAME_SQL})""")
 def _(t):
     return _names(t).select("c_custkey", text.join_name("a", "b", "c").alias("full_name"))
@@ -100,9 +100,9 @@ def _(t):
     return t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", F.least(F.col("l_quantity").cast("int") * 3, F.lit(100)).alias("score"))
 
 
-@query("f14_round", "SELECT l_orderkey, l_partkey, ROUND(l_extendedprice / l_quantity, 2) AS unit_price FROM lineitem")
+@query("f14_round", "SELECT l_orderkey, l_partkey, CAST(ROUND(CAST(l_extendedprice AS DECIMAL(18,2)), 1) AS DOUBLE) AS price FROM lineitem")
 def _(t):
-    return t["lineitem"].select("l_orderkey", "l_partkey", F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"))
+    return t["lineitem"].select("l_orderkey", "l_partkey", F.round(F.col("l_extendedprice").cast("decimal(18,2)"), 1).alias("price"))
 
 
 @query("f15_run_date", """
@@ -220,7 +220,7 @@ def _(t):
 
 
 @query("f32_fallback_factor", """
-    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * (CASE WHEN sell IS NULL OR sell = 0 THEN COALESCE(own, 100) ELSE sell END) / 100 AS DOUBLE) AS pos
+    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * (CASE WHEN sell IS NULL OR sell = 0 THEN COALESCE(own, 100) ELSE sell END) * 0.01 AS DOUBLE) AS pos
     FROM (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 4 * 25 - 25 END AS sell,
                  CASE WHEN o_orderkey % 3 <> 0 THEN 40 END AS own FROM orders)""")
 def _(t):
