@@ -65,5 +65,10 @@ def snapshot_type(day: date) -> str:
     return "MONTH_END" if day == last_day_of_month(day) else "CURRENT_DAY"
 
 
+def moment(ts: datetime) -> Column:
+    """A point in time as the session's time zone reads it."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp")
+
+
 def batch_id(run_ts: datetime, separator: str = "_") -> Column:
-    return F.date_format(F.lit(run_ts), f"yyyyMMdd'{separator}'HHmmss" if separator else "yyyyMMddHHmmss")
+    return F.date_format(moment(run_ts), f"yyyyMMdd'{separator}'HHmmss" if separator else "yyyyMMddHHmmss")

@@ -5,7 +5,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.dates import batch_id, months_before
+from ..functions.dates import batch_id, moment, months_before
 from ..operators.history import RETENTION_MONTHS, SNAPSHOT_KEY, new_rows
 
 
@@ -84,5 +84,5 @@ def layout(df: DataFrame, key: str, sort_keys: Sequence[str] = (), partitions: i
 
 def audit_stamp(df: DataFrame, run_ts: datetime, prefix: str = "silver", separator: str = "_") -> DataFrame:
     """Load time and batch id of the run."""
-    return df.select("*", F.lit(run_ts).alias(f"{prefix}_loaded_at"),
+    return df.select("*", moment(run_ts).alias(f"{prefix}_loaded_at"),
                      batch_id(run_ts, separator).alias(f"{prefix}_batch_id"))
