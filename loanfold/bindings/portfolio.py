@@ -87,11 +87,12 @@ def _(t):
 
 @query("c6_latest_risk", """
     SELECT a.applicantid, a.loanapplicationid, a.lastmodifiedon, COALESCE(r.risktypedetailid, a.risktypedetailid) AS risk, d.typedetaildescription AS current_risk
-    FROM tblapplicant a LEFT JOIN (SELECT applicantid, risktypedetailid FROM tblapplicantrisk WHERE isactive = 1
+    FROM (SELECT * FROM tblapplicant QUALIFY ROW_NUMBER() OVER (PARTITION BY applicantid ORDER BY lastmodifiedon DESC NULLS LAST) = 1) a
+    LEFT JOIN (SELECT applicantid, risktypedetailid FROM tblapplicantrisk WHERE isactive = 1
         QUALIFY ROW_NUMBER() OVER (PARTITION BY applicantid ORDER BY reevaluatedon DESC) = 1) r ON r.applicantid = a.applicantid
     LEFT JOIN tbltypedetail d ON d.typedetailid = COALESCE(r.risktypedetailid, a.risktypedetailid)""")
 def _(t):
-    rows = t.raw["tblapplicant"].select("applicantid", "loanapplicationid", "lastmodifiedon", "risktypedetailid")
+    rows = newest_per_key(t.raw["tblapplicant"], "applicantid", "lastmodifiedon", carry=["loanapplicationid", "risktypedetailid"])
     rows = customers.latest_risk(rows, t.raw["tblapplicantrisk"]).withColumnRenamed("current_risktypedetailid", "risk")
     dim = dimension(t.raw["tbltypedetail"], "typedetailid", ["typedetaildescription"])
     return attach(rows, dim, ("risk", "typedetailid"), {"current_risk": "typedetaildescription"}).drop("risktypedetailid")

@@ -27,10 +27,12 @@ def attach(df: DataFrame, dim: DataFrame, on: tuple[str, str],
     on: (column of df, key of dim). take: new name -> column of dim.
     """
     left_col, key = on
-    side = dim.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_take_{n}") for n, c in take.items()])
-    joined = df.join(side, df[left_col] == side["_key"], "left")
-    kept = [df[c] for c in df.columns if c not in take]
-    return joined.select(*kept, *[F.col(f"_take_{n}").alias(n) for n in take])
+    taken = {name: f"_take_{name}" for name in take if name in df.columns}
+    side = dim.select(F.col(key).alias("_key"), *[F.col(c).alias(taken.get(n, n)) for n, c in take.items()])
+    joined = df.join(side, F.col(left_col) == F.col("_key"), "left").drop("_key")
+    if taken:
+        joined = joined.drop(*taken).withColumnsRenamed({alias: name for name, alias in taken.items()})
+    return joined
 
 
 def decode(df: DataFrame, types: DataFrame, labels: Mapping[str, str],

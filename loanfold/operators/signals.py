@@ -50,7 +50,8 @@ def dpd_trend(monthly: DataFrame, key: str = "loan_application_id", by: str = "s
     return last.select(key, trend_label("_m1", "_m2", "_m3").alias("dpd_trend_direction"))
 
 
-def entity_stress(members: DataFrame, worst: DataFrame, key: str, entity: str, value: str) -> DataFrame:
+def entity_stress(members: DataFrame, worst: DataFrame, key: str, entity: str, value: str,
+                  counted: DataFrame | None = None) -> DataFrame:
     """TRUE for a member when any member of its entity has a positive value.
 
     The maximum is taken per entity and joined back, so members are never paired with each other.
@@ -58,14 +59,15 @@ def entity_stress(members: DataFrame, worst: DataFrame, key: str, entity: str, v
     per_entity = members.filter(F.col(entity).isNotNull()).join(worst, key).groupBy(entity).agg(
         F.max(value).alias("_worst")
     )
-    joined = join_to_unique(members.select(key, entity), per_entity, entity, "inner")
+    joined = join_to_unique(members.select(key, entity), per_entity, entity, "inner", counted=counted)
     return joined.select(key, F.coalesce(F.col("_worst") > 0, F.lit(False)).alias("multi_loan_stress"))
 
 
 def multi_loan_stress(customers: DataFrame, monthly: DataFrame) -> DataFrame:
     """Any days past due among the loans of the main applicant's entity."""
     worst = monthly.groupBy("loan_application_id").agg(F.max("max_dpd").alias("max_dpd"))
-    return entity_stress(main_applicant(customers, ["entity_id"]), worst, "loan_application_id", "entity_id", "max_dpd")
+    members = main_applicant(customers, ["entity_id"])
+    return entity_stress(members, worst, "loan_application_id", "entity_id", "max_dpd", counted=customers)
 
 
 def negative_area_flag(assets: DataFrame, key: str = "loan_application_id", flag: str = "is_negative_area") -> DataFrame:

@@ -17,29 +17,28 @@ def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SAL
 
 
 def join_to_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                   rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                   counted: DataFrame | None = None, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Join many rows to a side that is unique on the key, with hot keys spread over several tasks.
 
     Only the heaviest keys are salted: their rows on the left are split by a hash of the row, and their
     single row on the right is repeated once per salt, so the copies number at most
-    rows(left) / rows_per_salt + MAX_HOT_KEYS. Rows with a NULL key are spread the same way. The cost is
-    one extra count over the key columns of the left side.
+    rows / rows_per_salt + MAX_HOT_KEYS. Rows with a NULL key are spread the same way.
+
+    counted: where to look for heavy keys, the left side by default. Any list of keys gives the right
+    result, so pass a plain scan with the key columns when left is costly to compute twice.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(left, on, rows_per_salt))
+    hot = F.broadcast(hot_keys(left if counted is None else counted, on, rows_per_salt))
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()
     row = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 20))
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
     salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(no_key, row).otherwise(F.pmod(row, F.coalesce(F.col("_salts"), F.lit(1)))).cast("int")
-    ).drop("_salts")
+        "_salt", F.when(no_key, row).otherwise(F.pmod(row, salts)).cast("int")).drop("_salts")
     salted_right = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    ).drop("_salts")
-    joined = salted_left.join(salted_right, [*on, "_salt"], how)
-    extra = [c for c in right.columns if c not in on]
-    return joined.select(*left.columns, *extra)
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def with_group_value(df: DataFrame, key, value, name: str) -> DataFrame:
