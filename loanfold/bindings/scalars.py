@@ -215,7 +215,7 @@ def _(t):
 def _(t):
     return t["lineitem"].select(
         "l_orderkey", "l_partkey", F.col("l_orderkey").cast("int").alias("as_int"), F.col("l_extendedprice").cast("decimal(18,2)").alias("as_decimal"),
-        F.col("l_suppkey").cast("string").alias("as_text"), F.col("l_returnflag").try_cast("int").alias("no_number"),
+        F.col("l_suppkey").cast("string").alias("as_text"), text.safe_int("l_returnflag").alias("no_number"),
         F.to_date("l_shipdate").cast("timestamp_ntz").alias("as_timestamp"))
 
 

@@ -43,14 +43,13 @@ _COLS, _JOINS = _labels({"loan_status": "statustypedetailid", "loan_scheme": "lo
                         "typedetaildisplaytext", "AND {a}.isactive = 1")
 for _n in ("loan_status", "loan_scheme", "interest_type"):
     _JOINS = _JOINS.replace("{a}", f"d_{_n}", 1)
-_APPLICATION = {n: c for n, c in loan_details.APPLICATION.items() if n != "purpose_code"}
 LOAN_DETAILS_SQL = _doubles("""
     requested_amount first_sanction_amount revised_sanction_amount sanctioned_emi total_disbursed_amount total_booked_amount total_insurance_amount
     first_booked_amount login_amount first_disbursed_amount current_roi sanction_ltv pending_cheque_handover_amount current_emi current_roi_pct
     foir_waiver ltv_waiver tenure_waiver lcr_waiver insr_waiver pos sell_pos base_rate_pct plr_spread_pct final_roi_pct waiver_roi_pct add_spread
     eligible_loan_amount proposed_emi income_considered obligation_considered property_value_considered final_foir_pct final_ltv_pct
     combined_ltv_pct insr_pct foir_norm ltv_norm dltv dltv_with_insurance dlcr dlcr_with_insurance combined_dltv combined_dlcr""", f"""
-    SELECT x.loanapplicationid AS loan_application_id, {_cols(_APPLICATION, "x")}, UPPER(TRIM(x.applicationnumber)) AS application_number,
+    SELECT x.loanapplicationid AS loan_application_id, {_cols(loan_details.APPLICATION, "x")}, UPPER(TRIM(x.applicationnumber)) AS application_number,
            x.isemployeeloan = 1 AS is_employee_loan, CAST(x.date AS DATE) AS application_date,
            {_cols(loan_details.DISBURSAL, "ds")}, CAST(ds.moratoriummonths AS INT) AS moratorium_months, TRIM(ds.fundingsouce) AS funding_source,
            {", ".join(f"CAST(ds.{c} AS DECIMAL(10,2)) AS {n}" for n, c in loan_details.DISBURSAL_RATIOS.items())},
@@ -97,14 +96,11 @@ def _name_sql(*parts: str) -> str:
 
 
 _OCCUPATION_KEY = "applicantid, loanapplicationid"
-_DIRECT = {n: c for n, c in customer.LABELS.items()
-           if c not in customer.OCCUPATION_CODES + customer.ADDRESS_CODES + ["kyc_status_code", "current_risktypedetailid"]}
-_COLS, _JOINS = _labels(_DIRECT)
-_SIDE = {n: ("occ" if c in customer.OCCUPATION_CODES else "ad" if c in customer.ADDRESS_CODES else None, c)
-         for n, c in customer.LABELS.items() if n not in _DIRECT}
-_SIDE["kyc_status"], _SIDE["current_risk"] = ("ks", "verifiedstatustypedetailid"), ("rk", "risk")
-_COLS += ", " + ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in _SIDE)
-_JOINS += "\n" + "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {a}.{c}" for n, (a, c) in _SIDE.items())
+_SIDES = {n: ("x", c) for n, c in customer.APPLICANT_LABELS.items()}
+_SIDES |= {n: ("occ", c) for n, c in customer.OCCUPATION_LABELS.items()} | {n: ("ad", c) for n, c in customer.ADDRESS_LABELS.items()}
+_SIDES |= {"kyc_status": ("ks", "verifiedstatustypedetailid"), "current_risk": ("rk", "risk")}
+_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in _SIDES)
+_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {a}.{c}" for n, (a, c) in _SIDES.items())
 CUSTOMER_SQL = _doubles("gross_income assessed_income total_existing_emi total_existing_loan_amt bt_loan_amount", f"""
     SELECT * EXCLUDE (_relation), CASE WHEN is_main_applicant THEN 'Self' ELSE _relation END AS relationship_to_main FROM (
     SELECT x.applicantid AS applicant_id, x.loanapplicationid AS loan_application_id, {_cols(customer.APPLICANT, "x")},
@@ -172,8 +168,9 @@ _PLACES = {"sur": asset.SURROUNDING, "ds": asset.DISBURSAL, "vet": asset.VETTING
            "tf": asset.TECH_FIRING, "val": asset.VALUATION}
 _PLAIN = ", ".join(_cols({n: c for n, c in columns.items() if not n.startswith("_")}, a) for a, columns in _PLACES.items())
 _OWNER = {code: (a, c) for a, columns in (*_PLACES.items(), ("x", asset.PROPERTY)) for code, c in columns.items()}
-_LABEL_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in asset.LABELS)
-_LABEL_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {_OWNER[code][0]}.{_OWNER[code][1]}" for n, code in asset.LABELS.items())
+_ASSET_LABELS = {**asset.PROPERTY_LABELS, **asset.LOAN_LABELS}
+_LABEL_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in _ASSET_LABELS)
+_LABEL_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {_OWNER[code][0]}.{_OWNER[code][1]}" for n, code in _ASSET_LABELS.items())
 _SEEN = "(sur.technicaladdress IS NOT NULL AND sur.technicaladdress <> '0')"
 _ADDRESS_TAIL = " || ".join(f"CASE WHEN COALESCE(TRIM(leg.{c}), '') = '' THEN '' ELSE ', ' || TRIM(leg.{c}) END" for c in asset.LEGAL_ADDRESS[1:])
 

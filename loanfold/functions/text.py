@@ -66,10 +66,10 @@ def safe_decimal(c, precision: int, scale: int, strip: str = "trim", whole: bool
     return F.when(text.rlike(form), text.try_cast(f"decimal({precision},{scale})"))
 
 
-def safe_int(c) -> Column:
-    """Digits-only text as an int, else NULL."""
+def safe_int(c, kind: str = "int") -> Column:
+    """Digits-only text as a whole number, else NULL. The guard also keeps failing casts off the hot path."""
     text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike(DIGITS_TEXT), text.try_cast("int"))
+    return F.when(text.rlike(DIGITS_TEXT), text.try_cast(kind))
 
 
 def signed_coordinate(c, negative_letter: str) -> Column:

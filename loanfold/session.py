@@ -24,21 +24,21 @@ def local_session(cpus: int = 8, name: str = "loanfold", memory: str = "8g") ->
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. On one machine, where it is unset, a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="loanfold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="loanfold-"))
+    return context.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and cut its lineage. Runs a job."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
