@@ -10,6 +10,7 @@ from ..functions.numbers import MONEY, count_if, money, money_sum, sum_if
 from ..functions.text import _col
 from .dedup import newest_per_key, one_per_key
 from .lookup import attach, decode, dimension
+from .skew import join_to_unique
 
 # Codes of the source system.
 RECEIPT_CLEARED = 219
@@ -105,11 +106,10 @@ def npa_flag(linked, own) -> Column:
 def last_sanctioner(underwriting: DataFrame, users: DataFrame, employees: DataFrame) -> DataFrame:
     """'name_code' of the employee behind the newest approved underwriting row of a loan."""
     employee = newest_per_key(employees, "entityid", "lastmodifiedon", carry=["employeename", "employeecode"])
-    user = dimension(users, "userid", ["entityid"])
+    user = dimension(users, "userid", ["entityid"]).join(employee.drop("lastmodifiedon"), "entityid")
+    person = user.select(F.col("userid").alias("createdby"), "employeename", "employeecode")
     approved = underwriting.filter(F.col("underwritingstatustypedetailid") == UNDERWRITING_APPROVED)
-    rows = approved.select("loanapplicationid", "createdby", "lastmodifiedon")
-    rows = rows.join(user, rows["createdby"] == user["userid"]).drop("userid")
-    rows = rows.join(employee.drop("lastmodifiedon"), "entityid")
+    rows = join_to_unique(approved.select("loanapplicationid", "createdby", "lastmodifiedon"), person, "createdby", "inner")
     newest = newest_per_key(rows, "loanapplicationid", "lastmodifiedon", carry=["employeename", "employeecode"])
     return newest.select("loanapplicationid",
                          F.concat("employeename", F.lit("_"), "employeecode").alias("last_sanction_by"))
@@ -120,7 +120,7 @@ def receipts_union(presentations: DataFrame, batches: DataFrame, receipts: DataF
     text = {"_mode": "typedetaildisplaytext"}
     labels = dimension(types, "typedetailid", ["typedetaildisplaytext"])
     batch = dimension(batches, "presentationid", ["presentationtypedetailid", "isrepresentation"], active_only=True)
-    presented = cleared_presentations(presentations).join(batch, "presentationid")
+    presented = join_to_unique(cleared_presentations(presentations), batch, "presentationid", "inner")
     presented = attach(presented, labels, ("presentationtypedetailid", "typedetailid"), text)
     again = F.coalesce(F.col("isrepresentation") == 1, F.lit(False))
     presented = presented.select(

@@ -33,13 +33,15 @@ def global_sequence(df: DataFrame, by: Sequence[str], name: str, start=0, partit
     )
 
 
-def ordered_list(df: DataFrame, key: str, value: str, name: str, separator: str = ",", slices: int = 32) -> DataFrame:
+def ordered_list(df: DataFrame, key: str, value: str, name: str, separator: str = ",",
+                 slices: int | None = None) -> DataFrame:
     """The values of a key as one text in ascending order.
 
     Values are range-partitioned by (key, value): a large key is sorted and joined slice by slice in
     several tasks, and the last step only concatenates the finished texts of a key.
     """
-    spread = df.filter(F.col(value).isNotNull()).repartitionByRange(slices, key, value)
+    listed = df.filter(F.col(value).isNotNull()).select(key, value)
+    spread = listed.repartitionByRange(slices, key, value) if slices else listed.repartitionByRange(key, value)
     pieces = (
         spread.select(key, value, F.spark_partition_id().alias("_slice"))
         .groupBy(key, "_slice")

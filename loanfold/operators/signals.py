@@ -154,7 +154,7 @@ def title_doc_delay(loans: DataFrame, documents: DataFrame, as_of: date) -> Data
         & (F.col("documentcategorydetailid") == TITLE_CATEGORY)
         & (F.col("documenttypedetailid") == TITLE_DOCUMENT_TYPE)
         & null_or_not_in("documentstatustypedetailid", TITLE_ACCEPTED)
-    ).select(F.col("loanapplicationid").alias("loan_application_id"))
+    ).select(F.col("loanapplicationid").alias("loan_application_id")).distinct()
     late = _active(loans).filter(F.col("first_disbursal_date") <= months_before(as_of, TITLE_MONTHS))
     return _raise(late.join(waiting, "loan_application_id", "left_semi"), "title_doc_delay_flag")
 
@@ -168,7 +168,7 @@ def fiscal_year_bounces(loans: DataFrame, charges: DataFrame, due_status: DataFr
     ).groupBy(F.col("loanapplicationid").alias("loan_application_id")).agg(F.count("chargedate").alias("_n"))
     in_sma1 = due_status.filter(F.col("deliquencybktdetailid") == SMA_1).select(
         F.col("loanapplicationid").alias("loan_application_id")
-    )
+    ).distinct()
     many = many.filter(F.col("_n") > BOUNCES_ALLOWED).join(in_sma1, "loan_application_id", "left_semi")
     return _raise(_active(loans).join(many, "loan_application_id", "left_semi"), "bounce_fy_sma1_flag")
 

@@ -71,15 +71,14 @@ def drop_expired(spark: SparkSession, table: str, column: str, as_of: date, mont
     return len(expired)
 
 
-def layout(df: DataFrame, key: str, sort_keys: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """Bring the rows of a key together and sort them, splitting a key that is too large for one file.
+def layout(df: DataFrame, key: str, sort_keys: Sequence[str] = ()) -> DataFrame:
+    """Bring the rows of a key together and sort them, for writing.
 
-    Ranges over (key, sort keys) keep equal keys in neighbouring files and give each file a narrow
-    range of the key, which file statistics can skip.
+    Rebalancing lets Spark merge small partitions and split one that a large key has blown up, and it
+    needs no sampling pass over df.
     """
     order = list(dict.fromkeys([key, *sort_keys]))
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order)
+    return df.hint("rebalance", F.col(key)).sortWithinPartitions(*order)
 
 
 def audit_stamp(df: DataFrame, run_ts: datetime, prefix: str = "silver", separator: str = "_") -> DataFrame:

@@ -71,11 +71,14 @@ def test_retention_drops_whole_partitions(spark, database):
     assert left < days
 
 
-def test_tables_are_sorted_ranges_of_their_key(spark, database):
-    files = spark.table(f"{database}.slv_loan_details").select("loan_application_id", F.input_file_name().alias("f"))
-    ranges = sorted(tuple(r) for r in files.groupBy("f").agg(F.min("loan_application_id"), F.max("loan_application_id")).select(
-        "min(loan_application_id)", "max(loan_application_id)").collect())
-    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+def test_layout_sorts_files_and_keeps_keys_together(spark, tmp_path):
+    rows = spark.range(20_000).select((F.col("id") % 500).alias("k"), (F.col("id") * 7919 % 20_011).alias("v"))
+    sinks.layout(rows, "k", ["v"]).write.option("maxRecordsPerFile", 0).parquet(str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t")).withColumn("f", F.input_file_name())
+    assert back.groupBy("k").agg(F.count_distinct("f").alias("n")).filter("n > 1").count() == 0
+    for path in [r.f for r in back.select("f").distinct().collect()]:
+        got = [(r.k, r.v) for r in spark.read.parquet(path).collect()]
+        assert got == sorted(got)
 
 
 def test_tables_by_folder_have_lower_case_names(spark, tmp_path):
