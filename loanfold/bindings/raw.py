@@ -16,7 +16,7 @@ RUN_TS = datetime(1998, 6, 30, 18, 30, 15)
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # The schedule id is made from the columns that identify a lineitem; event days move to around 1 April 1998.
-_PS = "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
+_PS = "(((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 400 + dayofyear(l_shipdate)"
 _TS = "ts - INTERVAL 9420 DAY"
 
 RAW = {
@@ -492,16 +492,17 @@ RAW |= {
 }
 
 
-def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables.from_folder(spark, sf_dir, ".parquet")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
+def raw_tables(spark: SparkSession, sf_dir: str, sources: Tables | None = None) -> Tables:
     """The derived raw tables as Spark frames, each built when first used."""
+    sources = sources or source_tables(spark, sf_dir)
 
     def load(name: str) -> DataFrame:
         text = RAW[name]
-        used = {s: source(spark, sf_dir, s) for s in SOURCES if "{" + s + "}" in text}
+        used = {s: sources[s] for s in SOURCES if "{" + s + "}" in text}
         used |= {n: tables[n] for n in RAW if "{" + n + "}" in text}
         return spark.sql(text, **used)
 

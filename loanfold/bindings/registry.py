@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
 from ..sources.tables import Tables
-from .raw import RAW, raw_sql, raw_tables, source
+from .raw import RAW, raw_sql, raw_tables, source_tables
 
 
 class Inputs:
@@ -16,10 +16,11 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.raw: Tables = raw_tables(spark, sf_dir)
+        self.sources: Tables = source_tables(spark, sf_dir)
+        self.raw: Tables = raw_tables(spark, sf_dir, self.sources)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return source(self.spark, self.sf_dir, name)
+        return self.sources[name]
 
 
 class Query(NamedTuple):
