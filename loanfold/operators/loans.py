@@ -12,6 +12,7 @@ from .dedup import newest_per_key
 from .lookup import attach, dimension
 from .sequence import ordered_list
 
+# Texts of the source system.
 INSTALMENT = "EMI"
 SANCTION = "sanction"
 

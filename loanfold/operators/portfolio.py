@@ -34,6 +34,7 @@ BUCKET_COUNTS = {
     "doubtful3_count": "Doubtful 3 (D3)",
 }
 
+# Code and designation of the source system.
 DISBURSAL_CANCELLED = 1619
 FIELD_OFFICER = "FOS"
 

@@ -8,6 +8,7 @@ from ..operators.receipts import attach_receipts, instalment_payments, receipts_
 from ..sources.tables import Tables
 from .common import renamed
 
+# Output name -> source column.
 REPAYMENT = {
     "pay_schedule_id": "payscheduleid", "loan_application_id": "loanapplicationid", "head": "head",
     "due_date": "duedate", "due_amount": "dueamount", "principal": "principal", "interest": "interst",
