@@ -32,7 +32,7 @@ def newest_per_key(df: DataFrame, keys, by, carry: Sequence[str] = (), ties: Seq
     """The n newest rows per key.
 
     by: one or more columns, newest first. carry: the columns to keep besides keys and by (all when
-    empty). ties: columns that settle equal rows, largest first; the carried columns by default, so the
+    empty; name them on wide tables, so that only they are read and shuffled). ties: columns that settle equal rows, largest first; the carried columns by default, so the
     result never depends on input order. A NULL in by loses unless nulls='first'.
     """
     keys, by = _names(keys), _names(by)

@@ -120,7 +120,10 @@ def receipts_union(presentations: DataFrame, batches: DataFrame, receipts: DataF
     text = {"_mode": "typedetaildisplaytext"}
     labels = dimension(types, "typedetailid", ["typedetaildisplaytext"])
     batch = dimension(batches, "presentationid", ["presentationtypedetailid", "isrepresentation"], active_only=True)
-    presented = join_to_unique(cleared_presentations(presentations), batch, "presentationid", "inner")
+    presented = cleared_presentations(presentations).select(
+        "loanapplicationid", "presentationdetailid", "presentationid", "isknockoff", "pdcachdate", "pdcachamount",
+        "chequerefrenceno")
+    presented = join_to_unique(presented, batch, "presentationid", "inner")
     presented = attach(presented, labels, ("presentationtypedetailid", "typedetailid"), text)
     again = F.coalesce(F.col("isrepresentation") == 1, F.lit(False))
     presented = presented.select(

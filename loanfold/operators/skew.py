@@ -26,6 +26,7 @@ def join_to_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
     counted: where to look for heavy keys, the left side by default. Any list of keys gives the right
     result, so pass a plain scan with the key columns when left is costly to compute twice.
+    Select the wanted columns of left first: the salt is a hash of the whole row.
     """
     on = [on] if isinstance(on, str) else list(on)
     hot = F.broadcast(hot_keys(left if counted is None else counted, on, rows_per_salt))
