@@ -81,7 +81,7 @@ SMA2_SQL = f"""SELECT loan_application_id, TRUE AS active_sma2_flag FROM slv_loa
 
 @query("c30_active_sma2", SMA2_SQL)
 def _(t):
-    return signals.active_sma2(t.raw["slv_loan_details"], _buckets(t))
+    return signals.active_sma2(t.raw["slv_loan_details"], _buckets(t), AS_OF)
 
 
 ACH_SQL = f"""
@@ -93,7 +93,7 @@ ACH_SQL = f"""
 
 @query("c31_ach_not_registered", ACH_SQL)
 def _(t):
-    return signals.ach_not_registered(t.raw["slv_loan_details"], t.raw["tblloanapplicationach"], _buckets(t))
+    return signals.ach_not_registered(t.raw["slv_loan_details"], t.raw["tblloanapplicationach"], _buckets(t), AS_OF)
 
 
 CONSTRUCTION_SQL = f"""

@@ -13,6 +13,8 @@ from .customers import main_applicant
 from .receipts import BOUNCE_CHARGE, LOAN_ACTIVE, active_loans, past_due
 from .skew import join_to_unique
 
+LOAN = "loan_application_id"
+
 # Codes of the source system.
 SMA_1, SMA_2, NPA = 2570, 2571, 2572
 MANDATE_REGISTERED = 1991
@@ -84,24 +86,15 @@ def bucket_flags(monthly: DataFrame, latest_month_only: bool = False) -> DataFra
         rows = newest_per_key(rows, "loanapplicationid", ["summaryyear", "summarymonth"],
                               carry=["deliquencybktdetailid"])
     code = F.col("deliquencybktdetailid")
-    return rows.groupBy("loanapplicationid").agg(
+    return rows.groupBy(F.col("loanapplicationid").alias(LOAN)).agg(
         any_true(code == SMA_1).alias("in_sma1"),
         any_true(code == SMA_2).alias("in_sma2"),
         any_true(code.isin(SMA_1, SMA_2, NPA)).alias("in_sma1_or_worse"),
     )
 
 
-def _raise(loans: DataFrame, name: str) -> DataFrame:
-    return loans.select("loan_application_id").distinct().withColumn(name, F.lit(True))
-
-
-def _in_bucket(loans: DataFrame, buckets: DataFrame, which: str) -> DataFrame:
-    loan = buckets.filter(F.col(which)).select(F.col("loanapplicationid").alias("loan_application_id"))
-    return loans.join(loan, "loan_application_id", "left_semi")
-
-
-def _active(loans: DataFrame) -> DataFrame:
-    return loans.filter(F.col("loanstatus_typedetail_id") == LOAN_ACTIVE)
+def _marked(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(F.col("loanapplicationid").alias(LOAN)).distinct().withColumn(name, F.lit(True))
 
 
 def unpaid_first_dues(schedule: DataFrame, applications: DataFrame, as_of: date, dues: int = 2) -> DataFrame:
@@ -113,64 +106,86 @@ def unpaid_first_dues(schedule: DataFrame, applications: DataFrame, as_of: date,
     )
     open_dues = first.filter(F.col("paymentreceiveddate").isNull() & null_or_zero("clearenceflag"))
     unpaid = open_dues.groupBy("loanapplicationid").agg(F.count("duedate").alias("_n")).filter(F.col("_n") == dues)
-    return unpaid.join(active_loans(applications), "loanapplicationid", "left_semi").select(
-        F.col("loanapplicationid").alias("loan_application_id")
-    )
+    return _marked(unpaid.join(active_loans(applications), "loanapplicationid", "left_semi"), "first_dues_unpaid")
+
+
+def loose_mandates(mandates: DataFrame) -> DataFrame:
+    """Per loan with an active mandate: whether one of them is neither registered nor confirmed."""
+    loose = null_or_zero("registered") & null_or_not_in("registeredstatustypedetailid", [MANDATE_REGISTERED])
+    return mandates.filter(active()).groupBy(F.col("loanapplicationid").alias(LOAN)).agg(
+        any_true(loose).alias("mandate_loose"))
+
+
+def waiting_titles(documents: DataFrame) -> DataFrame:
+    """Loans with a title document that is not in an accepted state."""
+    return _marked(documents.filter(
+        F.col("documentid").isin(*TITLE_DOCUMENTS)
+        & (F.col("documentcategorydetailid") == TITLE_CATEGORY)
+        & (F.col("documenttypedetailid") == TITLE_DOCUMENT_TYPE)
+        & null_or_not_in("documentstatustypedetailid", TITLE_ACCEPTED)
+    ), "title_waiting")
+
+
+def many_bounces(charges: DataFrame, due_status: DataFrame, as_of: date) -> DataFrame:
+    """Loans with more than three bounce charges since the first of April and a due status in the first bucket."""
+    bounces = charges.filter(
+        (F.col("chargesfortypedetailid") == BOUNCE_CHARGE_FOR)
+        & (F.col("typedetailchargeid") == BOUNCE_CHARGE)
+        & (F.col("chargedate") >= F.lit(fiscal_year_start(as_of)))
+    ).groupBy(F.col("loanapplicationid").alias(LOAN)).agg(F.count("chargedate").alias("_n"))
+    in_sma1 = _marked(due_status.filter(F.col("deliquencybktdetailid") == SMA_1), "many_bounces")
+    return bounces.filter(F.col("_n") > BOUNCES_ALLOWED).join(in_sma1, LOAN).drop("_n")
+
+
+def conditions(as_of: date) -> dict[str, Column]:
+    """Flag name -> condition over a loan's columns joined with the facts above."""
+    is_active = F.col("loanstatus_typedetail_id") == LOAN_ACTIVE
+    return {
+        "non_starter_sma1_flag": F.col("first_dues_unpaid") & F.col("in_sma1_or_worse"),
+        "active_sma2_flag": is_active & F.col("in_sma2"),
+        # No active mandate counts as not registered.
+        "ach_not_registered_sma1_flag": is_active & F.col("in_sma1_or_worse") & F.coalesce("mandate_loose", F.lit(True)),
+        "construction_delay_sma1_flag": is_active & F.col("in_sma1")
+        & F.col("loan_purpose_id").isin(*CONSTRUCTION_PURPOSES)
+        & (F.col("first_disbursal_date") <= months_before(as_of, CONSTRUCTION_MONTHS))
+        & null_or_zero("is_actually_fully_disbursed"),
+        "title_doc_delay_flag": is_active & F.col("title_waiting")
+        & (F.col("first_disbursal_date") <= months_before(as_of, TITLE_MONTHS)),
+        "bounce_fy_sma1_flag": is_active & F.col("many_bounces"),
+    }
+
+
+def _raise(loans: DataFrame, facts: Sequence[DataFrame], flag: str, as_of: date) -> DataFrame:
+    """The loans that meet one condition, marked."""
+    for fact in facts:
+        loans = loans.join(fact, LOAN, "left")
+    return loans.filter(conditions(as_of)[flag]).select(LOAN, F.lit(True).alias(flag))
 
 
 def non_starter(schedule: DataFrame, applications: DataFrame, buckets: DataFrame, as_of: date) -> DataFrame:
-    loans = unpaid_first_dues(schedule, applications, as_of)
-    return _raise(_in_bucket(loans, buckets, "in_sma1_or_worse"), "non_starter_sma1_flag")
+    unpaid = unpaid_first_dues(schedule, applications, as_of)
+    return _raise(unpaid, [buckets], "non_starter_sma1_flag", as_of)
 
 
-def active_sma2(loans: DataFrame, buckets: DataFrame) -> DataFrame:
-    return _raise(_in_bucket(_active(loans), buckets, "in_sma2"), "active_sma2_flag")
+def active_sma2(loans: DataFrame, buckets: DataFrame, as_of: date) -> DataFrame:
+    return _raise(loans, [buckets], "active_sma2_flag", as_of)
 
 
-def ach_not_registered(loans: DataFrame, mandates: DataFrame, buckets: DataFrame) -> DataFrame:
+def ach_not_registered(loans: DataFrame, mandates: DataFrame, buckets: DataFrame, as_of: date) -> DataFrame:
     """Active delinquent loans without an active mandate, or with one that is not registered."""
-    loose = null_or_zero("registered") & null_or_not_in("registeredstatustypedetailid", [MANDATE_REGISTERED])
-    state = mandates.filter(active()).groupBy(F.col("loanapplicationid").alias("loan_application_id")).agg(
-        any_true(loose).alias("_loose")
-    )
-    unregistered = _active(loans).select("loan_application_id").join(state, "loan_application_id", "left").filter(
-        F.coalesce("_loose", F.lit(True))
-    )
-    return _raise(_in_bucket(unregistered, buckets, "in_sma1_or_worse"), "ach_not_registered_sma1_flag")
+    return _raise(loans, [loose_mandates(mandates), buckets], "ach_not_registered_sma1_flag", as_of)
 
 
 def construction_delay(loans: DataFrame, buckets: DataFrame, as_of: date) -> DataFrame:
-    late = _active(loans).filter(
-        F.col("loan_purpose_id").isin(*CONSTRUCTION_PURPOSES)
-        & (F.col("first_disbursal_date") <= months_before(as_of, CONSTRUCTION_MONTHS))
-        & null_or_zero("is_actually_fully_disbursed")
-    )
-    return _raise(_in_bucket(late, buckets, "in_sma1"), "construction_delay_sma1_flag")
+    return _raise(loans, [buckets], "construction_delay_sma1_flag", as_of)
 
 
 def title_doc_delay(loans: DataFrame, documents: DataFrame, as_of: date) -> DataFrame:
-    waiting = documents.filter(
-        F.col("documentid").isin(*TITLE_DOCUMENTS)
-        & (F.col("documentcategorydetailid") == TITLE_CATEGORY)
-        & (F.col("documenttypedetailid") == TITLE_DOCUMENT_TYPE)
-        & null_or_not_in("documentstatustypedetailid", TITLE_ACCEPTED)
-    ).select(F.col("loanapplicationid").alias("loan_application_id")).distinct()
-    late = _active(loans).filter(F.col("first_disbursal_date") <= months_before(as_of, TITLE_MONTHS))
-    return _raise(late.join(waiting, "loan_application_id", "left_semi"), "title_doc_delay_flag")
+    return _raise(loans, [waiting_titles(documents)], "title_doc_delay_flag", as_of)
 
 
 def fiscal_year_bounces(loans: DataFrame, charges: DataFrame, due_status: DataFrame, as_of: date) -> DataFrame:
-    """More than three bounce charges since the first of April on an active loan in the first bucket."""
-    many = charges.filter(
-        (F.col("chargesfortypedetailid") == BOUNCE_CHARGE_FOR)
-        & (F.col("typedetailchargeid") == BOUNCE_CHARGE)
-        & (F.col("chargedate") >= F.lit(fiscal_year_start(as_of)))
-    ).groupBy(F.col("loanapplicationid").alias("loan_application_id")).agg(F.count("chargedate").alias("_n"))
-    in_sma1 = due_status.filter(F.col("deliquencybktdetailid") == SMA_1).select(
-        F.col("loanapplicationid").alias("loan_application_id")
-    ).distinct()
-    many = many.filter(F.col("_n") > BOUNCES_ALLOWED).join(in_sma1, "loan_application_id", "left_semi")
-    return _raise(_active(loans).join(many, "loan_application_id", "left_semi"), "bounce_fy_sma1_flag")
+    return _raise(loans, [many_bounces(charges, due_status, as_of)], "bounce_fy_sma1_flag", as_of)
 
 
 def consecutive_bounces(rows: DataFrame, key: str, order: Sequence[str], bounced: Column) -> DataFrame:

@@ -30,24 +30,22 @@ FLAGS = ["negative_area_flag", "multi_loan_stress", "high_foir_flag", "non_start
 
 
 def flags(raw: Tables, silver: Tables, as_of: date, latest_month_only: bool = False) -> DataFrame:
-    """One row per loan with its trend and all flags."""
+    """One row per loan with its trend and all flags: every fact is joined once, conditions are expressions."""
     loans, monthly = silver["slv_loan_details"], silver["slv_contract_perf_monthly"]
-    buckets = signals.bucket_flags(raw["tblloanmonthly"], latest_month_only)
-    spine = loans.select(
-        "loan_application_id",
-        F.coalesce(F.col("final_foir_pct") > signals.HIGH_FOIR_PCT, F.lit(False)).alias("high_foir_flag"))
-    df = join_sides(spine, "loan_application_id", [
+    spine = loans.select(signals.LOAN, "loanstatus_typedetail_id", "loan_purpose_id", "first_disbursal_date",
+                         "is_actually_fully_disbursed", "final_foir_pct")
+    df = join_sides(spine, signals.LOAN, [
         signals.dpd_trend(monthly, ties=["loan_monthly_id"]),
         signals.multi_loan_stress(silver["slv_customer"], monthly),
         signals.negative_area_flag(silver["slv_asset"]),
-        signals.non_starter(raw["tblloanapplicationpayschedule"], raw["tblloanapplication"], buckets, as_of),
-        signals.active_sma2(loans, buckets),
-        signals.ach_not_registered(loans, raw["tblloanapplicationach"], buckets),
-        signals.construction_delay(loans, buckets, as_of),
-        signals.title_doc_delay(loans, raw["tblloanlegaldocuments"], as_of),
-        signals.fiscal_year_bounces(loans, raw["tblloanapplicationchargedetails"], raw["tblloanduestatus"], as_of),
+        signals.bucket_flags(raw["tblloanmonthly"], latest_month_only),
+        signals.unpaid_first_dues(raw["tblloanapplicationpayschedule"], raw["tblloanapplication"], as_of),
+        signals.loose_mandates(raw["tblloanapplicationach"]),
+        signals.waiting_titles(raw["tblloanlegaldocuments"]),
+        signals.many_bounces(raw["tblloanapplicationchargedetails"], raw["tblloanduestatus"], as_of),
     ])
-    return df.fillna(False, FLAGS)
+    conditions = signals.conditions(as_of) | {"high_foir_flag": F.col("final_foir_pct") > signals.HIGH_FOIR_PCT}
+    return df.withColumns(conditions).select(signals.LOAN, "dpd_trend_direction", *FLAGS).fillna(False, FLAGS)
 
 
 def score(flagged: DataFrame, history: DataFrame, as_of: date) -> DataFrame:

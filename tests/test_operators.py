@@ -299,23 +299,27 @@ def test_stress_reaches_all_loans_of_an_entity(spark):
     assert got == {1: True, 2: True, 3: False}
 
 
+def loans_frame(spark, *rows):
+    return frame(spark, "loan_application_id int, loanstatus_typedetail_id int", *rows)
+
+
 MONTHLY = "loanapplicationid int, summaryyear int, summarymonth int, deliquencybktdetailid int, isactive int"
 
 
 def test_bucket_flags_any_or_latest_month(spark):
     rows = frame(spark, MONTHLY, (1, 2024, 1, 2570, 1), (1, 2024, 2, 1, 1), (2, 2024, 2, 2571, 0), (3, 2024, 1, 2572, 1))
-    ever = {r.loanapplicationid: (r.in_sma1, r.in_sma2, r.in_sma1_or_worse) for r in signals.bucket_flags(rows).collect()}
+    ever = {r.loan_application_id: (r.in_sma1, r.in_sma2, r.in_sma1_or_worse) for r in signals.bucket_flags(rows).collect()}
     assert ever == {1: (True, False, True), 3: (False, False, True)}
-    latest = {r.loanapplicationid: r.in_sma1 for r in signals.bucket_flags(rows, latest_month_only=True).collect()}
+    latest = {r.loan_application_id: r.in_sma1 for r in signals.bucket_flags(rows, latest_month_only=True).collect()}
     assert latest[1] is False
 
 
 def test_missing_mandate_is_flagged(spark):
     buckets = signals.bucket_flags(frame(spark, MONTHLY, *[(i, 2024, 1, 2570, 1) for i in (1, 2, 3, 4)]))
-    ld = frame(spark, "loan_application_id int, loanstatus_typedetail_id int", (1, 189), (2, 189), (3, 189), (4, 190))
+    ld = loans_frame(spark, (1, 189), (2, 189), (3, 189), (4, 190))
     ach = frame(spark, "loanapplicationid int, registered int, registeredstatustypedetailid int, isactive int",
                 (2, 1, 1991, 1), (3, 0, 5, 1), (2, 0, 5, 0))
-    assert sorted(values(signals.ach_not_registered(ld, ach, buckets), "loan_application_id")) == [1, 3]
+    assert sorted(values(signals.ach_not_registered(ld, ach, buckets, date(2024, 6, 1)), "loan_application_id")) == [1, 3]
 
 
 def test_non_starter_needs_both_first_dues_unpaid(spark):
@@ -329,7 +333,7 @@ def test_non_starter_needs_both_first_dues_unpaid(spark):
 
 
 def test_bounces_are_not_multiplied_by_due_status_rows(spark):
-    ld = frame(spark, "loan_application_id int, loanstatus_typedetail_id int", (1, 189), (2, 189))
+    ld = loans_frame(spark, (1, 189), (2, 189))
     charge = lambda loan, day: (loan, 1561, 1, datetime(2024, 4, day))
     charges = frame(spark, "loanapplicationid int, chargesfortypedetailid int, typedetailchargeid int, chargedate timestamp",
                     *[charge(1, d) for d in (1, 2)], *[charge(2, d) for d in (1, 2, 3, 4)])
