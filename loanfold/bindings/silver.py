@@ -199,7 +199,7 @@ ASSET_SQL = _doubles("""agreement_land_rate_per_sqft agreement_buildup_existing_
            {_number_sql("val.valuationbuiltupareaproposed")} AS buildup_proposed_sqft, {_number_sql("val.valuationsuperbuiltuparea")} AS super_buildup_sqft,
            {_number_sql("val.valuationbuilding", "percent")} AS building_pct, {_number_sql("val.valuationunitbeingfunded", "percent")} AS unit_funded_pct,
            val.valuationlandarearatepersquarefeet AS buildup_existing_rate_per_sqft, lf.reportreceiveddate AS legal_report_received_date,
-           CASE WHEN leg.loanapplicationid IS NOT NULL THEN TRIM(COALESCE(TRIM(leg.houseno), '') || {_ADDRESS_TAIL}) END AS legal_address,
+           TRIM(COALESCE(TRIM(leg.houseno), '') || {_ADDRESS_TAIL}) AS legal_address,
            CAST(tf.firingdate AS DATE) AS tech_firing_date, CAST(tf.reportreceiveddate AS DATE) AS tech_report_received_date,
            CAST(tr.propertyvisitdate AS DATE) AS tech_visit_date, rp.revisedmarketvalue AS revised_market_value,
            COALESCE(rp.valuationdate, rp.createdon) AS revised_valuation_date, ta.agencyname AS tech_agency_name, la.agencyname AS legal_agency_name,
