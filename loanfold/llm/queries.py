@@ -1,8 +1,8 @@
 """The registered corpus queries and their SQL."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing
+from . import mixing, simhash
 from .common import table
 
 
@@ -10,8 +10,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op4_mixing": op4_mixing,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
