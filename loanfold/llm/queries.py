@@ -2,10 +2,16 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, quality, simhash
+from . import decontamination, mixing, quality, simhash
 from .common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -20,11 +26,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
+    "op2_decontamination": decontamination.ORACLE,
     "op4_mixing": mixing.ORACLE,
 }
