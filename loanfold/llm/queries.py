@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, mixing, quality, simhash
+from . import decontamination, mixing, quality, secrets, simhash
 from .common import table
 
 
@@ -16,6 +16,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secrets.listing(F.col("found"), base_only=True), 256).alias("base_sha256"),
+                        secrets.listing(F.col("found")).alias("spans"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +39,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
+    "op7_secrets": op7_secrets,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
