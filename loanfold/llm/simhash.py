@@ -192,14 +192,33 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataF
     """
     marked = saved(docs.select("doc_id", fingerprint_column(F.col("text"), width).alias("fp")), "fingerprints")
     prints = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    found = components(fingerprint_links(prints.select("fp"), distance))
-    rooted = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    rooted = with_roots(prints, distance)
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def with_roots(prints: DataFrame, distance: int) -> DataFrame:
+    """Distinct fingerprints with the root of their component, the smallest fingerprint that links lead to."""
+    found = components(fingerprint_links(prints.select("fp"), distance))
+    joined = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    return joined.select(*prints.columns, F.coalesce("component", "fp").alias("root"))
+
+
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
+    """All columns of one row of each component: the row with the smallest doc_id, one of them where rows repeat it.
+
+    A component without any doc_id keeps one row too. Rows are written once with their fingerprints and a row number, the
+    choice is made on fingerprints, and the chosen row numbers pick the rows.
+    """
+    marked = saved(docs.select(F.struct("*").alias("row"), fingerprint_column(F.col("text"), width).alias("fp"),
+                               F.monotonically_increasing_id().alias("id")), "rows")
+    best = F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), "id"))
+    prints = saved(marked.groupBy("fp").agg(best.alias("best")), "distinct-fingerprints")
+    chosen = with_roots(prints, distance).groupBy("root").agg(F.min("best").alias("best")).select("best.id")
+    return marked.join(chosen, "id", "left_semi").select("row.*")
+
+
 def hex_digits(fp):
     """A signed long as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

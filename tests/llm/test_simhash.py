@@ -94,3 +94,11 @@ def test_long_chain_is_one_component(spark):
     edges = spark.range(0, 500).selectExpr("id AS a", "id + 1 AS b")
     found = components(edges).collect()
     assert len(found) == 501 and {r.component for r in found} == {0}
+
+
+def test_one_row_of_each_component(spark):
+    rows = [(5, "a b c d"), (3, "A b  c d"), (3, "a b c d"), (None, "a b c d"), (None, "q r s t u"), (None, "q r s t u"), (9, None), (8, ""), (7, "x y")]
+    docs = documents(spark, rows, extra=True)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [3, 7, 8, None]
