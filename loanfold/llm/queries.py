@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, mixing, quality, secrets, simhash
+from . import decontamination, htmltext, mixing, quality, secrets, simhash
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.listing(F.col("found")).alias("spans"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
     "op7_secrets": op7_secrets,
+    "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
