@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, htmltext, mixing, quality, secrets, simhash
+from . import decontamination, htmltext, mixing, mtree, quality, secrets, simhash
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.whole_numbers(F.col("embedding")).alias("x"))
+    return mtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
+    "op6_mtree": op6_mtree,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
     "op9_quality": op9_quality,
@@ -52,4 +58,5 @@ QUERIES = {
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
     "op4_mixing": mixing.ORACLE,
+    "op6_mtree": mtree.ORACLE,
 }
