@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, htmltext, mixing, mtree, quality, secrets, simhash
+from . import decontamination, htmltext, mixing, mtree, quality, secrets, simhash, substrings
 from .common import table
 
 
@@ -16,6 +16,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_substrings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda s, e: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.whole_numbers(F.col("embedding")).alias("x"))
     return mtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
@@ -48,6 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
+    "op5_substrings": op5_substrings,
     "op6_mtree": op6_mtree,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
@@ -58,5 +66,6 @@ QUERIES = {
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
     "op4_mixing": mixing.ORACLE,
+    "op5_substrings": substrings.ORACLE,
     "op6_mtree": mtree.ORACLE,
 }
