@@ -1,5 +1,9 @@
 """Helpers shared by the corpus operators."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
@@ -47,3 +51,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     root = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return root.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+
+
+def byte_slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """First and end rows of slices of a binary column that hold about limit bytes each; a larger text is a slice alone."""
+    sizes = np.array([len(t or b"") for t in texts.to_pylist()], dtype=np.int64)
+    part = (np.cumsum(sizes) - sizes) // limit
+    cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(sizes)]
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())

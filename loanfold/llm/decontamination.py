@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from .common import saved
+from .common import byte_slices, saved
 from .fmindex import FMIndex
 
 #: A-Z to a-z; every byte that is no letter, digit or part of a wider character to a space.
@@ -122,14 +122,6 @@ def merged(starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
     return [s for s, _ in out], [e for _, e in out]
 
 
-def _shards(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Slices of a batch of about SHARD_BYTES."""
-    sizes = np.array([len(t or b"") for t in texts.to_pylist()], dtype=np.int64)
-    shard = (np.cumsum(sizes) - sizes) // SHARD_BYTES
-    cuts = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(sizes)]
-    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
-
-
 def _searched(df: DataFrame, block: list[tuple[str, str]]) -> DataFrame:
     """Add what a block of windows finds to the columns n_words, starts, ends, items."""
     schema = StructType([f for f in df.schema.fields if f.name in ("row", "text")])
@@ -143,7 +135,7 @@ def _searched(df: DataFrame, block: list[tuple[str, str]]) -> DataFrame:
         phrases = Phrases(shared.value)
         for batch in batches:
             texts = batch["text"].cast(pa.binary())
-            for lo, hi in _shards(texts):
+            for lo, hi in byte_slices(texts, SHARD_BYTES):
                 part = batch.slice(lo, hi - lo)
                 found = search_shard(texts.slice(lo, hi - lo).to_pylist(), phrases)
                 if old:

@@ -2,10 +2,22 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, htmltext, mixing, mtree, quality, secrets, simhash, substrings
+from . import decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, substrings, tokencount
 from .common import table
 
 
+#: Vocabulary of the token counts.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), MODEL)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256)
@@ -53,7 +65,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quotes": op1_quotes,
     "op2_decontamination": op2_decontamination,
+    "op3_tokens": op3_tokens,
     "op4_mixing": op4_mixing,
     "op5_substrings": op5_substrings,
     "op6_mtree": op6_mtree,
