@@ -33,8 +33,8 @@ def _(t):
 @query("j3_inner_join", "SELECT o_orderkey, c_mktsegment FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal > 0")
 def _(t):
     rich = t["customer"].filter("c_acctbal > 0").select("c_custkey", "c_mktsegment")
-    return t["orders"].select("o_orderkey", "o_custkey").join(rich, F.col("o_custkey") == rich["c_custkey"]).select(
-        "o_orderkey", "c_mktsegment")
+    orders = t["orders"].select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    return join_to_unique(orders, rich, "c_custkey", "inner").select("o_orderkey", "c_mktsegment")
 
 
 @query("j4_left_join_filtered_side", """
@@ -91,8 +91,10 @@ def _(t):
 def _(t):
     lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     lines = lines.join(t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    lines = lines.join(t["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-    lines = lines.join(t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
+    buyers = t["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    lines = join_to_unique(lines, buyers, "o_custkey", "inner", counted=t["orders"].select("o_custkey"))
+    sellers = t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    lines = join_to_unique(lines, sellers, "l_suppkey", "inner", counted=t["lineitem"].select("l_suppkey"))
     nation = t["nation"]
     lines = attach(lines, nation, ("c_nationkey", "n_nationkey"), {"buyer_nation": "n_name"})
     lines = attach(lines, nation, ("s_nationkey", "n_nationkey"), {"seller_nation": "n_name"})

@@ -4,32 +4,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_HOT_KEYS = 64
-ROWS_PER_SALT = 1_000_000
 
+def hot_keys(df: DataFrame, on: Sequence[str], shares: int) -> DataFrame:
+    """Keys that hold more than one of so many equal shares of the rows, with the number of shares each fills.
 
-def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """The heaviest keys with the number of salts each needs: at most MAX_HOT_KEYS rows, whatever df holds."""
+    Fewer than shares keys can do so, whatever df holds.
+    """
     counts = df.select(*on).na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.filter(F.col("_n") > rows_per_salt)
-    top = heavy.orderBy(F.col("_n").desc(), *on).limit(MAX_HOT_KEYS)
-    return top.select(*on, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts"))
+    total = counts.agg(F.sum("_n")).scalar()
+    full = F.ceil(F.col("_n") * shares / total)
+    return counts.filter(F.col("_n") * shares > total).select(*on, full.cast("int").alias("_salts"))
 
 
 def join_to_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                   counted: DataFrame | None = None, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                   counted: DataFrame | None = None, shares: int | None = None) -> DataFrame:
     """Join many rows to a side that is unique on the key, with hot keys spread over several tasks.
 
-    Only the heaviest keys are salted: their rows on the left are split by a hash of the row, and their
-    single row on the right is repeated once per salt, so the copies number at most
-    rows / rows_per_salt + MAX_HOT_KEYS. Rows with a NULL key are spread the same way.
+    A key is hot when it holds more than a task's equal share of the rows (shares: the number of shuffle
+    partitions by default). Its rows on the left are split by a hash of the row, and its single row on the right is
+    repeated once per share it fills. As the rule is relative, the plan is the same at every size, the hot keys are
+    fewer than the shares and their copies fewer than twice the shares. Rows with a NULL key are spread the same way.
 
-    counted: where to look for heavy keys, the left side by default. Any list of keys gives the right
+    counted: where to look for hot keys, the left side by default. Any list of keys gives the right
     result, so pass a plain scan with the key columns when left is costly to compute twice.
     Select the wanted columns of left first: the salt is a hash of the whole row.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(left if counted is None else counted, on, rows_per_salt))
+    shares = shares or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left if counted is None else counted, on, shares))  # fewer rows than shares
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()

@@ -74,15 +74,26 @@ def test_hot_keys_are_spread_without_changing_the_join(spark, how):
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"), "id")
     right = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     plain = left.join(right, "k", how).select("k", "id", "v")
-    salted = skew.join_to_unique(left, right, "k", how, rows_per_salt=100).select("k", "id", "v")
+    salted = skew.join_to_unique(left, right, "k", how, shares=30).select("k", "id", "v")
     assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
 
 
 def test_hot_keys_need_salts_in_proportion(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("k"))
-    assert [tuple(r) for r in skew.hot_keys(df, ["k"], rows_per_salt=100).collect()] == [(1, 4)]
-    many = spark.range(100_000).select((F.col("id") % 500).alias("k"))
-    assert skew.hot_keys(many, ["k"], rows_per_salt=10).count() == skew.MAX_HOT_KEYS
+    assert [tuple(r) for r in skew.hot_keys(df, ["k"], shares=10).collect()] == [(1, 4)]
+    even = spark.range(100_000).select((F.col("id") % 500).alias("k"))
+    assert skew.hot_keys(even, ["k"], shares=500).count() == 0
+
+
+def test_every_hot_key_is_split(spark):
+    many = spark.range(100_000).select((F.col("id") % 100).alias("k"), "id")  # 100 keys of one percent each
+    hot = {r.k: r._salts for r in skew.hot_keys(many, ["k"], shares=350).collect()}
+    assert hot == dict.fromkeys(range(100), 4)
+    right = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = skew.join_to_unique(many, right, "k", shares=350)
+    assert joined.count() == 100_000 and joined.filter("v <> 2 * k").count() == 0
+    row = F.pmod(F.xxhash64("k", "id"), F.lit(1 << 20))
+    assert many.groupBy("k", F.pmod(row, F.lit(4)).alias("salt")).count().groupBy("k").count().filter("count = 4").count() == 100
 
 
 def test_group_value(spark):
