@@ -114,8 +114,8 @@ def _(t):
 
 
 @query("a15_guarded_ratio", """
-    SELECT l_suppkey, CASE WHEN total = 0 THEN 0 ELSE ROUND(CAST(part AS DOUBLE) / CAST(total AS DOUBLE) * 100, 2) END AS efficiency_pct,
-           CASE WHEN n > 0 THEN ROUND(CAST(late AS DOUBLE) / CAST(n AS DOUBLE) * 100, 2) END AS dpd_rate_pct FROM (
+    SELECT l_suppkey, CASE WHEN total = 0 THEN 0 ELSE CAST(part AS DOUBLE) / CAST(total AS DOUBLE) * 100 END AS efficiency_pct,
+           CASE WHEN n > 0 THEN CAST(late AS DOUBLE) / CAST(n AS DOUBLE) * 100 END AS dpd_rate_pct FROM (
         SELECT l_suppkey, SUM(CASE WHEN l_suppkey % 5 = 0 THEN 0 ELSE l_quantity END) AS total, SUM(l_linenumber) AS part,
                COUNT(*) FILTER (WHERE l_suppkey % 7 <> 0) AS n, COUNT(*) FILTER (WHERE l_quantity > 25) AS late FROM lineitem GROUP BY 1)""")
 def _(t):

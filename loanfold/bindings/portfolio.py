@@ -158,7 +158,7 @@ QUALITY_SQL = f"""
            COUNT(*) FILTER (WHERE dpd_bucket = 'Doubtful 1 (D1)') AS doubtful1_count, COUNT(*) FILTER (WHERE dpd_bucket = 'Doubtful 2 (D2)') AS doubtful2_count,
            COUNT(*) FILTER (WHERE dpd_bucket = 'Doubtful 3 (D3)') AS doubtful3_count,
            CAST(CAST(ROUND(CAST(SUM(CASE WHEN is_npa = 1 OR linked THEN pos ELSE 0 END) AS DOUBLE) / NULLIF(CAST(SUM(pos) AS DOUBLE), 0) * 100, 2) AS DECIMAL(6,2)) AS DOUBLE) AS gross_npa_pct
-    FROM ({PERFORMANCE_SQL}) JOIN slv_loan_details USING (loan_application_id) GROUP BY 1"""
+    FROM ({PERFORMANCE_SQL}) JOIN (SELECT loan_application_id, branch_id FROM slv_loan_details) USING (loan_application_id) GROUP BY 1"""
 
 
 @query("c10_portfolio_quality", f"""
@@ -194,8 +194,8 @@ def _(t):
 SCORECARD_SQL = """
     SELECT sales_officer_emp_id, loans_onboarded_total, loans_onboarded_mtd, CAST(disbursed AS DOUBLE) AS total_disbursed_amount,
            active_loan_count, CAST(book AS DOUBLE) AS current_book_pos, loans_in_dpd, loans_in_npa, CAST(arrears AS DOUBLE) AS total_arrears_amount,
-           CASE WHEN total = 0 THEN 0 ELSE ROUND(CAST(secured AS DOUBLE) / CAST(total AS DOUBLE) * 100, 2) END AS collection_efficiency_pct,
-           CASE WHEN active_loan_count > 0 THEN ROUND(CAST(loans_in_dpd AS DOUBLE) / CAST(active_loan_count AS DOUBLE) * 100, 2) END AS dpd_rate_pct,
+           CASE WHEN total = 0 THEN 0 ELSE CAST(secured AS DOUBLE) / CAST(total AS DOUBLE) * 100 END AS collection_efficiency_pct,
+           CASE WHEN active_loan_count > 0 THEN CAST(loans_in_dpd AS DOUBLE) / CAST(active_loan_count AS DOUBLE) * 100 END AS dpd_rate_pct,
            CAST(CAST(ROUND(CAST(npa_pos AS DOUBLE) / NULLIF(CAST(book AS DOUBLE), 0) * 100, 2) AS DECIMAL(6,2)) AS DOUBLE) AS npa_rate_pct
     FROM (SELECT sales_officer_emp_id, COUNT(*) AS loans_onboarded_total,
                  COUNT(*) FILTER (WHERE date_trunc('month', last_disbursal_date) = DATE '1998-06-01') AS loans_onboarded_mtd,
@@ -204,7 +204,7 @@ SCORECARD_SQL = """
                       COUNT(*) FILTER (WHERE max_dpd > 0) AS loans_in_dpd, COUNT(*) FILTER (WHERE is_npa = 1) AS loans_in_npa,
                       SUM(due_interest + due_principal) AS arrears, SUM(securedamount) AS secured, SUM(totalamount) AS total,
                       SUM(CASE WHEN is_npa = 1 THEN pos ELSE 0 END) AS npa_pos
-               FROM slv_contract_perf_monthly JOIN slv_loan_details USING (loan_application_id)
+               FROM slv_contract_perf_monthly JOIN (SELECT loan_application_id, sales_officer_emp_id FROM slv_loan_details) USING (loan_application_id)
                LEFT JOIN tblapplicantriskdetail r ON r.loanapplicationid = loan_application_id AND r.isactive = 1 GROUP BY 1) USING (sales_officer_emp_id)"""
 
 

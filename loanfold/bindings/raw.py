@@ -39,7 +39,7 @@ RAW = {
     "mstloanpurpose": """SELECT CAST(n_nationkey AS BIGINT) AS loanpurposeid, n_name || ' purpose' AS loanpurposename, 1 AS isactive FROM {nation}""",
     "mstregion": """SELECT CAST(r_regionkey AS BIGINT) AS regionid, ' ' || r_name AS regionname,
         CAST(r_regionkey % 2 AS BIGINT) AS zoneid FROM {region}""",
-    "mstzone": """SELECT CAST(r_regionkey AS BIGINT) AS zoneid, r_name || ' zone ' AS zonename FROM {region} WHERE r_regionkey < 2""",
+    "mstzone": """SELECT CAST(r_regionkey AS BIGINT) AS zoneid, r_name || ' zone ' AS zonename FROM {region}""",
     "mstportfoliopartner": """SELECT CAST(s_suppkey AS BIGINT) AS partnerid, s_name AS partnername, 1 AS isactive FROM {supplier}""",
     "mstbranch": """
         SELECT CAST(n_nationkey AS BIGINT) AS branchid, CAST(n_nationkey + 500000 AS BIGINT) AS entityid,
@@ -121,13 +121,13 @@ RAW = {
     "tblapplicationdisbursalreschedulement": f"""
         SELECT l_orderkey AS loanapplicationid, {_PS} AS disbursalreschedulementid,
                CAST(l_quantity AS DECIMAL(10,4)) AS aroi, l_partkey % 28 AS paydueday,
-               CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS isactive FROM {{lineitem}} WHERE l_linenumber = 1""",
+               CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS isactive FROM {{lineitem}}""",
     "tblloanapplicationroispread": """
         SELECT l_orderkey AS loanapplicationid, CAST(l_quantity AS DECIMAL(10,4)) AS baserateinpercentage,
                CAST(l_suppkey % 5 AS DECIMAL(10,4)) AS plrspreadinpercentage, CAST(l_partkey % 20 AS DECIMAL(10,4)) AS finalroi,
                CAST(1 AS DECIMAL(10,4)) AS waiverroiinpercentage, CAST(2 AS DECIMAL(10,4)) AS additionalspread,
                l_shipdate AS lastmodifiedon, CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END AS isactive
-        FROM {lineitem} WHERE l_linenumber < 4""",
+        FROM {lineitem}""",
     "tblloanapplicationstatushistory": """
         SELECT l_orderkey AS loanapplicationid, CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS isapplicationaccepted,
                l_shipdate AS applicationaccepteddate, CASE WHEN l_partkey % 3 = 0 THEN 1619 ELSE 1600 END AS loanstatustypedetailid,
@@ -158,13 +158,13 @@ RAW = {
         SELECT o_orderkey AS loanapplicationid, CAST(o_custkey % 9 AS DECIMAL(10,4)) AS foirwaiver,
                CASE WHEN o_custkey % 2 = 0 THEN CAST(1 AS DECIMAL(10,4)) END AS ltvwaiver, CAST(2 AS DECIMAL(10,4)) AS waivertenure,
                CAST(3 AS DECIMAL(10,4)) AS lcrwaiver, CAST(NULL AS DECIMAL(10,4)) AS insrwaiver,
-               CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS isactive FROM {orders} WHERE o_orderkey % 2 = 0""",
+               CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloanapplicationlinking": """
         SELECT l_orderkey AS loanapplicationid, l_partkey AS linkedloanapplicationid,
-               CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS isactive FROM {lineitem} WHERE l_linenumber < 3""",
+               CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS isactive FROM {lineitem}""",
     "tblloanapplicationtvrchecklist": """
         SELECT l_orderkey AS loanapplicationid, CASE WHEN l_suppkey % 9 = 8 THEN NULL ELSE l_suppkey % 5 END AS tvrchecklistid,
-               CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS isactive FROM {lineitem} WHERE l_linenumber > 5""",
+               CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS isactive FROM {lineitem}""",
     "tblloanduestatus": """
         SELECT o_orderkey + 7000000 AS loanduestatusid, o_orderkey AS loanapplicationid, o_orderdate + INTERVAL 70 DAY AS transactiondate,
                CASE WHEN o_orderkey % 31 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS pos,
@@ -208,7 +208,7 @@ RAW = {
                CASE WHEN s_suppkey % 13 = 12 THEN 0 ELSE 1 END AS isactive FROM {supplier}""",
     "tblportfoliopartnerengagementloandetails": """
         SELECT o_orderkey AS loanapplicationid, CAST(o_custkey % 100 AS DECIMAL(10,4)) AS percentage,
-               CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE 1 END AS isactive FROM {orders} WHERE o_orderkey % 5 = 0""",
+               CASE WHEN o_orderkey % 10 = 5 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloanapplicationmanualreceipt": f"""
         SELECT event_id AS receiptid, event_id % 500 AS draftreceiptid, user_id AS loanapplicationid,
                CASE WHEN event_id % 7 = 0 THEN 220 ELSE 219 END AS statustypedetailid, {_TS} AS statusupdateddate,
@@ -216,15 +216,15 @@ RAW = {
                CASE WHEN event_id % 11 <> 0 THEN CAST(value AS DECIMAL(18,2)) END AS collectedamount,
                event_id % 6 AS collectedthroughtypedetailid, CASE WHEN event_id % 3 = 0 THEN 1860 ELSE 1861 END AS feesfortypedetailid,
                1 AS isknockoff, 'chq' || CAST(event_id AS VARCHAR(20)) AS chequenumber, CAST(0 AS DECIMAL(18,2)) AS unadjustmentamount,
-               {_TS} AS createdon, CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS isactive
-        FROM {{events}} WHERE event_type = 'purchase' AND user_id % 5 <> 0""",
+               {_TS} AS createdon, CASE WHEN event_id % 13 = 0 OR user_id % 5 = 0 THEN 0 ELSE 1 END AS isactive
+        FROM {{events}} WHERE event_type = 'purchase'""",
     "tblloanapplicationpresentationdetail": f"""
         SELECT event_id AS presentationdetailid, event_id AS presentationid, user_id AS loanapplicationid,
                CASE WHEN event_id % 7 = 0 THEN 2067 ELSE 2066 END AS statustypedetailid, {_TS} AS statusdate,
                {_TS} - INTERVAL 1 DAY AS pdcachdate, CAST(value AS DECIMAL(18,2)) AS pdcachamount, 0 AS isknockoff,
                'ref' || CAST(event_id AS VARCHAR(20)) AS chequerefrenceno, event_id % 20 AS bouncereasontypedetailid, 1 AS ispresented,
-               {_TS} AS lastmodifiedon, CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS isactive
-        FROM {{events}} WHERE event_type = 'click' AND user_id % 4 <> 0""",
+               {_TS} AS lastmodifiedon, CASE WHEN event_id % 13 = 0 OR user_id % 4 = 0 THEN 0 ELSE 1 END AS isactive
+        FROM {{events}} WHERE event_type = 'click'""",
     "tblloanapplicationpresentationbatch": """
         SELECT event_id AS presentationid, event_id % 6 AS presentationtypedetailid,
                CASE WHEN event_id % 4 = 0 THEN 1 WHEN event_id % 4 = 1 THEN 0 END AS isrepresentation,
@@ -269,8 +269,8 @@ RAW = {
                CASE WHEN s_suppkey % 17 = 16 THEN 0 ELSE 1 END AS isactive FROM {supplier}""",
     "tblapplicantriskdetail": """
         SELECT o_orderkey AS loanapplicationid, CAST(o_totalprice * 0.4 AS DECIMAL(18,2)) AS securedamount,
-               CAST(o_totalprice AS DECIMAL(18,2)) AS totalamount, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE 1 END AS isactive
-        FROM {orders} WHERE o_orderkey % 3 <> 0""",
+               CAST(o_totalprice AS DECIMAL(18,2)) AS totalamount, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS isactive
+        FROM {orders}""",
     "tblapplicationpropertydetail": """
         SELECT o_orderkey + 3000000 AS applicantpropertydetailid, o_orderkey AS loanapplicationid, o_orderkey % 26 AS unittypetypedetailid,
                o_custkey % 26 AS propertytypedetailid, o_custkey % 24 AS ownershiptypedetailid,
@@ -306,16 +306,17 @@ RAW = {
                '46' AS valuationbuiltupareaproposedratepersquarefeet, '47' AS valuationsuperbuiltuparearatepersquarefeet,
                '800' AS valuationcarpetarea, '48' AS valuationcarpetarearatepersquarefeet,
                CASE WHEN o_orderkey % 2 = 0 THEN 1 WHEN o_orderkey % 3 = 0 THEN 0 END AS iscompliantwithndmaguidelines,
-               CAST(o_totalprice AS DECIMAL(18,2)) AS valuationdistresssalevalue, o_orderdate AS lastmodifiedon, 1 AS isactive
-        FROM {orders} WHERE o_orderkey % 6 <> 0
+               CAST(o_totalprice AS DECIMAL(18,2)) AS valuationdistresssalevalue, o_orderdate AS lastmodifiedon,
+               CASE WHEN o_orderkey % 6 <> 0 THEN 1 ELSE 0 END AS isactive
+        FROM {orders}
         UNION ALL
         SELECT o_orderkey, 'old', 'old', 'old', 'old', 'old', 'old', 'old', 'old', 'old', 'old', 'old', 'old', 0, CAST(0 AS DECIMAL(18,2)),
                o_orderdate - INTERVAL 9 DAY, 1 FROM {orders} WHERE o_orderkey % 6 = 5""",
     "tblloantechnicalreport": """SELECT o_orderkey AS loanapplicationid, o_orderdate + INTERVAL 4 DAY AS propertyvisitdate,
-        o_orderdate AS lastmodifiedon, 1 AS isactive FROM {orders} WHERE o_orderkey % 3 = 0""",
+        o_orderdate AS lastmodifiedon, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloantechnicalreportvetting": """SELECT o_orderkey AS loanapplicationid, o_custkey % 25 AS classificationtypedetailid,
         o_custkey % 24 AS urbanruraltypedetailid, o_custkey % 23 AS transitiontypedetailid, o_orderkey * 2 AS loantechnicalfiringid,
-        o_orderdate AS lastmodifiedon, CASE WHEN o_orderkey % 10 = 1 THEN 0 ELSE 1 END AS isactive FROM {orders} WHERE o_orderkey % 2 = 1""",
+        o_orderdate AS lastmodifiedon, CASE WHEN o_orderkey % 10 = 1 OR o_orderkey % 2 = 0 THEN 0 ELSE 1 END AS isactive FROM {orders}""",
     "tblloantechnicalfiring": """
         SELECT o_orderkey AS loanapplicationid, o_orderkey * 2 AS loantechnicalfiringid, o_custkey % 90 AS agencyid,
                o_custkey % 25 AS reportfiringtypedetailid, o_orderdate + INTERVAL 2 DAY AS firingdate,
@@ -329,13 +330,14 @@ RAW = {
                ' ' AS mouza, o_custkey % 25 AS cityid, o_custkey % 24 AS districtid, o_custkey % 23 AS stateid, '560001' AS pincode,
                'adv' AS advocatename, o_custkey % 25 AS legaldetailstatustypedetailid,
                CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 3 END AS vendorclearandmarketabletitletypedetailid,
-               o_orderdate AS lastmodifiedon, 1 AS isactive FROM {orders} WHERE o_orderkey % 8 <> 0""",
+               o_orderdate AS lastmodifiedon, CASE WHEN o_orderkey % 8 <> 0 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloanlegalfiring": """SELECT o_orderkey AS loanapplicationid, o_custkey % 95 AS agencyid, o_custkey % 25 AS legalfiringstatustypedetailid,
         o_orderdate + INTERVAL 1 DAY AS firingdate, o_orderdate + INTERVAL 5 DAY AS reportreceiveddate, 0 AS isrefire,
-        CAST(NULL AS TIMESTAMP) AS isrefiringdate, o_orderdate AS lastmodifiedon, 1 AS isactive FROM {orders} WHERE o_orderkey % 5 <> 4""",
+        CAST(NULL AS TIMESTAMP) AS isrefiringdate, o_orderdate AS lastmodifiedon,
+        CASE WHEN o_orderkey % 5 <> 4 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloanrevpropvaluation": """SELECT o_orderkey AS loanapplicationid, CAST(o_totalprice AS DECIMAL(18,2)) AS revisedmarketvalue,
         CASE WHEN o_orderkey % 4 = 1 THEN o_orderdate + INTERVAL 8 DAY END AS valuationdate, o_orderdate AS createdon,
-        o_orderdate AS lastmodifiedon, 1 AS isactive FROM {orders} WHERE o_orderkey % 2 = 1""",
+        o_orderdate AS lastmodifiedon, CASE WHEN o_orderkey % 2 = 1 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblapplicant": """
         SELECT o_orderkey * 2 AS applicantid, o_custkey AS entityid, o_orderkey AS loanapplicationid, o_orderkey * 2 AS parentapplicantid,
                CASE WHEN o_orderkey % 5 = 0 THEN '  ' ELSE ' ' || c_mktsegment END AS firstname,
@@ -363,7 +365,7 @@ RAW = {
                NULL, 1, 1, NULL, 0, 0, 0, 0, 0, 'stale', 1, o_orderdate, CASE WHEN o_orderkey % 8 = 0 THEN o_orderdate END
         FROM {orders} WHERE o_orderkey % 4 = 0""",
     "tblapplicantrisk": f"""SELECT user_id * 2 AS applicantid, event_id % 25 AS risktypedetailid, {_TS} AS reevaluatedon,
-        CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END AS isactive FROM {{events}} WHERE event_type = 'signup' AND user_id % 3 <> 0""",
+        CASE WHEN event_id % 4 = 0 OR user_id % 3 = 0 THEN 0 ELSE 1 END AS isactive FROM {{events}} WHERE event_type = 'signup'""",
     "tbladdress": """
         SELECT c_custkey AS entityid, c_name || ' street' AS address1, c_custkey % 25 AS cityid, c_custkey % 24 AS districtid,
                'town' AS cityname, '110001' AS zip, c_mktsegment AS landmark, 'block' AS blocktaluka, c_custkey % 30 AS stayinginyears,
@@ -379,8 +381,8 @@ RAW = {
                o_custkey % 17 AS sectortypedetailid, 'clerk' AS designation, 'gst' AS gstregistration,
                o_orderdate - INTERVAL 3000 DAY AS dateofincorporation, o_orderdate - INTERVAL 2000 DAY AS dateofjoining,
                o_custkey % 15 AS totalexperience, o_custkey % 14 AS businessvinatgeinyear, o_custkey % 6 AS businesssetuptypedetailid,
-               0 AS ispensioner, 1 AS issalaryslipavailable, 0 AS ismultipleearner, o_orderdate AS lastmodifiedon, 1 AS isactive
-        FROM {orders} WHERE o_orderkey % 7 <> 0""",
+               0 AS ispensioner, 1 AS issalaryslipavailable, 0 AS ismultipleearner, o_orderdate AS lastmodifiedon,
+               CASE WHEN o_orderkey % 7 <> 0 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblapplicantincome": """SELECT o_orderkey * 2 AS applicantid, o_orderkey AS loanapplicationid,
         CAST(o_totalprice * 0.2 AS DECIMAL(18,2)) AS applicantgrossincome, CAST(o_totalprice * 0.4 AS DECIMAL(18,2)) AS assessedmonthlyincome,
         o_orderdate AS lastmodifiedon, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE 1 END AS isactive FROM {orders}""",
@@ -395,18 +397,19 @@ RAW = {
     "tblentitybureau": """SELECT o_custkey AS entityid, o_orderkey AS loanapplicationid, o_custkey % 600 + 300 AS score,
         CASE WHEN o_orderkey % 3 = 0 THEN 411 ELSE 410 END AS bureautypedetailid, o_orderdate AS reportdate, 1 AS isactive FROM {orders}""",
     "tblascoremodel": """SELECT o_orderkey * 2 AS applicantid, o_orderkey AS loanapplicationid, o_custkey % 1000 AS underwritingscore,
-        'B' || CAST(o_custkey % 5 AS VARCHAR(5)) AS creditbucket, o_orderdate AS createdon, 1 AS isactive FROM {orders} WHERE o_orderkey % 2 = 0""",
+        'B' || CAST(o_custkey % 5 AS VARCHAR(5)) AS creditbucket, o_orderdate AS createdon,
+        CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblapplicantexistingobligation": f"""SELECT l_orderkey * 2 AS applicantid, l_orderkey AS loanapplicationid, {_PS} AS existingobligationid,
         CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_extendedprice * 0.2 AS DECIMAL(18,2)) END AS emiamount,
         CAST(l_extendedprice AS DECIMAL(18,2)) AS loanamount, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS isactive FROM {{lineitem}}""",
     "tblcustomersegmentationmodel": """SELECT o_orderkey * 2 AS applicantid, o_orderkey AS loanapplicationid, o_orderpriority AS custsegment,
-        1 AS isactive FROM {orders} WHERE o_orderkey % 3 <> 1""",
+        CASE WHEN o_orderkey % 3 <> 1 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloanapplicationadditionalbureau": """SELECT o_orderkey AS loanapplicationid, o_custkey % 25 AS currentstateid, 'office ' || o_orderpriority AS officeaddress,
-        o_custkey % 500 AS experianscore, 1 AS isactive FROM {orders} WHERE o_orderkey % 4 <> 2""",
+        o_custkey % 500 AS experianscore, CASE WHEN o_orderkey % 4 <> 2 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblloanbtsummary": """SELECT o_orderkey AS loanapplicationid, CAST(o_totalprice * 0.4 AS DECIMAL(18,2)) AS btloanamount,
-        CASE WHEN o_orderkey % 6 = 0 THEN 0 ELSE 1 END AS isactive FROM {orders} WHERE o_orderkey % 3 = 0""",
+        CASE WHEN o_orderkey % 6 = 3 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tblemploymentudhyamdetails": """SELECT o_orderkey * 2 AS applicantid, 'UDYAM' || CAST(o_custkey AS VARCHAR(10)) AS udhyamregnumber,
-        o_orderdate AS udhyamissuedate, 1 AS isactive FROM {orders} WHERE o_orderkey % 5 = 0""",
+        o_orderdate AS udhyamissuedate, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
     "tbldsa": """SELECT s_suppkey AS dsaid, s_suppkey + 700000 AS entityid, s_suppkey % 26 AS channeltypetypedetailid,
         CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END AS isdormant, CAST(s_nationkey AS BIGINT) AS baselocation,
         CASE WHEN s_suppkey % 12 = 11 THEN 0 ELSE 1 END AS isactive FROM {supplier}""",
@@ -416,18 +419,19 @@ RAW = {
                s_suppkey % 25 AS typeoforganisationtypedetailid, 1 AS iskycdetailverified, 0 AS isreportverified, 1 AS isfiverified,
                0 AS iscibilverified, 1 AS isfcuverified, 0 AS isagreementverified, 1 AS ispayoutannexureverified, 0 AS iscorporate,
                CAST(2 AS DECIMAL(10,4)) AS standardpayout, s_suppkey % 24 AS approvalstatustypedetailid,
-               TIMESTAMP '1996-12-01 00:00:00' AS createdon, TIMESTAMP '1997-02-01 00:00:00' AS lastmodifiedon, 1 AS isactive
-        FROM {supplier} WHERE s_suppkey % 9 <> 8
+               TIMESTAMP '1996-12-01 00:00:00' AS createdon, TIMESTAMP '1997-02-01 00:00:00' AS lastmodifiedon,
+               CASE WHEN s_suppkey % 9 <> 8 THEN 1 ELSE 0 END AS isactive
+        FROM {supplier}
         UNION ALL
         SELECT s_suppkey, 'OLD', 'old', TIMESTAMP '1995-01-01 00:00:00', TIMESTAMP '1996-01-01 00:00:00', 1, 0, 0, 0, 0, 0, 0, 0, 1,
                CAST(1 AS DECIMAL(10,4)), 1, TIMESTAMP '1995-01-01 00:00:00', TIMESTAMP '1995-02-01 00:00:00', 1 FROM {supplier} WHERE s_suppkey % 2 = 0""",
-    "tbldsarequest": """SELECT 'DSA' || CAST(s_suppkey AS VARCHAR(10)) AS draftdsaid, s_suppkey % 23 AS typeoforganisationtypedetailid,
-        s_suppkey % 22 AS occupationtypedetailid FROM {supplier} WHERE s_suppkey % 3 <> 0""",
+    "tbldsarequest": """SELECT CASE WHEN s_suppkey % 3 <> 0 THEN 'DSA' ELSE 'DRAFT' END || CAST(s_suppkey AS VARCHAR(10)) AS draftdsaid, s_suppkey % 23 AS typeoforganisationtypedetailid,
+        s_suppkey % 22 AS occupationtypedetailid FROM {supplier}""",
     "tblentitycoveredbranch": """SELECT s_suppkey + 700000 AS entityid, l_partkey % 25 AS entitycoveredbranchid,
-        CASE WHEN l_linenumber = 7 THEN 0 ELSE 1 END AS isactive FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey WHERE s_suppkey % 5 <> 0""",
+        CASE WHEN l_linenumber = 7 OR s_suppkey % 5 = 0 THEN 0 ELSE 1 END AS isactive FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey""",
     "tblloanapplicationach": """SELECT l_orderkey AS loanapplicationid, CASE WHEN l_partkey % 3 = 0 THEN 1 WHEN l_partkey % 3 = 1 THEN 0 END AS registered,
         CASE WHEN l_suppkey % 3 = 0 THEN 1991 WHEN l_suppkey % 3 = 1 THEN 1990 END AS registeredstatustypedetailid,
-        CASE WHEN l_linenumber = 1 THEN 0 ELSE 1 END AS isactive FROM {lineitem} WHERE l_linenumber < 4""",
+        CASE WHEN l_linenumber IN (2, 3) THEN 1 ELSE 0 END AS isactive FROM {lineitem}""",
     "tblloanlegaldocuments": """SELECT l_orderkey AS loanapplicationid,
         CASE l_partkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 16 WHEN 2 THEN 209 ELSE 99 END AS documentid,
         CASE WHEN l_linenumber < 5 THEN 3256 ELSE 3255 END AS documentcategorydetailid, 1957 AS documenttypedetailid,
@@ -439,39 +443,43 @@ RAW = {
         'Last' AS applicantlastname, CAST(o_totalprice AS DECIMAL(18,2)) AS amountrequest, o_orderkey % 25 AS loanproductid,
         CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS isconvertedtoloanapplication, o_custkey % 25 AS branchid,
         o_orderdate AS createdon, o_orderdate AS lastmodifiedon FROM {orders}""",
-    "tblleadfollowup": f"""SELECT l_orderkey AS leadid, {_PS} AS leadfollowupid, l_shipdate AS createdon FROM {{lineitem}} WHERE l_returnflag <> 'A'""",
+    "tblleadfollowup": f"""SELECT CASE WHEN l_returnflag <> 'A' THEN l_orderkey ELSE -l_orderkey END AS leadid, {_PS} AS leadfollowupid,
+        l_shipdate AS createdon FROM {{lineitem}}""",
     "tblloanapplicationdisbursmentfavouring": f"""SELECT l_orderkey AS loanapplicationid, {_PS} AS favouringid, l_shipdate AS disburseddate,
         CAST(l_extendedprice AS DECIMAL(18,2)) AS disbursedamount, l_partkey % 25 AS favouringcategorytypedetailid,
         l_suppkey % 25 AS transactiontypedetailid, l_shipdate AS createdon, l_shipdate + INTERVAL 1 DAY AS lastmodifiedon,
         CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS isactive FROM {{lineitem}}""",
     "tblloanapplicationpdreport": """SELECT o_orderkey AS loanapplicationid, o_custkey + 600000 AS pddonebyentityid, o_custkey % 25 AS pdstatustypedetailid,
-        o_orderdate + INTERVAL 7 DAY AS dateperformed, o_orderdate AS lastmodifiedon, 1 AS isactive FROM {orders} WHERE o_orderkey % 4 <> 3""",
+        o_orderdate + INTERVAL 7 DAY AS dateperformed, o_orderdate AS lastmodifiedon,
+        CASE WHEN o_orderkey % 4 <> 3 THEN 1 ELSE 0 END AS isactive FROM {orders}""",
 }
 
 # Silver tables as the operators read them, derived the same way.
 RAW |= {
     "slv_loan_details": """
-        SELECT o_orderkey AS loan_application_id, CASE WHEN o_orderkey % 50 <> 49 THEN o_custkey % 26 END AS branch_id,
+        SELECT CASE WHEN o_orderkey % 40 <> 39 THEN o_orderkey ELSE -o_orderkey END AS loan_application_id, CASE WHEN o_orderkey % 50 <> 49 THEN o_custkey % 26 END AS branch_id,
                o_custkey % 50 AS sales_officer_emp_id, CAST(o_orderdate AS DATE) AS login_date,
                o_orderdate + INTERVAL 15 DAY AS last_sanction_date, o_orderdate + INTERVAL 30 DAY AS last_booked_date,
-               o_orderdate + INTERVAL 20 DAY AS first_disbursal_date, o_orderdate + INTERVAL 50 DAY AS last_disbursal_date,
+               CASE WHEN o_orderkey % 33 = 1 THEN TIMESTAMP '1996-12-31 00:00:00' WHEN o_orderkey % 33 = 2 THEN TIMESTAMP '1998-03-31 00:00:00'
+                    ELSE o_orderdate + INTERVAL 20 DAY END AS first_disbursal_date, o_orderdate + INTERVAL 50 DAY AS last_disbursal_date,
                CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_totalprice * 0.6 AS DECIMAL(18,2)) END AS total_disbursed_amount,
                o_orderkey % 23 AS loan_purpose_id, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 3 = 1 THEN 0 END AS is_actually_fully_disbursed,
                CASE o_orderstatus WHEN 'F' THEN 189 WHEN 'O' THEN 190 ELSE 199 END AS loanstatus_typedetail_id,
                CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_custkey % 100 AS DECIMAL(10,4)) END AS final_foir_pct,
-               o_orderkey % 17 = 0 AS is_employee_loan FROM {orders} WHERE o_orderkey % 40 <> 39""",
+               o_orderkey % 17 = 0 AS is_employee_loan FROM {orders}""",
     "slv_contract_perf_monthly": """
         SELECT loanmonthlyid AS loan_monthly_id, loanapplicationid AS loan_application_id, make_date(summaryyear, summarymonth, 1) AS snapshot_date,
                pos, maxdeliquencyday AS max_dpd, isnpa AS is_npa, dueinterest AS due_interest, dueprinciple AS due_principal
         FROM {tblloanmonthly} WHERE isactive = 1""",
     "slv_customer": """
-        SELECT o_orderkey AS loan_application_id, CASE WHEN o_orderkey % 60 <> 59 THEN o_custkey END AS entity_id, TRUE AS is_main_applicant,
-               o_orderdate AS record_modified_at, o_custkey % 9 AS income_considered FROM {orders} WHERE o_orderkey % 7 <> 6
+        SELECT CASE WHEN o_orderkey % 7 <> 6 THEN o_orderkey ELSE -o_orderkey END AS loan_application_id, CASE WHEN o_orderkey % 60 <> 59 THEN o_custkey END AS entity_id, TRUE AS is_main_applicant,
+               o_orderdate AS record_modified_at, o_custkey % 9 AS income_considered FROM {orders}
         UNION ALL
         SELECT o_orderkey, o_custkey + 1, FALSE, o_orderdate + INTERVAL 9 DAY, 77 FROM {orders} WHERE o_orderkey % 3 = 0""",
     "slv_asset": """
-        SELECT o_orderkey AS loan_application_id, CASE o_orderkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS is_negative_area
-        FROM {orders} WHERE o_orderkey % 5 <> 4
+        SELECT CASE WHEN o_orderkey % 5 <> 4 THEN o_orderkey ELSE -o_orderkey END AS loan_application_id,
+               CASE o_orderkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS is_negative_area
+        FROM {orders}
         UNION ALL SELECT o_orderkey, o_custkey % 2 = 0 FROM {orders} WHERE o_orderkey % 4 = 0""",
     "slv_employee": """
         SELECT s_suppkey AS employee_id, CAST(s_nationkey AS INT) AS base_branch_id, s_suppkey % 9 <> 8 AS is_active,
@@ -481,14 +489,15 @@ RAW |= {
         SELECT s_suppkey, CAST(s_nationkey AS INT), s_suppkey % 9 <> 8, NULL, 'Fos' FROM {supplier} WHERE s_suppkey % 6 > 2 AND s_suppkey % 3 = 0""",
     "slv_channel_partner": """SELECT s_suppkey AS dsa_id, CASE WHEN s_suppkey % 8 <> 7 THEN CAST(s_nationkey AS BIGINT) END AS base_location_branch_id FROM {supplier}""",
     "slv_early_warning": """
-        SELECT o_orderkey + 1 AS ews_id, CAST(o_orderkey AS VARCHAR(20)) AS loan_application_id, DATE '1998-05-31' AS signal_date,
-               'MONTH_END' AS snapshot_type, CAST(o_custkey % 60 AS INT) AS ews_risk_score FROM {orders} WHERE o_orderkey % 5 < 3
+        SELECT o_orderkey + 100000000 AS ews_id,
+               CAST(CASE WHEN o_orderkey % 5 < 3 THEN o_orderkey ELSE -o_orderkey END AS VARCHAR(20)) AS loan_application_id, DATE '1998-05-31' AS signal_date,
+               'MONTH_END' AS snapshot_type, CAST(o_custkey % 60 AS INT) AS ews_risk_score FROM {orders}
         UNION ALL
         SELECT o_orderkey, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-04-30', 'MONTH_END', 99 FROM {orders} WHERE o_orderkey % 5 < 4
         UNION ALL
-        SELECT o_orderkey, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-06-15', 'CURRENT_DAY', 1 FROM {orders} WHERE o_orderkey % 5 = 0
+        SELECT o_orderkey + 200000000, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-06-15', 'CURRENT_DAY', 1 FROM {orders} WHERE o_orderkey % 5 = 0
         UNION ALL
-        SELECT o_orderkey, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-06-30', 'MONTH_END', 2 FROM {orders} WHERE o_orderkey % 10 = 3""",
+        SELECT o_orderkey + 300000000, CAST(o_orderkey AS VARCHAR(20)), DATE '1998-06-30', 'MONTH_END', 2 FROM {orders} WHERE o_orderkey % 10 = 3""",
 }
 
 

@@ -84,14 +84,15 @@ def _(t):
     return t.spark.table(table).select("event_id", "user_id", "event_type", "day")
 
 
-@query("s8_retention", "SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE ts >= DATE '2024-01-10'")
+# Thirteen months before the last day of February is the last day of January.
+@query("s8_retention", "SELECT event_id, CAST(ts + INTERVAL 2 DAY AS DATE) AS day FROM events WHERE ts + INTERVAL 2 DAY >= DATE '2024-01-31'")
 def _(t):
     table = f"{scratch_database(t.spark)}.snapshots"
-    as_of = date(2025, 7, 10)
-    rows = t["events"].select("event_id", F.to_date("ts").alias("day"))
+    as_of, months = date(2025, 2, 28), 13
+    rows = t["events"].select("event_id", F.date_add(F.to_date("ts"), 2).alias("day"))
     sinks.full_refresh(rows, table, partition_by=["day"])
-    sinks.drop_expired(t.spark, table, "day", as_of)
-    return retain(t.spark.table(table).select("event_id", "day"), "day", as_of)
+    sinks.drop_expired(t.spark, table, "day", as_of, months)
+    return retain(t.spark.table(table).select("event_id", "day"), "day", as_of, months)
 
 
 @query("s9_keep_latest_of_type", """

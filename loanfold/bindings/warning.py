@@ -98,7 +98,7 @@ def _(t):
 
 CONSTRUCTION_SQL = f"""
     SELECT loan_application_id, TRUE AS construction_delay_sma1_flag FROM slv_loan_details WHERE loanstatus_typedetail_id = 189 AND loan_purpose_id IN (16, 1, 5)
-    AND first_disbursal_date <= DATE '1996-12-30' AND COALESCE(is_actually_fully_disbursed, 0) = 0 AND loan_application_id IN {_in_bucket("2570")}"""
+    AND first_disbursal_date <= DATE '1996-12-31' AND COALESCE(is_actually_fully_disbursed, 0) = 0 AND loan_application_id IN {_in_bucket("2570")}"""
 
 
 @query("c32_construction_delay", CONSTRUCTION_SQL)
@@ -107,7 +107,7 @@ def _(t):
 
 
 TITLE_SQL = """
-    SELECT loan_application_id, TRUE AS title_doc_delay_flag FROM slv_loan_details WHERE loanstatus_typedetail_id = 189 AND first_disbursal_date <= DATE '1998-03-30'
+    SELECT loan_application_id, TRUE AS title_doc_delay_flag FROM slv_loan_details WHERE loanstatus_typedetail_id = 189 AND first_disbursal_date <= DATE '1998-03-31'
     AND EXISTS (SELECT 1 FROM tblloanlegaldocuments WHERE loanapplicationid = loan_application_id AND documentid IN (1, 3, 16, 70, 81, 118, 130, 209)
                 AND documentcategorydetailid = 3256 AND documenttypedetailid = 1957 AND COALESCE(documentstatustypedetailid, 0) NOT IN (1948, 1949, 1951))"""
 

@@ -45,7 +45,8 @@ def add_months_eom(c, months: int) -> Column:
 
 
 def months_before(day: date, months: int) -> Column:
-    return F.add_months(F.lit(day), -months)
+    """The day that many months earlier; from the last day of a month, the last day of that month."""
+    return add_months_eom(F.lit(day), -months)
 
 
 def days_between(later, earlier) -> Column:

@@ -47,12 +47,12 @@ def percentage(part, whole, kind: str = "decimal(6,2)") -> Column:
 
 
 def share(part, whole) -> Column:
-    """part of whole in percent, two decimals; 0 when whole is 0, NULL when it is NULL."""
+    """part of whole in percent, not rounded; 0 when whole is 0, NULL when it is NULL."""
     part, whole = _col(part).cast("double"), _col(whole).cast("double")
-    return F.when(whole == 0, 0.0).otherwise(F.round(part / F.nullif(whole, F.lit(0.0)) * 100, 2))
+    return F.when(whole == 0, 0.0).otherwise(part / F.nullif(whole, F.lit(0.0)) * 100)
 
 
 def rate_of_positive(part, whole) -> Column:
-    """part of whole in percent, two decimals; NULL unless whole is positive."""
+    """part of whole in percent, not rounded; NULL unless whole is positive."""
     part, whole = _col(part).cast("double"), _col(whole).cast("double")
-    return F.when(whole > 0, F.round(part / F.nullif(whole, F.lit(0.0)) * 100, 2))
+    return F.when(whole > 0, part / F.nullif(whole, F.lit(0.0)) * 100)
