@@ -1,30 +1,33 @@
 """The silver tables themselves, built from the derived raw tables.
 
-Plain renames in the SQL come from the same name lists as the builds; everything computed is written out.
+Nothing in the SQL comes from the builds: plain renames are written out in columns.py, everything computed here.
 """
 
+import re
+
 from ..plans import (
     asset, branch, channel_partner, collections_daily, contract_perf_monthly, customer, early_warning, employee,
     enquiry, loan_details, loan_processing, repayment_behavior,
 )
+from ..session import checkpointed
+from ..sources.tables import Tables
+from . import columns as k
 from . import portfolio as p
 from . import warning as w
 from .raw import AS_OF, RUN_TS
-from .registry import query
+from .registry import Inputs, query
 
 _AUDIT = "TIMESTAMP '1998-06-30 18:30:15' AS silver_loaded_at, '19980630_183015' AS silver_batch_id"
 
 
-def _cols(columns, source: str = "") -> str:
-    """'source.column AS name' for a rename map, or 'source.name' for a list."""
-    dot = f"{source}." if source else ""
-    if isinstance(columns, dict):
-        return ", ".join(f"{dot}{c} AS {n}" for n, c in columns.items())
-    return ", ".join(f"{dot}{c}" for c in columns)
+#: SQL of the built tables before their decimals are shown as doubles, for the chained queries.
+EXACT: dict[str, str] = {}
 
 
-def _doubles(names: str, sql: str) -> str:
+def _doubles(names: str, sql: str, table: str = "") -> str:
     """Show the named decimal columns as doubles."""
+    if table:
+        EXACT[table] = sql
     return f"SELECT * REPLACE ({', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in names.split())}) FROM ({sql})"
 
 
@@ -49,15 +52,15 @@ LOAN_DETAILS_SQL = _doubles("""
     foir_waiver ltv_waiver tenure_waiver lcr_waiver insr_waiver pos sell_pos base_rate_pct plr_spread_pct final_roi_pct waiver_roi_pct add_spread
     eligible_loan_amount proposed_emi income_considered obligation_considered property_value_considered final_foir_pct final_ltv_pct
     combined_ltv_pct insr_pct foir_norm ltv_norm dltv dltv_with_insurance dlcr dlcr_with_insurance combined_dltv combined_dlcr""", f"""
-    SELECT x.loanapplicationid AS loan_application_id, {_cols(loan_details.APPLICATION, "x")}, UPPER(TRIM(x.applicationnumber)) AS application_number,
+    SELECT x.loanapplicationid AS loan_application_id, {k.LOAN_APPLICATION}, UPPER(TRIM(x.applicationnumber)) AS application_number,
            x.isemployeeloan = 1 AS is_employee_loan, CAST(x.date AS DATE) AS application_date,
-           {_cols(loan_details.DISBURSAL, "ds")}, CAST(ds.moratoriummonths AS INT) AS moratorium_months, TRIM(ds.fundingsouce) AS funding_source,
-           {", ".join(f"CAST(ds.{c} AS DECIMAL(10,2)) AS {n}" for n, c in loan_details.DISBURSAL_RATIOS.items())},
-           {_cols(loan_details.ADDITIONAL, "lad")}, CAST(lad.logindate AS DATE) AS login_date, CAST(lad.firstsancationdate AS DATE) AS first_sancation_date,
-           r.paydueday AS current_emi_cycle_day, COALESCE(r.aroi, s.finalroi) AS current_roi_pct, {_cols(loan_details.SPREAD, "s")},
+           {k.LOAN_DISBURSAL}, CAST(ds.moratoriummonths AS INT) AS moratorium_months, TRIM(ds.fundingsouce) AS funding_source,
+           {k.LOAN_DISBURSAL_RATIOS},
+           {k.LOAN_ADDITIONAL}, CAST(lad.logindate AS DATE) AS login_date, CAST(lad.firstsancationdate AS DATE) AS first_sancation_date,
+           r.paydueday AS current_emi_cycle_day, COALESCE(r.aroi, s.finalroi) AS current_roi_pct, {k.LOAN_SPREAD},
            COALESCE(acc.first_date, x.createdon) AS login_acceptance_date, COALESCE(t.current_tenure_months, x.sanctionedtenure) AS current_tenure_months,
            COALESCE(t.balance_tenure_months, x.sanctionedtenure) AS balance_tenure_months, COALESCE(t.current_emi, lad.currentemi) AS current_emi,
-           due.pos, due.sellpos AS sell_pos, {_cols(loan_details.DECISION, "dec")},
+           due.pos, due.sellpos AS sell_pos, {k.LOAN_DECISION},
            CASE WHEN wv.loanapplicationid IS NOT NULL THEN COALESCE(wv.foirwaiver, 0) END AS foir_waiver,
            CASE WHEN wv.loanapplicationid IS NOT NULL THEN COALESCE(wv.ltvwaiver, 0) END AS ltv_waiver,
            CASE WHEN wv.loanapplicationid IS NOT NULL THEN COALESCE(wv.waivertenure, 0) END AS tenure_waiver,
@@ -83,7 +86,7 @@ LOAN_DETAILS_SQL = _doubles("""
     LEFT JOIN mstproduct pr ON pr.productid = x.loanproductid AND pr.isactive = 1
     LEFT JOIN {_newest("tbldsarenewal", "lastmodifiedon DESC", "dsaid")} dsa ON dsa.dsaid = x.channelpartnerdsaid
     {_JOINS}
-    LEFT JOIN tbltypedetail cat ON cat.typedetailid = x.refinanceschemeid""")
+    LEFT JOIN tbltypedetail cat ON cat.typedetailid = x.refinanceschemeid""", "slv_loan_details")
 
 
 @query("g1_loan_details", LOAN_DETAILS_SQL)
@@ -96,14 +99,11 @@ def _name_sql(*parts: str) -> str:
 
 
 _OCCUPATION_KEY = "applicantid, loanapplicationid"
-_SIDES = {n: ("x", c) for n, c in customer.APPLICANT_LABELS.items()}
-_SIDES |= {n: ("occ", c) for n, c in customer.OCCUPATION_LABELS.items()} | {n: ("ad", c) for n, c in customer.ADDRESS_LABELS.items()}
-_SIDES |= {"kyc_status": ("ks", "verifiedstatustypedetailid"), "current_risk": ("rk", "risk")}
-_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in _SIDES)
-_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {a}.{c}" for n, (a, c) in _SIDES.items())
+_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in k.APPLICANT_LABELS)
+_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {a}.{c}" for n, (a, c) in k.APPLICANT_LABELS.items())
 CUSTOMER_SQL = _doubles("gross_income assessed_income total_existing_emi total_existing_loan_amt bt_loan_amount", f"""
     SELECT * EXCLUDE (_relation), CASE WHEN is_main_applicant THEN 'Self' ELSE _relation END AS relationship_to_main FROM (
-    SELECT x.applicantid AS applicant_id, x.loanapplicationid AS loan_application_id, {_cols(customer.APPLICANT, "x")},
+    SELECT x.applicantid AS applicant_id, x.loanapplicationid AS loan_application_id, {k.APPLICANT},
            {_name_sql("x.firstname", "x.middlename", "x.lastname")} AS full_name, CAST(x.dateofbirth AS DATE) AS date_of_birth, {_COLS},
            CASE x.isminority WHEN 1 THEN TRUE WHEN 0 THEN FALSE END AS is_minority, COALESCE(x.ismainapplicant = 1, FALSE) AS is_main_applicant,
            {_name_sql("x.fatherfirstname", "x.fathermiddlename", "x.fatherlastname")} AS father_name,
@@ -114,8 +114,8 @@ CUSTOMER_SQL = _doubles("gross_income assessed_income total_existing_emi total_e
            x.livingstandardtypedetailid IS NOT NULL AS lsi, CASE x.isnegativeprofile WHEN 1 THEN TRUE WHEN 0 THEN FALSE END AS negative_caution_profile,
            CASE x.iscustomerhavepoliticallink WHEN 1 THEN TRUE WHEN 0 THEN FALSE END AS is_politacally_linked,
            CASE x.isregularrtrpostdefault WHEN 1 THEN 'Yes' WHEN 0 THEN 'No' END AS regular_rtr, sg.custsegment AS customer_segment,
-           {_cols(customer.KYC, "ky")}, bu.currentstateid AS current_state, {_cols(customer.ADDRESS, "ad")}, UPPER(TRIM(occ.companyname)) AS company_name,
-           CAST(occ.dateofincorporation AS DATE) AS dincorporation_joining_date, {_cols(customer.OCCUPATION, "occ")},
+           {k.APPLICANT_KYC}, bu.currentstateid AS current_state, {k.APPLICANT_ADDRESS}, UPPER(TRIM(occ.companyname)) AS company_name,
+           CAST(occ.dateofincorporation AS DATE) AS dincorporation_joining_date, {k.APPLICANT_OCCUPATION},
            inc.applicantgrossincome AS gross_income, inc.assessedmonthlyincome AS assessed_income, bu.officeaddress AS business_office_address,
            ud.udhyamregnumber AS udyam_reg_no, ud.udhyamissuedate AS udyam_reg_date, CAST(ci.score AS INT) AS cibil_score, sc.underwritingscore AS a_score,
            sc.creditbucket AS credit_bucket, bu.experianscore AS experian_score, ob.total_existing_emi, ob.existing_obligation_count, ob.total_existing_loan_amt,
@@ -139,7 +139,7 @@ CUSTOMER_SQL = _doubles("gross_income assessed_income total_existing_emi total_e
     LEFT JOIN (SELECT * FROM tblloanapplicationadditionalbureau WHERE isactive = 1) bu ON bu.loanapplicationid = x.loanapplicationid
     LEFT JOIN (SELECT * FROM tblloanbtsummary WHERE isactive = 1) bt ON bt.loanapplicationid = x.loanapplicationid
     LEFT JOIN (SELECT * FROM tblemploymentudhyamdetails WHERE isactive = 1) ud ON ud.applicantid = x.applicantid
-    {_JOINS})""")
+    {_JOINS})""", "slv_customer")
 
 
 @query("g2_customer", CUSTOMER_SQL)
@@ -149,12 +149,12 @@ def _(t):
 
 @query("g3_contract_perf_monthly", _doubles("""
     pos sell_pos due_interest due_principal previous_due outstanding_insurance accrued_interest_notdue provisions_value risk_weight roi current_ltv""", f"""
-    SELECT {_cols(contract_perf_monthly.MONTHLY, "m")}, CASE WHEN m.isrestructured = '1' THEN TRUE WHEN m.isrestructured IN ('0', 'NULL') THEN FALSE END AS is_restructured,
+    SELECT {k.MONTHLY}, CASE WHEN m.isrestructured = '1' THEN TRUE WHEN m.isrestructured IN ('0', 'NULL') THEN FALSE END AS is_restructured,
            make_date(m.summaryyear, m.summarymonth, 1) AS snapshot_date, last_day(make_date(m.summaryyear, m.summarymonth, 1)) AS snapshot_month_end,
            d.typedetaildisplaytext AS loan_status, e.startdate AS engagement_date, pp.partnername AS partner_name, e.engagementtype || '_' || e.assignmenttype AS engagement_type, {_AUDIT}
     FROM tblloanmonthly m LEFT JOIN tbltypedetail d ON d.typedetailid = m.statustypedetailid AND d.isactive = 1
     LEFT JOIN tblportfoliopartnerengagementdetail e ON e.engagementid = m.engagementid AND e.isactive = 1
-    LEFT JOIN mstportfoliopartner pp ON pp.partnerid = e.partnerid AND pp.isactive = 1 WHERE m.isactive = 1"""))
+    LEFT JOIN mstportfoliopartner pp ON pp.partnerid = e.partnerid AND pp.isactive = 1 WHERE m.isactive = 1""", "slv_contract_perf_monthly"))
 def _(t):
     return contract_perf_monthly.build(t.raw, t.raw, AS_OF, RUN_TS)
 
@@ -164,15 +164,10 @@ def _number_sql(c: str, strip: str = "trim", kind: str = "DECIMAL(20,2)") -> str
     return f"CAST(CASE WHEN regexp_matches({text}, '^-?[0-9]+(\\.[0-9]+)?$') THEN CAST({text} AS {kind}) END AS DOUBLE)"
 
 
-_PLACES = {"sur": asset.SURROUNDING, "ds": asset.DISBURSAL, "vet": asset.VETTING, "leg": asset.LEGAL, "lf": asset.LEGAL_FIRING,
-           "tf": asset.TECH_FIRING, "val": asset.VALUATION}
-_PLAIN = ", ".join(_cols({n: c for n, c in columns.items() if not n.startswith("_")}, a) for a, columns in _PLACES.items())
-_OWNER = {code: (a, c) for a, columns in (*_PLACES.items(), ("x", asset.PROPERTY)) for code, c in columns.items()}
-_ASSET_LABELS = {**asset.PROPERTY_LABELS, **asset.LOAN_LABELS}
-_LABEL_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in _ASSET_LABELS)
-_LABEL_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {_OWNER[code][0]}.{_OWNER[code][1]}" for n, code in _ASSET_LABELS.items())
+_LABEL_COLS = ", ".join(f"d_{n}.typedetaildescription AS {n}" for n in k.PROPERTY_LABELS)
+_LABEL_JOINS = "\n".join(f"LEFT JOIN tbltypedetail d_{n} ON d_{n}.typedetailid = {a}.{c}" for n, (a, c) in k.PROPERTY_LABELS.items())
 _SEEN = "(sur.technicaladdress IS NOT NULL AND sur.technicaladdress <> '0')"
-_ADDRESS_TAIL = " || ".join(f"CASE WHEN COALESCE(TRIM(leg.{c}), '') = '' THEN '' ELSE ', ' || TRIM(leg.{c}) END" for c in asset.LEGAL_ADDRESS[1:])
+_ADDRESS_TAIL = " || ".join(f"CASE WHEN COALESCE(TRIM(leg.{c}), '') = '' THEN '' ELSE ', ' || TRIM(leg.{c}) END" for c in k.LEGAL_ADDRESS[1:])
 
 
 def _newest_loan(table: str) -> str:
@@ -181,13 +176,13 @@ def _newest_loan(table: str) -> str:
 
 ASSET_SQL = _doubles("""agreement_land_rate_per_sqft agreement_buildup_existing_rate_per_sqft agreement_buildup_proposed_rate_per_sqft
     agreement_super_buildup_rate_per_sqft revised_market_value""", f"""
-    SELECT x.loanapplicationid AS loan_application_id, {_cols(asset.PROPERTY, "x")}, {_PLAIN}, {_LABEL_COLS},
+    SELECT x.loanapplicationid AS loan_application_id, {k.PROPERTY}, {k.PROPERTY_FACTS}, {_LABEL_COLS},
            COALESCE(x.isfirstproperty = 1, FALSE) AS is_first_property, x.isnegativearea = 1 AS is_negative_area,
            CAST(CASE WHEN regexp_matches(TRIM(x.propertyareasquareft), '^-?[0-9]+$') THEN CAST(TRIM(x.propertyareasquareft) AS DECIMAL(20,0)) END AS DOUBLE) AS property_area_sqft,
            {_number_sql("x.mvofproperty", "noise")} AS market_value,
            CASE WHEN {_SEEN} THEN sur.technicaladdress ELSE COALESCE(x.propertyaddress, '') || ' ' || COALESCE(x.landmark, '') END AS property_address,
            CASE WHEN {_SEEN} THEN vc.cityname ELSE oc.cityname END AS property_city, CASE WHEN {_SEEN} THEN sur.pacitytehsiltalukatownid ELSE oc.cityid END AS property_city_id,
-           CASE WHEN {_SEEN} THEN vd.districtname ELSE od.districtname END AS property_district, CASE WHEN {_SEEN} THEN sur.padistrictid ELSE od.districtid END AS property_district_id,
+           CASE WHEN {_SEEN} THEN vd.districtname ELSE od.districtname END AS property_district, CASE WHEN {_SEEN} THEN sur.padistrictid ELSE oc.districtid END AS property_district_id,
            CASE WHEN {_SEEN} THEN vs.statename ELSE os.statename END AS property_state, CASE WHEN {_SEEN} THEN sur.pastateid ELSE os.stateid END AS property_state_id,
            TRY_CAST(CASE WHEN {_SEEN} THEN TRIM(sur.papincode) ELSE TRIM(x.pincode) END AS INT) AS property_pincode,
            {_number_sql("sur.latitude", "noise", "DECIMAL(20,8)")} * CASE WHEN sur.latitude ILIKE '%S%' THEN -1 ELSE 1 END AS latitude,
@@ -220,7 +215,7 @@ ASSET_SQL = _doubles("""agreement_land_rate_per_sqft agreement_buildup_existing_
     LEFT JOIN mstdistrict od ON od.districtid = x.districtid AND od.isactive = 1 LEFT JOIN mstdistrict vd ON vd.districtid = sur.padistrictid AND vd.isactive = 1
     LEFT JOIN mststate os ON os.stateid = x.stateid AND os.isactive = 1 LEFT JOIN mststate vs ON vs.stateid = sur.pastateid AND vs.isactive = 1
     LEFT JOIN mstagency ta ON ta.agencyid = tf.agencyid AND ta.isactive = 1 LEFT JOIN mstagency la ON la.agencyid = lf.agencyid AND la.isactive = 1
-    {_LABEL_JOINS} WHERE x.isactive = 1""")
+    {_LABEL_JOINS} WHERE x.isactive = 1""", "slv_asset")
 
 
 @query("g4_asset", ASSET_SQL)
@@ -228,36 +223,29 @@ def _(t):
     return asset.build(t.raw, t.raw, AS_OF, RUN_TS)
 
 
-_RENEWAL = {n: c for n, c in channel_partner.RENEWAL.items() if not n.startswith("_")}
-
-
 @query("g5_channel_partner", _doubles("is_standard_payout", f"""
-    SELECT x.dsaid AS dsa_id, x.entityid AS entity_id, x.isactive, x.isdormant, x.baselocation AS base_location_branch_id, {_cols(_RENEWAL, "r")},
-           {_cols(channel_partner.REQUEST, "q")}, ct.typedetaildisplaytext AS channel_type, ot.typedetaildisplaytext AS type_of_organisation_type_detail_id_value,
+    SELECT x.dsaid AS dsa_id, x.entityid AS entity_id, x.isactive, x.isdormant, x.baselocation AS base_location_branch_id, {k.RENEWAL},
+           {k.REQUEST}, ct.typedetaildisplaytext AS channel_type, ot.typedetaildisplaytext AS type_of_organisation_type_detail_id_value,
            qt.typedetaildisplaytext AS organisation_type_id_value, ap.typedetaildisplaytext AS agreement_status,
            CASE WHEN ap.typedetailcode = 'Initiated' THEN 'FI Positive' ELSE 'FI Negative' END AS fi_status, COALESCE(c.n, 0) AS covered_branch_count, {_AUDIT}
     FROM tbldsa x LEFT JOIN {_newest("tbldsarenewal", "lastmodifiedon DESC", "dsaid")} r USING (dsaid)
     LEFT JOIN tbldsarequest q ON q.draftdsaid = r.dsacode LEFT JOIN tbltypedetail ct ON ct.typedetailid = x.channeltypetypedetailid
     LEFT JOIN tbltypedetail ot ON ot.typedetailid = r.typeoforganisationtypedetailid LEFT JOIN tbltypedetail qt ON qt.typedetailid = q.typeoforganisationtypedetailid
     LEFT JOIN tbltypedetail ap ON ap.typedetailid = r.approvalstatustypedetailid
-    LEFT JOIN (SELECT entityid, COUNT(*) AS n FROM tblentitycoveredbranch WHERE isactive = 1 GROUP BY 1) c ON c.entityid = x.entityid WHERE x.isactive = 1"""))
+    LEFT JOIN (SELECT entityid, COUNT(*) AS n FROM tblentitycoveredbranch WHERE isactive = 1 GROUP BY 1) c ON c.entityid = x.entityid WHERE x.isactive = 1""", "slv_channel_partner"))
 def _(t):
     return channel_partner.build(t.raw, t.raw, AS_OF, RUN_TS)
 
 
-_PAID = {n: f"s.{c}" if n not in ("paytype", "id") else {"paytype": "a.paytype", "id": "COALESCE(a.presentationdetailid, a.receiptid)"}[n]
-         for n, c in repayment_behavior.REPAYMENT.items()}
-
-
 @query("g6_repayment_behavior", _doubles("due_amount principal interest closing_balance applicable_roi", f"""
-    SELECT {_cols(_PAID)} FROM tblloanapplicationpayschedule s
+    SELECT {k.PAID} FROM tblloanapplicationpayschedule s
     JOIN tblloanpaymentadjust a ON a.loanapplicationid = s.loanapplicationid AND a.payscheduleid = s.payscheduleid
     WHERE s.isactive = 1 AND a.isactive = 1 AND s.duedate <= DATE '1998-06-30'"""))
 def _(t):
     return repayment_behavior.build(t.raw, t.raw, AS_OF, RUN_TS)
 
 
-@query("g7_employee", f"""
+EMPLOYEE_SQL = f"""
     SELECT e.employeeid AS employee_id, UPPER(TRIM(e.employeecode)) AS employee_code, TRIM(e.employeename) AS employee_name,
            CAST(e.basebranchid AS INT) AS base_branch_id, b.branchname AS base_branch_name, e.departmentid AS department, e.designationtypedetailid AS designation,
            d.typedetaildescription AS designation_name, e.designationleveltypedetailid AS designation_level, CAST(e.parentemployeeid AS INT) AS parent_employee_id,
@@ -268,7 +256,10 @@ def _(t):
     LEFT JOIN ({p.SCORECARD_SQL}) s ON s.sales_officer_emp_id = e.employeeid
     LEFT JOIN (SELECT entityid, MAX(branchname) AS branchname FROM mstbranch WHERE isactive = 1 GROUP BY 1) b ON b.entityid = e.entityid
     LEFT JOIN tbltypedetail d ON d.typedetailid = e.designationtypedetailid
-    LEFT JOIN tbluser u ON u.entityid = e.entityid AND u.isactive = 1 LEFT JOIN tbluserbranch ub ON ub.userid = u.userid AND ub.isactive = 1""")
+    LEFT JOIN tbluser u ON u.entityid = e.entityid AND u.isactive = 1 LEFT JOIN tbluserbranch ub ON ub.userid = u.userid AND ub.isactive = 1"""
+
+
+@query("g7_employee", EMPLOYEE_SQL)
 def _(t):
     return employee.build(t.raw, t.raw, AS_OF, RUN_TS)
 
@@ -282,21 +273,24 @@ _BRANCH_SQL = f"""
            TRIM(b.cersaicode) AS cersai_code, b.createdon AS record_created_at, b.lastmodifiedon AS record_modified_at, {_AUDIT}
     FROM {_newest("mstbranch", "lastmodifiedon DESC NULLS LAST", "branchid")} b LEFT JOIN mstregion r ON r.regionid = b.regionid
     LEFT JOIN mstzone z ON z.zoneid = r.zoneid LEFT JOIN tblemployee e ON e.employeeid = b.branchinchargeemployeeid"""
-_QUALITY_COLS = ", ".join([*(f"COALESCE(q.{c}, 0) AS {c}" for c in branch.QUALITY), "q.gross_npa_pct",
+_QUALITY_COLS = ", ".join([*(f"COALESCE(q.{c}, 0) AS {c}" for c in k.BRANCH_QUALITY), "q.gross_npa_pct",
                            "COALESCE(st.active_employee_count, 0) AS active_employee_count", "COALESCE(st.no_of_fos, 0) AS no_of_fos",
                            "COALESCE(dp.active_dsa_count, 0) AS active_dsa_count"])
 _QUALITY_JOINS = f"""LEFT JOIN ({p.QUALITY_SQL}) q ON q.branch_id = x.branch_id LEFT JOIN ({p.STAFF_SQL}) st ON st.base_branch_id = x.branch_id
     LEFT JOIN (SELECT base_location_branch_id, COUNT(*) AS active_dsa_count FROM slv_channel_partner GROUP BY 1) dp ON dp.base_location_branch_id = x.branch_id"""
 
 
-@query("g8_branch", f"""
-    SELECT x.*, {", ".join(f"COALESCE(a.{c}, 0) AS {c}" for c in ["total_loans_originated", *branch.ACTIVITY])}, {_QUALITY_COLS}
-    FROM ({_BRANCH_SQL}) x LEFT JOIN ({p.ACTIVITY_SQL}) a ON a.branch_id = x.branch_id {_QUALITY_JOINS}""")
+BRANCH_SQL = f"""
+    SELECT x.*, {", ".join(f"COALESCE(a.{c}, 0) AS {c}" for c in ["total_loans_originated", *k.BRANCH_ACTIVITY])}, {_QUALITY_COLS}
+    FROM ({_BRANCH_SQL}) x LEFT JOIN ({p.ACTIVITY_SQL}) a ON a.branch_id = x.branch_id {_QUALITY_JOINS}"""
+
+
+@query("g8_branch", BRANCH_SQL)
 def _(t):
     return branch.build(t.raw, t.raw, AS_OF, RUN_TS)
 
 
-@query("g9_collections_daily", _doubles("pos valuation_distress_sale_value", f"""
+COLLECTIONS_SQL = _doubles("pos valuation_distress_sale_value", f"""
     SELECT s.loanduestatusid AS loan_due_status_id, s.loanapplicationid AS loan_application_id, CAST(s.transactiondate AS DATE) AS transaction_date, s.pos,
            CAST(COALESCE(s.unadjustedamount, 0) + COALESCE(CAST(o.total_emi_due_amount AS DECIMAL(18,2)), 0) AS DOUBLE) AS total_demand,
            o.cnt_emi_due, o.total_emi_due_amount, o.principal_over_due, o.interest_over_due, CAST(s.maxdeliquencyday AS INT) AS max_dpd,
@@ -315,7 +309,10 @@ def _(t):
     LEFT JOIN slv_loan_details ld ON ld.loan_application_id = s.loanapplicationid
     LEFT JOIN (SELECT loan_application_id, income_considered FROM slv_customer QUALIFY ROW_NUMBER() OVER (PARTITION BY loan_application_id
                ORDER BY CASE WHEN is_main_applicant THEN 0 ELSE 1 END, record_modified_at DESC) = 1) m ON m.loan_application_id = s.loanapplicationid
-    WHERE s.isactive = 1"""))
+    WHERE s.isactive = 1""")
+
+
+@query("g9_collections_daily", COLLECTIONS_SQL)
 def _(t):
     return collections_daily.build(t.raw, t.raw, AS_OF, RUN_TS)
 
@@ -325,7 +322,7 @@ _SIGNALS = {"multi_loan_stress": w.STRESS_SQL, "negative_area_flag": w.AREA_SQL,
             "bounce_fy_sma1_flag": w.BOUNCE_SQL}
 
 
-@query("g10_early_warning", f"""
+WARNING_SQL = f"""
     SELECT CAST(ROW_NUMBER() OVER (ORDER BY s.loan_application_id) + (SELECT MAX(ews_id) FROM slv_early_warning) AS BIGINT) AS ews_id,
            CAST(s.loan_application_id AS VARCHAR) AS loan_application_id, DATE '1998-06-30' AS signal_date, 'MONTH_END' AS snapshot_type, DATE '1998-06-30' AS snapshot_month,
            dpd_trend_direction, high_foir_flag, {", ".join(_SIGNALS)}, ews_risk_score, {w.GRADE_SQL} AS ews_risk_grade, {w.ACTION_SQL} AS recommended_action,
@@ -338,25 +335,32 @@ _SIGNALS = {"multi_loan_stress": w.STRESS_SQL, "negative_area_flag": w.AREA_SQL,
         {" ".join(f"LEFT JOIN ({sql}) s_{n} ON s_{n}.loan_application_id = ld.loan_application_id" for n, sql in _SIGNALS.items())})) s
     LEFT JOIN ({w.PREVIOUS_SQL}) h ON h.loan_application_id = s.loan_application_id
     WHERE NOT EXISTS (SELECT 1 FROM slv_early_warning e WHERE e.loan_application_id = CAST(s.loan_application_id AS VARCHAR) AND e.signal_date = DATE '1998-06-30'
-                      AND e.snapshot_type = 'MONTH_END')""")
+                      AND e.snapshot_type = 'MONTH_END')"""
+
+
+@query("g10_early_warning", WARNING_SQL)
 def _(t):
     return early_warning.build(t.raw, t.raw, AS_OF, RUN_TS)
 
 
-@query("g11_branch_historical", f"""
+HISTORY_SQL = f"""
     WITH marks AS (SELECT branch_id, date_trunc('month', login_date) AS m, 'total_logins' AS kind FROM slv_loan_details
               UNION ALL SELECT branch_id, date_trunc('month', last_sanction_date), 'total_loans_sanctioned' FROM slv_loan_details
               UNION ALL SELECT branch_id, date_trunc('month', last_booked_date), 'total_loans_booked' FROM slv_loan_details
               UNION ALL SELECT branch_id, date_trunc('month', last_disbursal_date), 'total_loans_disbursed' FROM slv_loan_details
               UNION ALL SELECT branch_id, date_trunc('month', createdon), 'total_loans_disbursal_cancelled' FROM slv_loan_details JOIN tblloanapplicationstatushistory
               ON loanapplicationid = loan_application_id WHERE isactive = 1 AND loanstatustypedetailid = 1619),
-    monthly AS (SELECT branch_id, CAST(m AS DATE) AS day, {", ".join(f"COUNT(*) FILTER (WHERE kind = '{c}') AS {c}" for c in branch.ACTIVITY)} FROM marks GROUP BY 1, 2)
-    SELECT CAST(g.m AS DATE) AS snapshot_date, x.*, COALESCE(o.n, 0) AS total_loans_originated, {", ".join(f"COALESCE(k.{c}, 0) AS {c}" for c in branch.ACTIVITY)}, {_QUALITY_COLS}
+    monthly AS (SELECT branch_id, CAST(m AS DATE) AS day, {", ".join(f"COUNT(*) FILTER (WHERE kind = '{c}') AS {c}" for c in k.BRANCH_ACTIVITY)} FROM marks GROUP BY 1, 2)
+    SELECT CAST(g.m AS DATE) AS snapshot_date, x.*, COALESCE(o.n, 0) AS total_loans_originated, {", ".join(f"COALESCE(mo.{c}, 0) AS {c}" for c in k.BRANCH_ACTIVITY)}, {_QUALITY_COLS}
     FROM ({_BRANCH_SQL}) x CROSS JOIN generate_series(DATE '1996-06-01', DATE '1998-06-01', INTERVAL 1 MONTH) AS g(m)
-    LEFT JOIN monthly k ON k.branch_id = x.branch_id AND k.day = CAST(g.m AS DATE)
-    LEFT JOIN (SELECT branch_id, COUNT(*) AS n FROM slv_loan_details GROUP BY 1) o ON o.branch_id = x.branch_id {_QUALITY_JOINS}""")
+    LEFT JOIN monthly mo ON mo.branch_id = x.branch_id AND mo.day = CAST(g.m AS DATE)
+    LEFT JOIN (SELECT branch_id, COUNT(*) AS n FROM slv_loan_details GROUP BY 1) o ON o.branch_id = x.branch_id {_QUALITY_JOINS}"""
+
+
+@query("g11_branch_historical", HISTORY_SQL)
 def _(t):
-    return branch.build_history(t.raw, t.raw, AS_OF, RUN_TS)
+    built = Tables.from_frames({"slv_branch": branch.build(t.raw, t.raw, AS_OF, RUN_TS), "slv_loan_details": t.raw["slv_loan_details"]})
+    return branch.build_history(t.raw, built, AS_OF, RUN_TS)
 
 
 @query("g12_enquiry", f"""
@@ -388,3 +392,55 @@ def _(t):
                WHERE isactive = 1 AND isapplicationaccepted = 1 GROUP BY 1) h USING (loanapplicationid)""")
 def _(t):
     return loan_processing.build(t.raw, t.raw, AS_OF, RUN_TS)
+
+
+# The same tables over silver tables that were built, not derived.
+
+_BUILDS = {"slv_loan_details": loan_details.build, "slv_customer": customer.build, "slv_contract_perf_monthly": contract_perf_monthly.build,
+           "slv_asset": asset.build, "slv_channel_partner": channel_partner.build, "slv_employee": employee.build, "slv_branch": branch.build}
+_BUILT: dict[tuple[str, str], Tables] = {}
+
+
+def built(t: Inputs) -> Tables:
+    """The silver tables, each built and written when first used in a session. The history stays the derived one."""
+    def load(name: str):
+        return checkpointed(_BUILDS[name](t.raw, tables, AS_OF, RUN_TS), name) if name in _BUILDS else t.raw[name]
+
+    tables = _BUILT.setdefault((t.spark.sparkContext.applicationId, t.sf_dir), Tables(load))
+    return tables
+
+
+def _chained(sql: str) -> str:
+    """The SQL with built tables in place of the derived ones."""
+    parts = EXACT | {"slv_employee": EMPLOYEE_SQL}
+    inner = {name: f"built_{name} AS MATERIALIZED ({text})" for name, text in parts.items()}
+    body = ",\n".join(inner.values())
+    body += ",\n" + sql.strip()[4:] if sql.strip().startswith("WITH") else "\n" + sql
+    for name in parts:
+        body = re.sub(rf"\b{name}\b(?! AS MATERIALIZED)", f"built_{name}", body)
+    return "WITH " + body.replace("built_built_", "built_")
+
+
+@query("g7_employee_chained", _chained(EMPLOYEE_SQL))
+def _(t):
+    return employee.build(t.raw, built(t), AS_OF, RUN_TS)
+
+
+@query("g8_branch_chained", _chained(BRANCH_SQL))
+def _(t):
+    return branch.build(t.raw, built(t), AS_OF, RUN_TS)
+
+
+@query("g9_collections_daily_chained", _chained(COLLECTIONS_SQL))
+def _(t):
+    return collections_daily.build(t.raw, built(t), AS_OF, RUN_TS)
+
+
+@query("g10_early_warning_chained", _chained(WARNING_SQL))
+def _(t):
+    return early_warning.build(t.raw, built(t), AS_OF, RUN_TS)
+
+
+@query("g11_branch_historical_chained", _chained(HISTORY_SQL))
+def _(t):
+    return branch.build_history(t.raw, built(t), AS_OF, RUN_TS)
