@@ -12,8 +12,8 @@ RETENTION_MONTHS = 18
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
-    """Rows whose key is not in the target yet."""
-    return df.join(target.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not in the target yet. The target's keys are made unique first, so a repeated one costs nothing."""
+    return df.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def retain(df: DataFrame, date_column: str, as_of: date, months: int = RETENTION_MONTHS) -> DataFrame:

@@ -35,7 +35,7 @@ def first_acceptance(status_history: DataFrame) -> DataFrame:
 
 def newest_reschedule(reschedules: DataFrame) -> DataFrame:
     return newest_per_key(reschedules.filter(active()), "loanapplicationid", "disbursalreschedulementid",
-                          carry=["aroi", "paydueday"])
+                          carry=["aroi", "paydueday"], ties=[])
 
 
 def newest_spread(spreads: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def check_flags(checks: DataFrame) -> DataFrame:
 def newest_decision(responses: DataFrame, columns: list[str]) -> DataFrame:
     """The newest sanction response of the rule engine."""
     return newest_per_key(responses.filter(F.col("outputtype") == SANCTION), "loanapplicationid",
-                          "ruleengineresponseid", carry=columns)
+                          "ruleengineresponseid", carry=columns, ties=[])
 
 
 def tranche_summary(tranches: DataFrame) -> DataFrame:

@@ -83,8 +83,12 @@ def indicator_text() -> Column:
 
 
 def previous_scores(history: DataFrame, as_of: date, key: str = "loan_application_id") -> DataFrame:
-    """Score of the newest month-end snapshot before the run date."""
-    earlier = history.filter((F.col("snapshot_type") == "MONTH_END") & (F.col("signal_date") < F.lit(as_of)))
+    """Score of the newest month-end snapshot before the run date.
+
+    A month-end snapshot has the last day of a month as its date, which also prunes a history that is partitioned by day.
+    """
+    day = F.col("signal_date")
+    earlier = history.filter((F.col("snapshot_type") == "MONTH_END") & (day < F.lit(as_of)) & (F.last_day(day) == day))
     newest = newest_per_key(earlier, key, "signal_date", carry=["ews_risk_score"])
     return newest.select(key, F.col("ews_risk_score").alias("previous_month_ews_score"))
 

@@ -9,7 +9,8 @@ from ..operators import signals
 from ..operators.history import new_rows
 from ..operators.scoring import indicator_text, recommended_action, risk_grade, risk_score, with_score_trend
 from ..operators.sequence import global_sequence
-from ..sources.sinks import append_new, audit_stamp, drop_expired, ensure_table
+from ..session import scratch
+from ..sources.sinks import append_by_name, audit_stamp, drop_expired, ensure_table
 from ..sources.tables import Tables
 from .common import join_sides
 
@@ -64,11 +65,15 @@ def score(flagged: DataFrame, history: DataFrame, as_of: date) -> DataFrame:
 
 
 def build(raw: Tables, silver: Tables, as_of: date, run_ts: datetime) -> DataFrame:
-    """The rows of the run day that the history lacks, numbered after its largest id."""
+    """The rows of the run day that the history lacks, numbered after its largest id.
+
+    Ids grow from day to day, so the largest one is in the newest day's partition.
+    """
     history = silver[TABLE].withColumn("loan_application_id", F.col("loan_application_id").cast("bigint"))
     scored = score(flags(raw, silver, as_of), history, as_of)
     fresh = new_rows(scored, history.filter(F.col("signal_date") == F.lit(as_of)))
-    largest = history.agg(F.coalesce(F.max("ews_id"), F.lit(0))).scalar()
+    newest = history.filter(F.col("signal_date") == history.agg(F.max("signal_date")).scalar())
+    largest = newest.agg(F.coalesce(F.max("ews_id"), F.lit(0))).scalar()
     df = global_sequence(fresh, "loan_application_id", "ews_id", start=largest)
     df = audit_stamp(df, run_ts, prefix="gold")
     return df.select(*[F.col(name).cast(kind) for name, kind in COLUMNS.items()])
@@ -78,5 +83,6 @@ def run(spark: SparkSession, raw: Tables, silver: Tables, database: str, as_of:
     """Create the table once, append the day, drop what is past retention."""
     table = f"{database}.{TABLE}"
     ensure_table(spark, table, SCHEMA, partition_by=["signal_date"])
-    append_new(build(raw, silver, as_of, run_ts), table, within=F.col("signal_date") == F.lit(as_of))
+    with scratch(spark):
+        append_by_name(build(raw, silver, as_of, run_ts), table, list(COLUMNS))
     drop_expired(spark, table, "signal_date", as_of)

@@ -6,7 +6,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.sinks import full_refresh, layout
+from ..operators.signals import LOAN
+from ..sources.sinks import bucketed_refresh, full_refresh, layout
 from ..sources.tables import Tables
 from . import (
     asset, branch, channel_partner, collections_daily, contract_perf_monthly, customer, early_warning, employee,
@@ -38,12 +39,20 @@ SILVER = {
 
 
 def refresh(spark: SparkSession, raw: Tables, database: str, as_of: date, run_ts: datetime,
-            names: Sequence[str] = ()) -> None:
-    """Rebuild the named tables (all by default) and append the day's early-warning rows."""
+            names: Sequence[str] = (), buckets: int | None = None) -> None:
+    """Rebuild the named tables (all by default) and append the day's early-warning rows.
+
+    Tables keyed by loan are written in buckets of the loan (by default as many as there are shuffle partitions), so that
+    the tables after them join them without a shuffle.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     silver = Tables.from_catalog(spark, database)
     for name, table in SILVER.items():
         if not names or name in names:
             df = table.build(raw, silver, as_of, run_ts)
-            full_refresh(layout(df, table.key, table.sort), f"{database}.{name}")
+            if table.key == LOAN:
+                bucketed_refresh(df, f"{database}.{name}", LOAN, buckets, table.sort)
+            else:
+                full_refresh(layout(df, table.key, table.sort), f"{database}.{name}")
     if not names or early_warning.TABLE in names:
         early_warning.run(spark, raw, silver, database, as_of, run_ts)

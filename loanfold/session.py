@@ -2,9 +2,16 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made below the shared one since the outermost scratch() began.
+_made: list[str] = []
+#: Temporary folders of sessions on one machine; they go when Python ends.
+_local: list[tempfile.TemporaryDirectory] = []
+
 
 def local_session(cpus: int = 8, name: str = "loanfold", memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -30,18 +37,34 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="loanfold-"))
+    _local.append(tempfile.TemporaryDirectory(prefix="loanfold-", ignore_cleanup_errors=True))
+    context.setCheckpointDir(_local[-1].name)
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and cut its lineage. Runs a job."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def checkpointed(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write df to the shared folder and read it back, which cuts its lineage. Runs one job."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/loanfold/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_folder(spark).rstrip('/')}/loanfold/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that are made inside when the block ends, whether it fails or not."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for folder in _made[first:]:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        del _made[first:]

@@ -3,22 +3,44 @@
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from ..functions.dates import batch_id, moment, months_before
 from ..operators.history import RETENTION_MONTHS, SNAPSHOT_KEY, new_rows
 
 
 def full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table by the rows of df."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    """Replace a table by the rows of df.
+
+    A table with partitions is overwritten in place, as a catalog may keep a path for each of them.
+    """
+    writer = df.write.format("parquet")
+    if partition_by:
+        writer.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    else:
+        _swap_in(df.sparkSession, writer, table)
 
 
 def bucketed_refresh(df: DataFrame, table: str, key: str, buckets: int, sort_keys: Sequence[str] = ()) -> None:
-    """Replace a table by df in buckets of a key, so that later joins and groupings on it need no shuffle."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(*(sort_keys or [key]))
-     .saveAsTable(table))
+    """Replace a table by df in buckets of a key, so that later joins and groupings on it need no shuffle.
+
+    Rows are dealt out by the key first, so that each task writes the one file of its bucket.
+    """
+    order = list(dict.fromkeys([key, *sort_keys]))
+    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(*order)
+    _swap_in(df.sparkSession, writer, table)
+
+
+def _swap_in(spark: SparkSession, writer: DataFrameWriter, table: str) -> None:
+    """Write beside the table, then change names: a failed write leaves the old rows where they were."""
+    new, old = f"{table}__new", f"{table}__old"
+    for leftover in (new, old):
+        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+    writer.saveAsTable(new)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def ensure_table(spark: SparkSession, table: str, schema: str, partition_by: Sequence[str] = ()) -> bool:
@@ -35,8 +57,10 @@ def empty_clone(df: DataFrame, extra: Sequence[tuple[str, str]] = ()) -> DataFra
 
 
 def append_by_name(df: DataFrame, table: str, columns: Sequence[str]) -> None:
-    """Append the listed columns, matched by name."""
-    df.select(*columns).write.mode("append").format("parquet").saveAsTable(table)
+    """Append the listed columns, matched by name, to the table's partitions if it has any."""
+    writer = df.select(*columns).write.mode("append").format("parquet")
+    partitions = partition_columns(df.sparkSession, table)
+    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(table)
 
 
 def append_new(df: DataFrame, table: str, keys: Sequence[str] = SNAPSHOT_KEY, within=None) -> None:
@@ -48,10 +72,7 @@ def append_new(df: DataFrame, table: str, keys: Sequence[str] = SNAPSHOT_KEY, wi
     if within is not None:
         target = target.filter(within)
     columns = df.sparkSession.table(table).columns
-    rows = new_rows(df, target, keys).select(*columns)
-    writer = rows.write.mode("append").format("parquet")
-    partitions = partition_columns(df.sparkSession, table)
-    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(table)
+    append_by_name(new_rows(df, target, keys), table, columns)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:

@@ -1,5 +1,6 @@
 """The whole refresh over raw tables derived from the smallest test tables, into a catalog database."""
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -9,6 +10,7 @@ from loanfold.bindings.raw import AS_OF, RUN_TS, raw_tables
 from loanfold.bindings.tables_and_rows import scratch_database
 from loanfold.plans import early_warning
 from loanfold.plans.refresh import SILVER, refresh
+from loanfold.session import shared_folder
 from loanfold.sources import sinks
 from loanfold.sources.tables import Tables
 
@@ -45,6 +47,37 @@ def test_grain(spark, database, table, key):
     assert rows.count() == rows.select(*key).distinct().count()
 
 
+def test_values_of_the_chain(spark, database):
+    """Tables read what was built before them, and nothing is left beside them."""
+    loans = spark.table(f"{database}.slv_loan_details")
+    daily = spark.table(f"{database}.slv_collections_daily").join(loans.select("loan_application_id", F.col("is_employee_loan").alias("of")),
+                                                                   "loan_application_id", "left")
+    assert daily.filter("NOT is_employee_loan <=> of").count() == 0
+    branches = spark.table(f"{database}.slv_branch")
+    months = spark.table(f"{database}.slv_branch_historical")
+    figures = ["total_pos", "active_loan_count", "active_employee_count", "total_loans_originated"]
+    assert months.select("branch_id", *figures).distinct().exceptAll(branches.select("branch_id", *figures)).count() == 0
+    assert not [t.name for t in spark.catalog.listTables(database) if t.name.endswith(("__new", "__old"))]
+
+
+def test_failed_refresh_keeps_the_old_table(spark):
+    table = f"{scratch_database(spark)}.t"
+    sinks.full_refresh(spark.range(5), table)
+    with pytest.raises(Exception):
+        sinks.full_refresh(spark.range(5).select(F.raise_error(F.lit("no")).alias("id")), table)
+    assert spark.table(table).count() == 5
+    sinks.bucketed_refresh(spark.range(7), table, "id", 3)
+    assert spark.table(table).count() == 7
+
+
+def test_numbering_leaves_nothing_in_the_shared_folder(spark, raw, database):
+    folder = f"{shared_folder(spark)}/loanfold"
+    before = set(os.listdir(folder))
+    refresh(spark, raw, database, date(1998, 6, 29), datetime(1998, 6, 29, 1), names=["slv_early_warning"])
+    assert set(os.listdir(folder)) == before
+    spark.sql(f"ALTER TABLE {database}.slv_early_warning DROP PARTITION (signal_date = DATE '1998-06-29')")
+
+
 def test_second_run_of_a_day_adds_nothing(spark, raw, database):
     table = spark.table(f"{database}.slv_early_warning")
     before = table.count()
