@@ -6,6 +6,8 @@ from .fmindex import suffix_order
 
 #: Transforms merged at once; their numbers fit a byte.
 MOST_SHARDS = 250
+#: Distinct signs up to which two of them fit a sort key of 16 bits.
+FEW_SIGNS = 255
 
 
 class ShardTransform:
@@ -33,34 +35,65 @@ class ShardTransform:
         self.symbols[starts_string[order]] = 0
         self.string = np.repeat(np.arange(n), sizes + 1)[order]
         self.offset = order - firsts[self.string]
-        self.strings = n
+        self.sizes = sizes
+
+    def before(self) -> np.ndarray:
+        """The sign two places before each sorted suffix, where there are two: one step back, then the sign before that."""
+        from_ = np.argsort(self.symbols, kind="stable")[len(self.sizes):]
+        back = np.zeros(len(self.symbols), np.int64)
+        back[from_] = len(self.sizes) + np.arange(len(from_))
+        return np.where(self.symbols > 0, self.symbols[back], 0)
+
+    def tails(self, length: int) -> np.ndarray:
+        """Signs of the suffix of each string that has length bytes before its end sign, at most one."""
+        if not length:
+            return np.zeros(len(self.sizes), np.uint16)
+        last = np.zeros(len(self.sizes), np.uint16)
+        ends = self.offset == self.sizes[self.string]  # the bare end signs: what stands before them is the last byte
+        last[self.string[ends]] = self.symbols[ends]
+        return last
 
 
 def merge(shards: list[ShardTransform], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Interleave of the shards' sorted suffixes: the shard of each, and the number of its group of equal prefixes.
 
-    Round j takes the interleave that is right for j - 1 signs, reads each shard's transform along it, and deals the entries out
-    by sign, keeping their order: that is the interleave right for j signs. Two neighbours share j signs if they have the same
-    sign and what they came from shared j - 1, so after depth rounds a group is an interval of common prefix depth or more.
-    Suffixes are never compared. All end signs count as equal; they stay first, in the order of shards and strings.
+    A round takes the interleave that is right for j signs, reads each shard's transform along it, and deals the entries out
+    by what stands before them, keeping their order: that is the interleave right for more signs. Two neighbours share
+    these if they were dealt to the same place and what they came from shared j, so in the end a group is an interval of
+    common prefix depth or more. Suffixes are never compared. Where two signs fit one key, a round deals out by two at
+    a time. Suffixes too short to come from another one are dealt out first, in the order of shards and strings; their end
+    signs count as equal.
     """
     sizes = [len(s.symbols) for s in shards]
-    symbols = np.concatenate([s.symbols for s in shards])
-    shard = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
-    ends = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.strings for s in shards])
+    used, symbols = np.unique(np.concatenate([s.symbols for s in shards]), return_inverse=True)
+    if used[0] != 0:
+        raise ValueError("a transform without an end sign")
+    number = np.arange(len(shards), dtype=np.uint8)
+    shard = np.repeat(number, sizes)
+    strings = np.repeat(number, [len(s.sizes) for s in shards])
+    tails = [np.searchsorted(used, np.concatenate([s.tails(k) for s in shards])) for k in (0, 1)]
+    symbols = symbols.astype(np.uint16)
     group = np.zeros(len(symbols), np.int32)
+    by_two = len(used) <= FEW_SIGNS
+    if by_two:
+        second = np.searchsorted(used, np.concatenate([s.before() for s in shards]))
+        pairs = np.where((symbols > 0) & (second > 0), second * len(used) + symbols, 0).astype(np.uint16)
+    # Per kind of round: keys in each shard's own order (0: nothing to deal out), keys of the short suffixes dealt out first.
+    singly = symbols, tails[0].astype(np.uint16)
+    doubly = (pairs, np.concatenate([tails[0], tails[1] * len(used)]).astype(np.uint16)) if by_two else None
+    rounds = [doubly] * (depth // 2) + [singly] * (depth % 2) if by_two else [singly] * depth
     read = np.empty_like(symbols)
-    for _ in range(depth):
-        read[np.argsort(shard, kind="stable")] = symbols  # each shard's transform in its own order
-        dealt = np.argsort(read, kind="stable")[len(ends):]
-        sign, came = read[dealt], group[dealt]
-        new = np.empty(len(symbols), bool)
-        new[:len(ends)] = False
-        if len(dealt):
-            new[len(ends)] = True
-            new[len(ends) + 1:] = (sign[1:] != sign[:-1]) | (came[1:] != came[:-1])
-        shard = np.concatenate([ends, shard[dealt]])
-        group = np.cumsum(new, dtype=np.int32)
+    for keys, short in rounds:
+        read[np.argsort(shard, kind="stable")] = keys  # each shard's transform in its own order
+        from_ = np.flatnonzero(read)
+        first = np.tile(strings, len(short) // len(strings))
+        key = np.concatenate([short, read[from_]])
+        dealt = np.argsort(key, kind="stable")
+        key = key[dealt]
+        came = np.concatenate([np.full(len(short), -1, np.int32), group[from_]])[dealt]
+        shard = np.concatenate([first, shard[from_]])[dealt]
+        group = np.zeros(len(key), np.int32)
+        np.cumsum((key[1:] != key[:-1]) | (came[1:] != came[:-1]), out=group[1:])
     return shard, group
 
 

@@ -6,17 +6,17 @@ SAMPLE = 4
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Places of all suffixes in sorted order, by doubling the sorted length. The last number must be the only smallest."""
+    """Places of all suffixes in sorted order, by doubling the sorted length. A suffix comes before those it starts."""
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+    rank = text.astype(np.int64)
     width = 1
     while True:
-        tail = np.zeros(n, np.int64)
-        tail[:max(0, n - width)] = rank[width:] + 1
-        key = rank * (n + 1) + tail
-        order = np.argsort(key, kind="stable")
+        key = rank * (int(rank.max(initial=0)) + 2)
+        key[:max(0, n - width)] += rank[width:] + 1
+        order = np.argsort(key)
+        in_order = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[0, np.diff(key[order]) != 0])
+        rank[order] = np.cumsum(np.r_[0, in_order[1:] != in_order[:-1]][:n])
         width *= 2
         if n == 0 or rank[order[-1]] == n - 1:
             return order

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 from .bwt import MOST_SHARDS, least_owners
 from .common import saved
 
-BLOCK_BYTES = 16 << 20
-CHUNK = 1 << 18
+BLOCK_BYTES = 8 << 20
+CHUNK = 1 << 15
 #: Length of an anchor. A window of 50 bytes holds 27 of them and is sent along with the one of smallest hash.
 ANCHOR = 24
 LAST = np.iinfo(np.int64).max
@@ -100,7 +100,7 @@ class Block:
         first, h = join(firsts, np.int64), join(hashes, np.uint64)
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         key = ((h // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        order = np.argsort((bucket << 32) | key, kind="stable")
+        order = np.argsort((bucket << 32) | key)
         self.run_first, self.run_windows, self.run_doc = first[order], join(lengths, np.int64)[order], join(docs, np.int64)[order]
         self.run_bucket, self.run_key = bucket[order], key[order]
 
@@ -133,47 +133,66 @@ class Block:
 
     def pieces(self) -> tuple["Pieces", np.ndarray]:
         """Distinct pieces of text under the kept runs in the order of buckets, and the piece of each run."""
-        sizes = self.run_windows + self.window - 1
-        all_ = Pieces(self.run_bucket, self.run_key, sizes, self.owner[self.run_doc], self.text[ragged(self.run_first, sizes)])
-        return all_.distinct()
+        size = self.run_windows + self.window - 1
+        width = -(-int(size.max(initial=0)) // 8)
+        words = np.empty((len(size), width), "<u8")
+        at = np.ndarray((len(self.text) + 1,), "<u8", np.concatenate([self.text, np.zeros(8 * width + 8, np.uint8)]), strides=(1,))
+        for k in range(width):
+            last = np.clip(size - 8 * k, 0, 8)
+            mask = np.where(last == 8, ~np.uint64(0), (np.uint64(1) << (8 * last).astype(np.uint64) % np.uint64(64)) - np.uint64(1))
+            words[:, k] = at[np.minimum(self.run_first + 8 * k, len(self.text))] & mask
+        return Pieces(self.run_bucket, self.run_key, size, self.owner[self.run_doc], words).distinct()
 
 
 class Pieces:
-    """Strings of at least a window under anchors: bucket, key, length, smallest owner, and all their bytes."""
+    """Strings of at least a window under anchors: bucket, key, length, smallest owner, and bytes in words, padded by zeros."""
 
-    def __init__(self, bucket, key, size, owner, text):
-        self.bucket, self.key, self.size, self.owner, self.text = bucket, key, size, owner, text
+    def __init__(self, bucket, key, size, owner, words):
+        self.bucket, self.key, self.size, self.owner, self.words = bucket, key, size, owner, words
+
+    @classmethod
+    def from_text(cls, bucket, key, size, owner, text) -> "Pieces":
+        table = np.zeros((len(size), -(-int(size.max(initial=0)) // 8) * 8), np.uint8)
+        table[np.arange(table.shape[1]) < size[:, None]] = text
+        return cls(bucket, key, size, owner, table.view("<u8"))
+
+    def text(self, rows=slice(None)) -> np.ndarray:
+        """The bytes of some pieces, one after the other."""
+        table = np.ascontiguousarray(self.words[rows]).view(np.uint8)
+        return table[np.arange(table.shape[1]) < self.size[rows][:, None]]
 
     def distinct(self) -> tuple["Pieces", np.ndarray]:
         """Equal pieces as one with their smallest owner, sorted by bucket and key; and the new number of each."""
         n = len(self.size)
         if not n:
             return self, np.empty(0, np.int64)
-        width = -(-int(self.size.max()) // 8) * 8
-        table = np.zeros((n, width), np.uint8)
-        table[np.repeat(np.arange(n), self.size), ragged(np.zeros(n, np.int64), self.size)] = self.text
-        words = table.view("<u8")
         h = self.size.astype(np.uint64) * MIX[11]
-        for k in range(words.shape[1]):
-            h = (h ^ words[:, k]) * MIX[k % len(MIX)]
+        for k in range(self.words.shape[1]):
+            h = (h ^ self.words[:, k]) * MIX[k % len(MIX)]
             h ^= h >> np.uint64(31)
-        order = np.lexsort((h, self.key, self.bucket))
-        for _ in range(2):
-            a, b = order[1:], order[:-1]
-            tied = (h[a] == h[b]) & (self.key[a] == self.key[b]) & (self.bucket[a] == self.bucket[b])
-            same = tied & (self.size[a] == self.size[b]) & (words[a] == words[b]).all(axis=1)
-            if (same == tied).all():
-                break
-            order = np.lexsort((*words.T, self.size, h, self.key, self.bucket))  # two pieces share a hash
-        new = np.r_[True, ~same]
-        heads = np.flatnonzero(new)
+        # One sort key: the number of the anchor in order, then the hash.
+        by_anchor = np.argsort((self.bucket << 32) | self.key)
+        new = np.r_[True, (np.diff(self.key[by_anchor]) != 0) | (np.diff(self.bucket[by_anchor]) != 0)]
+        anchor = np.empty(n, np.uint64)
+        anchor[by_anchor] = np.cumsum(new)
+        h = (anchor << np.uint64(32)) | (h >> np.uint64(32))
+        order = np.argsort(h)
+        tied = h[order[1:]] == h[order[:-1]]
+        same = tied & self._equal(order)
+        if (same != tied).any():  # two pieces of an anchor share a hash
+            order = np.lexsort((*self.words.T, self.size, h))
+            same = (h[order[1:]] == h[order[:-1]]) & self._equal(order)
+        heads = np.flatnonzero(np.r_[True, ~same])
         number = np.empty(n, np.int64)
-        number[order] = np.cumsum(new) - 1
+        number[order] = np.cumsum(np.r_[True, ~same]) - 1
         first = order[heads]
         owner = np.minimum.reduceat(self.owner[order], heads)
-        starts = np.cumsum(self.size) - self.size
-        text = self.text[ragged(starts[first], self.size[first])]
-        return Pieces(self.bucket[first], self.key[first], self.size[first], owner, text), number
+        return Pieces(self.bucket[first], self.key[first], self.size[first], owner, self.words[first]), number
+
+    def _equal(self, order: np.ndarray) -> np.ndarray:
+        """Whether each piece but the first in this order equals the one before it."""
+        rows = self.words[order]
+        return (self.size[order[1:]] == self.size[order[:-1]]) & (rows[1:] == rows[:-1]).all(axis=1)
 
 
 def first_owners(pieces: Pieces, shard: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,8 +215,7 @@ def first_owners(pieces: Pieces, shard: np.ndarray, window: int) -> tuple[np.nda
     if len(mixed):
         home = np.empty(n, np.int64)
         home[number[::-1]] = shard[::-1]  # the shard of its first copy
-        texts = np.cumsum(one.size) - one.size
-        found = least_owners(one.text[ragged(texts[mixed], one.size[mixed])], one.size[mixed],
+        found = least_owners(one.text(mixed), one.size[mixed],
                              np.unique(home[mixed], return_inverse=True)[1] % MOST_SHARDS, one.owner[mixed], window)
         value[ragged(starts[mixed], windows[mixed])] = found
     # Stretches of equal owners inside each piece, then for each piece asked for.
@@ -254,19 +272,18 @@ def repeated_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
         number, block = opened(left, right)
         pieces, _ = block.pieces()
         names, payloads = [], []
-        starts = np.cumsum(pieces.size) - pieces.size
         for rows in np.split(np.arange(len(pieces.size)), np.flatnonzero(np.diff(pieces.bucket)) + 1):
             if len(rows):
-                a, b = starts[rows[0]], starts[rows[-1]] + pieces.size[rows[-1]]
                 names.append(int(pieces.bucket[rows[0]]))
-                payloads.append(packed(pieces.key[rows], pieces.size[rows].astype(np.uint16), pieces.owner[rows], pieces.text[a:b]))
+                payloads.append(packed(pieces.key[rows].astype(np.uint32), pieces.size[rows].astype(np.uint16), pieces.owner[rows],
+                                       pieces.text(rows)))
         return pa.Table.from_batches([_rows(names, [number] * len(names), payloads)])
 
     def judged(bucket: pa.Table) -> pa.Table:
-        parts = [unpacked(x, np.int64, np.uint16, np.int64, np.uint8) for x in bucket["data"].to_pylist()]
+        parts = [unpacked(x, np.uint32, np.uint16, np.int64, np.uint8) for x in bucket["data"].to_pylist()]
         counts = np.array([len(p[0]) for p in parts])
         key, size, owner, text = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        pieces = Pieces(np.zeros(len(key), np.int64), key, size.astype(np.int64), owner, text)
+        pieces = Pieces.from_text(np.zeros(len(key), np.int64), key.astype(np.int64), size.astype(np.int64), owner, text)
         number, length, first = first_owners(pieces, np.repeat(np.arange(len(parts)), counts), window)
         cut = np.cumsum(counts)[:-1]
         inner = np.r_[0, np.cumsum(number)][np.cumsum(counts)[:-1]]
@@ -292,8 +309,7 @@ def repeated_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
         change = np.zeros(len(block.text) + 1, np.int32)
         np.add.at(change, first, 1)
         np.add.at(change, first + length[at] + window - 1, -1)
-        gone = np.cumsum(change[:-1]) > 0
-        del change
+        gone = np.cumsum(change[:-1], out=change[:-1]) > 0
         rows = [], [], [], [], []
         names = left["ids"][0].as_py()
         for i, (a, n) in enumerate(zip(block.first.tolist(), block.size.tolist())):
