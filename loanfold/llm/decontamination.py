@@ -161,7 +161,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, columns: list[str], width: int =
     """
     windows = saved(item_windows(benchmark, width), "windows")
     n_blocks = max(1, -(-windows.count() // block_windows))
-    found = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), "text")
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
     for block in range(n_blocks):
         part = windows.filter(F.pmod(F.xxhash64("item", "window"), F.lit(n_blocks)) == block)
         found = _searched(found, [tuple(r) for r in part.collect()])

@@ -33,9 +33,14 @@ MAIN = frozenset("article main".split())
 ASIDE = frozenset("nav footer aside form menu dialog select button fieldset head noscript datalist".split())
 #: Words in class, id or role that mark what surrounds an article.
 AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disclaimer|footer|head(?:er)?-?nav|header|menu|"
-    r"modal|nav|navbar|navigation|newsletter|notices?|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|"
-    r"sponsor\w*|subscribe|toolbar|widget|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|adsbygoogle|adslot|adunit|advert\w*|alert|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|"
+    r"complementary|contentinfo|disclaimer|discussion|disqus\w*|footer|gdpr|menu|modal|nav|navbar|navigation|newsletter|notices?|"
+    r"notification|outbrain|overlay|paywall|popover|popup|privacy|promo\w*|related|replies|respond|responses?|search|share|"
+    r"sharing|sidebar|social|sponsor\w*|subscribe|taboola|toast|toolbar|widget)(?:$|[\s_-])", re.I)
+#: The same for what only counts outside an article, where it is the page's own.
+TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
+#: Names of elements that stand for an article element.
+MAIN_NAMED = re.compile(r"(?:^|\s)(?:main|(?:article|entry|main|page|post|story)[_-]?(?:body|content|text))(?:$|\s)", re.I)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.I)
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?>[^<>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>""", re.S)
@@ -106,13 +111,14 @@ def blocks(page: str) -> list[Block]:
                 if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack and stack[-1][0] == name == "li":
                     stack.pop()
                 _, around, main = stack[-1] if stack else ("", False, 0)
-                if name in MAIN and not main:
+                names = " ".join(x[1] or x[2] or x[3] or "" for x in NAMED.finditer(attributes)) if attributes else ""
+                if name in ("html", "body"):
+                    names = ""
+                if not main and (name in MAIN or (not around and MAIN_NAMED.search(names))):
                     mains += 1
                     around, main = False, mains
-                names = " ".join(x[1] or x[2] or x[3] or "" for x in NAMED.finditer(attributes)) if attributes else ""
-                around = (around or name in ASIDE or (name == "header" and not main)
-                          or bool(names and name not in ("html", "body") and AROUND.search(names))
-                          or bool(attributes and HIDDEN.search(attributes)))
+                around = bool(around or name in ASIDE or AROUND.search(names) or (attributes and HIDDEN.search(attributes))
+                              or (not main and (name == "header" or TOP.search(names))))
                 stack.append((name, around, main))
     add(page[at:])
     end_block()
