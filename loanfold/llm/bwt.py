@@ -4,8 +4,6 @@ import numpy as np
 
 from .fmindex import suffix_order
 
-#: Transforms merged at once; their numbers fit a byte.
-MOST_SHARDS = 250
 #: Distinct signs up to which two of them fit a sort key of 16 bits.
 FEW_SIGNS = 255
 
@@ -13,7 +11,8 @@ FEW_SIGNS = 255
 class ShardTransform:
     """Transform of one shard's strings, each with an end sign of its own below all bytes.
 
-    symbols: the sign before each sorted suffix, 0 for an end sign, else byte + 1.
+    symbols: the sign before each sorted suffix, 0 for an end sign, else byte + 1; before a whole string stands its own
+    end sign. back: where the suffix that begins with this sign is sorted.
     string, offset: where each sorted suffix starts.
     """
 
@@ -28,73 +27,46 @@ class ShardTransform:
         text[inside] = strings.astype(np.int64) + n
         text[ends] = np.arange(n)
         order = suffix_order(text)
-        signs = np.where(inside, text - n + 1, 0).astype(np.uint16)
-        self.symbols = signs[order - 1]
-        starts_string = np.zeros(len(text), bool)
-        starts_string[firsts] = True
-        self.symbols[starts_string[order]] = 0
         self.string = np.repeat(np.arange(n), sizes + 1)[order]
         self.offset = order - firsts[self.string]
-        self.sizes = sizes
-
-    def before(self) -> np.ndarray:
-        """The sign two places before each sorted suffix, where there are two: one step back, then the sign before that."""
-        from_ = np.argsort(self.symbols, kind="stable")[len(self.sizes):]
-        back = np.zeros(len(self.symbols), np.int64)
-        back[from_] = len(self.sizes) + np.arange(len(from_))
-        return np.where(self.symbols > 0, self.symbols[back], 0)
-
-    def tails(self, length: int) -> np.ndarray:
-        """Signs of the suffix of each string that has length bytes before its end sign, at most one."""
-        if not length:
-            return np.zeros(len(self.sizes), np.uint16)
-        last = np.zeros(len(self.sizes), np.uint16)
-        ends = self.offset == self.sizes[self.string]  # the bare end signs: what stands before them is the last byte
-        last[self.string[ends]] = self.symbols[ends]
-        return last
+        signs = np.where(inside, text - n + 1, 0).astype(np.uint16)
+        self.symbols = np.where(self.offset > 0, signs[order - 1], 0)
+        # The k-th suffix that begins with a sign comes from the k-th row that stands after one; end signs by their strings.
+        after = np.argsort(self.symbols, kind="stable")
+        self.back = np.empty(len(text), np.int64)
+        self.back[after[n:]] = np.arange(n, len(text))
+        self.back[after[:n]] = self.string[after[:n]]
 
 
 def merge(shards: list[ShardTransform], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards' sorted suffixes: the shard of each, and the number of its group of equal prefixes.
+    """Interleave of the shards' sorted suffixes, as rows of all shards in turn, and each one's group of equal prefixes.
 
-    A round takes the interleave that is right for j signs, reads each shard's transform along it, and deals the entries out
-    by what stands before them, keeping their order: that is the interleave right for more signs. Two neighbours share
+    A round takes the interleave that is right for j signs, reads the transforms along it, and deals the entries out by
+    the signs before them, keeping their order: that is the interleave right for more signs. Two neighbours share
     these if they were dealt to the same place and what they came from shared j, so in the end a group is an interval of
     common prefix depth or more. Suffixes are never compared. Where two signs fit one key, a round deals out by two at
-    a time. Suffixes too short to come from another one are dealt out first, in the order of shards and strings; their end
-    signs count as equal.
+    a time. End signs count as equal, and nothing is read beyond them.
     """
-    sizes = [len(s.symbols) for s in shards]
     used, symbols = np.unique(np.concatenate([s.symbols for s in shards]), return_inverse=True)
-    if used[0] != 0:
-        raise ValueError("a transform without an end sign")
-    number = np.arange(len(shards), dtype=np.uint8)
-    shard = np.repeat(number, sizes)
-    strings = np.repeat(number, [len(s.sizes) for s in shards])
-    tails = [np.searchsorted(used, np.concatenate([s.tails(k) for s in shards])) for k in (0, 1)]
-    symbols = symbols.astype(np.uint16)
+    firsts = np.cumsum([0] + [len(s.symbols) for s in shards[:-1]])
+    back = np.concatenate([s.back + a for s, a in zip(shards, firsts)])
+    # Keys to deal out by, rows to go to, and rows whose end sign hides what they came from.
+    rounds = [(symbols.astype(np.uint16), back, symbols == 0)] * depth
+    if len(used) <= FEW_SIGNS:
+        second = symbols[back]
+        pairs = np.where(second > 0, second * len(used) + symbols, 0).astype(np.uint16)
+        rounds = [(pairs, back[back], (symbols == 0) | (second == 0))] * (depth // 2) + rounds[:depth % 2]
+    rows = np.arange(len(symbols))
     group = np.zeros(len(symbols), np.int32)
-    by_two = len(used) <= FEW_SIGNS
-    if by_two:
-        second = np.searchsorted(used, np.concatenate([s.before() for s in shards]))
-        pairs = np.where((symbols > 0) & (second > 0), second * len(used) + symbols, 0).astype(np.uint16)
-    # Per kind of round: keys in each shard's own order (0: nothing to deal out), keys of the short suffixes dealt out first.
-    singly = symbols, tails[0].astype(np.uint16)
-    doubly = (pairs, np.concatenate([tails[0], tails[1] * len(used)]).astype(np.uint16)) if by_two else None
-    rounds = [doubly] * (depth // 2) + [singly] * (depth % 2) if by_two else [singly] * depth
-    read = np.empty_like(symbols)
-    for keys, short in rounds:
-        read[np.argsort(shard, kind="stable")] = keys  # each shard's transform in its own order
-        from_ = np.flatnonzero(read)
-        first = np.tile(strings, len(short) // len(strings))
-        key = np.concatenate([short, read[from_]])
+    for keys, to, hidden in rounds:
+        key = keys[rows]
         dealt = np.argsort(key, kind="stable")
         key = key[dealt]
-        came = np.concatenate([np.full(len(short), -1, np.int32), group[from_]])[dealt]
-        shard = np.concatenate([first, shard[from_]])[dealt]
-        group = np.zeros(len(key), np.int32)
+        came = np.where(hidden[rows], np.int32(-1), group)[dealt]
+        rows = to[rows[dealt]]
         np.cumsum((key[1:] != key[:-1]) | (came[1:] != came[:-1]), out=group[1:])
-    return shard, group
+        group[0] = 0
+    return rows, group
 
 
 def least_owners(strings: np.ndarray, sizes: np.ndarray, shard: np.ndarray, owner: np.ndarray, depth: int) -> np.ndarray:
@@ -103,28 +75,23 @@ def least_owners(strings: np.ndarray, sizes: np.ndarray, shard: np.ndarray, owne
     strings, sizes: bytes of all strings and their lengths, each at least depth. shard: the shard of each string.
     Returned are len - depth + 1 values per string, one string after the other.
     """
+    if not len(sizes):
+        return np.empty(0, np.int64)
     firsts = np.cumsum(sizes) - sizes
     windows = sizes - depth + 1
     out_first = np.cumsum(windows) - windows
     order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.diff(shard[order])) + 1
-    members = np.split(order, cuts) if len(order) else []
+    members = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1)
     transforms = []
     for rows in members:
         each = np.repeat(firsts[rows] - (np.cumsum(sizes[rows]) - sizes[rows]), sizes[rows])
         transforms.append(ShardTransform(strings[each + np.arange(len(each))], sizes[rows]))
-    if not transforms:
-        return np.empty(0, np.int64)
-    at, group = merge(transforms, depth)
-    by_shard = np.argsort(at, kind="stable")
-    string = np.empty(len(at), np.int64)
-    offset = np.empty(len(at), np.int64)
-    string[by_shard] = np.concatenate([rows[t.string] for rows, t in zip(members, transforms)])
-    offset[by_shard] = np.concatenate([t.offset for t in transforms])
+    rows, group = merge(transforms, depth)
+    string = np.concatenate([m[t.string] for m, t in zip(members, transforms)])[rows]
+    offset = np.concatenate([t.offset for t in transforms])[rows]
     whole = offset < windows[string]
     value = np.where(whole, owner[string], np.iinfo(np.int64).max)
-    heads = np.flatnonzero(np.r_[True, np.diff(group) != 0])
-    least = np.minimum.reduceat(value, heads)[group - group[0]]
+    least = np.minimum.reduceat(value, np.flatnonzero(np.r_[True, np.diff(group) != 0]))[group]
     out = np.empty(int(windows.sum()), np.int64)
     out[out_first[string[whole]] + offset[whole]] = least[whole]
     return out

@@ -8,11 +8,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .bwt import MOST_SHARDS, least_owners
+from .bwt import least_owners
 from .common import saved
 
 BLOCK_BYTES = 8 << 20
 CHUNK = 1 << 15
+#: Signs merged at once, and the shards they are dealt to: arrays that stay in a core's cache.
+MERGE_BYTES = 60_000
+SHARDS = 16
 #: Length of an anchor. A window of 50 bytes holds 27 of them and is sent along with the one of smallest hash.
 ANCHOR = 24
 LAST = np.iinfo(np.int64).max
@@ -82,20 +85,20 @@ class Block:
         firsts, hashes, docs, lengths = [], [], [], []
         limit = self.first + self.size - window + 1  # end of the windows of each document
         for at, anchor, h in anchors(self.text, window):
-            place = np.arange(at, at + len(anchor))
-            doc = np.searchsorted(self.first, place[0], side="right") - 1 + np.zeros(len(place), np.int64)
-            inner = self.first[(self.first > place[0]) & (self.first <= place[-1])] - place[0]
-            np.add.at(change := np.zeros(len(place), np.int64), inner, 1)
-            doc += np.cumsum(change)
-            good = place < limit[doc]
-            head = good.copy()
-            head[1:] &= (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | ~good[:-1]
-            ends = np.flatnonzero(good & np.r_[head[1:] | ~good[1:], True])
-            heads = np.flatnonzero(head)
-            firsts.append(place[heads])
-            lengths.append(ends - heads + 1)
-            hashes.append(h[heads])
-            docs.append(doc[heads])
+            # A run begins where the anchor or the document changes, and ends there or with the document's windows.
+            begins = np.empty(len(anchor), bool)
+            begins[0] = True
+            begins[1:] = anchor[1:] != anchor[:-1]
+            lo, hi = np.searchsorted(self.first, [at, at + len(anchor)])
+            begins[self.first[lo:hi] - at] = True
+            heads = np.flatnonzero(begins)
+            doc = np.searchsorted(self.first, heads + at, side="right") - 1
+            length = np.minimum(np.append(heads[1:], len(anchor)), limit[doc] - at) - heads
+            some = length > 0
+            firsts.append(heads[some] + at)
+            lengths.append(length[some])
+            hashes.append(h[heads[some]])
+            docs.append(doc[some])
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
         first, h = join(firsts, np.int64), join(hashes, np.uint64)
         bucket = (h % np.uint64(buckets)).astype(np.int64)
@@ -215,9 +218,9 @@ def first_owners(pieces: Pieces, shard: np.ndarray, window: int) -> tuple[np.nda
     if len(mixed):
         home = np.empty(n, np.int64)
         home[number[::-1]] = shard[::-1]  # the shard of its first copy
-        found = least_owners(one.text(mixed), one.size[mixed],
-                             np.unique(home[mixed], return_inverse=True)[1] % MOST_SHARDS, one.owner[mixed], window)
-        value[ragged(starts[mixed], windows[mixed])] = found
+        for rows in _whole_anchors(one, mixed):
+            value[ragged(starts[rows], windows[rows])] = least_owners(
+                one.text(rows), one.size[rows], home[rows] % SHARDS, one.owner[rows], window)
     # Stretches of equal owners inside each piece, then for each piece asked for.
     new = np.r_[True, np.diff(value) != 0] if len(value) else np.empty(0, bool)
     new[starts] = True
@@ -229,6 +232,14 @@ def first_owners(pieces: Pieces, shard: np.ndarray, window: int) -> tuple[np.nda
     return count[number], lengths[at], owners[at]
 
 
+def _whole_anchors(pieces: Pieces, rows: np.ndarray) -> list[np.ndarray]:
+    """Rows cut between anchors, whose pieces need no comparison, into parts of about MERGE_BYTES."""
+    part = (np.cumsum(pieces.size[rows]) - pieces.size[rows]) // MERGE_BYTES
+    new = np.r_[True, (np.diff(pieces.key[rows]) != 0) | (np.diff(pieces.bucket[rows]) != 0)]
+    part = part[new][np.cumsum(new) - 1]  # an anchor stays in the part in which it begins
+    return np.split(rows, np.flatnonzero(np.diff(part)) + 1)
+
+
 def repeated_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     """What remains of each document: doc_id, n_bytes, starts and ends of removed runs (bytes), kept (binary).
 

@@ -97,12 +97,8 @@ def test_refined_interleave_groups_equal_prefixes():
 def test_interleave_of_whole_suffixes_is_their_sorted_order():
     parts = [[b"banana", b"ananas"], [b"bandana", b"nab"], [b"an"]]
     shards = [bwt.ShardTransform(np.frombuffer(b"".join(p), np.uint8), np.array([len(x) for x in p])) for p in parts]
-    at, group = bwt.merge(shards, 8)
-    taken = [0] * 3
-    order = []
-    for s in at:
-        t = shards[s]
-        order.append(parts[s][t.string[taken[s]]][t.offset[taken[s]]:])
-        taken[s] += 1
+    rows, group = bwt.merge(shards, 8)
+    suffixes = [p[t.string[i]][t.offset[i]:] for t, p in zip(shards, parts) for i in range(len(t.symbols))]
+    order = [suffixes[r] for r in rows]
     assert order == sorted(order)
     assert [a == b for a, b in zip(order, order[1:])] == [a == b for a, b in zip(group, group[1:])]
