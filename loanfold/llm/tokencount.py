@@ -32,13 +32,18 @@ def piece_scores(model: str) -> dict[str, float]:
     return dict(pieces)
 
 
-def terminal_counts(words: list[str], scores: dict[str, float], longest: int, unknown: float) -> dict[str, int]:
+def endings(scores: dict[str, float]) -> dict[str, float | None]:
+    """All ends of pieces: the score of those that are pieces themselves, None for the others."""
+    return dict.fromkeys((p[i:] for p in scores for i in range(1, len(p))), None) | scores
+
+
+def terminal_counts(words: list[str], ends: dict[str, float | None], unknown: float) -> dict[str, int]:
     """Tokens of the likeliest segmentation of each word.
 
     The sorted distinct words are the leaves of a trie in depth-first order. Every node, a prefix, has the best score of
     any segmentation that ends there and its number of tokens, from the nodes above it; only the path to the current
-    word is kept. Of equal scores the longest last piece wins. A character that is no piece is as many tokens as
-    it has bytes in UTF-8.
+    word is kept. The last piece is looked for from short to long, up to where nothing longer can end a piece; of equal
+    scores the longest wins. A character that is no piece is as many tokens as it has bytes in UTF-8.
     """
     found: dict[str, int] = {}
     best, tokens = [0.0], [0]
@@ -52,9 +57,11 @@ def terminal_counts(words: list[str], scores: dict[str, float], longest: int, un
         del best[shared + 1:], tokens[shared + 1:]
         for end in range(shared + 1, len(word) + 1):
             top, count = best[end - 1] + unknown, 0
-            for start in range(max(0, end - longest), end):
-                score = scores.get(word[start:end])
-                if score is not None and (score := score + best[start]) > top:
+            for start in range(end - 1, -1, -1):
+                score = ends.get(word[start:end], False)
+                if score is False:
+                    break
+                if score is not None and (score := score + best[start]) >= top:
                     top, count = score, tokens[start] + 1
             best.append(top)
             tokens.append(count or tokens[end - 1] + len(word[end - 1].encode()))
@@ -75,13 +82,13 @@ def count_tokens(docs: DataFrame, model: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = shared.value
-        longest = max(map(len, scores), default=1)
+        ends = endings(scores)
         unknown = min(scores.values(), default=0.0) - PENALTY
         for batch in batches:
             for lo, hi in byte_slices(batch["text"].cast(pa.binary()), SLICE_BYTES):
                 texts = batch["text"].slice(lo, hi - lo).to_pylist()
                 split = [[SPACE + w for w in t.split(" ")] if t else [] for t in texts]
-                known = terminal_counts(list(set().union(*split)), scores, longest, unknown)
+                known = terminal_counts(list(set().union(*split)), ends, unknown)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(lo, hi - lo), pa.array(np.array([len(w) for w in split], np.int64)),
                      pa.array(np.array([sum(map(known.__getitem__, w)) for w in split], np.int64))],

@@ -38,5 +38,5 @@ def test_as_by_brute_force(spark):
 @pytest.mark.parametrize("scores", [{"a": -1.0, "aa": -2.0, "aaa": -3.0}, {"ab": -1.0, "abc": -1.5, "c": -0.5}])
 def test_ties_take_the_longest_last_piece(scores):
     words = ["a" * n for n in range(1, 7)] + ["abc", "abcabc", "ab", "zab"]
-    found = tokencount.terminal_counts(words, scores, 3, min(scores.values()) - tokencount.PENALTY)
+    found = tokencount.terminal_counts(words, tokencount.endings(scores), min(scores.values()) - tokencount.PENALTY)
     assert found == {w: plain(w, scores) for w in words}
