@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import scratch_path
+from ..session import checkpointed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,11 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage is cut, and no later step computes it again."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write df once to the shared folder and read it back: lineage is cut, and no later step computes it again.
+
+    What is written stays until the session's folder goes, as results are read from it; session.scratch() removes it earlier.
+    """
+    return checkpointed(df, name)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
