@@ -240,7 +240,7 @@ def _whole_anchors(pieces: Pieces, rows: np.ndarray) -> list[np.ndarray]:
     return np.split(rows, np.flatnonzero(np.diff(part)) + 1)
 
 
-def repeated_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
+def repeated_substrings(docs: DataFrame, window: int = 50, block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
     """What remains of each document: doc_id, n_bytes, starts and ends of removed runs (bytes), kept (binary).
 
     A byte goes if a string of window bytes that covers it also starts in a document with a smaller doc_id. Strings are judged
@@ -248,15 +248,17 @@ def repeated_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     others and don't remove from each other; rows that repeat a doc_id don't either. Every row gives one row. Other columns
     are ignored. An empty table gives no rows.
 
-    Whole documents are packed into compressed blocks, which are the shards. Equal windows have equal anchors, so everything is
-    dealt out by anchor, in as many buckets as the square root of the text's size. First only fingerprints of anchors travel,
+    Whole documents are packed into compressed blocks of about block_bytes, which are the shards. Equal windows have equal
+    anchors, so everything is dealt out by anchor, in buckets whose number and size both grow with the square root of the text
+    unless their number is given. A task holds one block or what one bucket received. First only fingerprints of anchors travel,
     to find those that several documents have. Then each block sends the pieces of text around these, equal ones once; a bucket
     merges the Burrows-Wheeler transforms of its shards and returns the smallest owner of every window. A passage that
     many documents share is sent once per block, and no pairs of documents are formed.
     """
-    blocks = _blocks(docs)
-    total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(1, ceil(sqrt(total / (1 << 14))))
+    blocks = _blocks(docs, block_bytes)
+    if buckets is None:
+        total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+        buckets = max(1, ceil(sqrt(total / (1 << 14))))
 
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,8 +352,8 @@ def _rows(buckets: list, blocks: list, data: list) -> pa.RecordBatch:
                                       names=["bucket", "block", "data"])
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of whole documents of about BLOCK_BYTES: block, ids, n_bytes, data (order, lengths and bytes, compressed)."""
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Blocks of whole documents of about block_bytes: block, ids, n_bytes, data (order, lengths and bytes, compressed)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
@@ -365,7 +367,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for i, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
                 text = text or b""
-                if texts and size + len(text) > BLOCK_BYTES:
+                if texts and size + len(text) > block_bytes:
                     yield block()
                     ids, texts, size = [], [], 0
                 ids.append(i)

@@ -61,10 +61,9 @@ def corpus(seed=6):
 
 @pytest.mark.parametrize("block,chunk", [(16 << 20, 1 << 18), (700, 64)])
 def test_as_by_brute_force(spark, monkeypatch, block, chunk):
-    monkeypatch.setattr(substrings, "BLOCK_BYTES", block)
     monkeypatch.setattr(substrings, "CHUNK", chunk)
     rows = corpus()
-    assert result(substrings.repeated_substrings(documents(spark, rows, extra=True))) == plain(rows)
+    assert result(substrings.repeated_substrings(documents(spark, rows, extra=True), block_bytes=block)) == plain(rows)
 
 
 def test_long_text_and_shorter_window(spark):
