@@ -203,16 +203,17 @@ def listing(found: Column, base_only: bool = False) -> Column:
 
 def rewritten(text: Column, pattern: str, judge, mark: str) -> Column:
     """The text with matches replaced by mark where judge(matches), an array of booleans, says so."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-
     def rebuilt(both):
         pieces, found, wrong = both["pieces"], both["found"], both["wrong"]
         said = F.zip_with(found, wrong, lambda m, w: F.when(w, F.lit(mark)).otherwise(m))
         parts = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), said, lambda b, m: F.concat(b, m))
         return F.concat(F.array_join(parts, ""), F.element_at(pieces, -1))
 
-    return let(matches, lambda m: F.when(F.size(m) > 0, let(
-        F.struct(F.split(text, pattern).alias("pieces"), m.alias("found"), judge(m).alias("wrong")), rebuilt)).otherwise(text))
+    def checked(t, m):
+        return F.when(F.size(m) > 0, let(
+            F.struct(F.split(t, pattern).alias("pieces"), m.alias("found"), judge(m).alias("wrong")), rebuilt)).otherwise(t)
+
+    return let(text, lambda t: let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m: checked(t, m)))
 
 
 def redacted(docs: DataFrame, q: float = 0.05, alpha: float = 0.001, mark: str = "[SECRET]") -> DataFrame:
