@@ -196,7 +196,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Da
         rows = zip(texts.cast(pa.binary()).to_pylist(), starts.to_pylist(), ends.to_pylist())
         return pa.array([remove_spans(t, s, e) if s else t for t, s, e in rows], pa.binary()).cast(pa.string())
 
-    found = hits(docs, benchmark, docs.columns, width)
+    found = hits(docs, benchmark, [c for c in docs.columns if c != "text"], width)
     found = found.select("row", F.size("starts").alias("n"), cut("text", "starts", "ends").alias("text"))
     own = {"text": F.col("text"), "n_chars": F.when(F.col("n") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
     return found.select(*[own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in docs.columns])

@@ -40,7 +40,10 @@ ODD = [(91, None, "s0"), (92, "", None), (93, "a b\x0bc d", None), (None, "x y"
        (94, "big " * 60_000, "ä"), (95, "", "empty source"), (96, "z", "Z")]
 
 
-@pytest.mark.parametrize("rows", [ROWS, ROWS + ODD, [(1, "", "a")], [(1, "one", "a"), (2, "two 2", "b")]])
+HOT = [(i, "w " * (i % 9), "hot" if i % 3 else f"s{i % 7}") for i in range(240)]  # one source holds most rows
+
+
+@pytest.mark.parametrize("rows", [ROWS, ROWS + ODD, HOT, [(1, "", "a")], [(1, "one", "a"), (2, "two 2", "b")]])
 def test_as_by_brute_force(spark, rows):
     found = mixing.mix(documents(spark, rows, extra=True)).collect()
     mine = sorted(((r.doc_id, r.source, r.size, r.source_size, r.target, r.taken) for r in found), key=repr)

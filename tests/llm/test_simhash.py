@@ -55,6 +55,18 @@ def test_components_as_by_brute_force(spark, extra):
     assert result(simhash.near_duplicates(documents(spark, rows, extra))) == plain_components(rows)
 
 
+def test_one_large_group_of_copies(spark):
+    rng = random.Random(7)
+    body = rng.choices(["a", "b", "c", "d", "e"], k=300)
+    rows = [(i, " ".join(body)) for i in range(120)]
+    for i in range(120, 240):  # near copies, each with a word of its own
+        near = list(body)
+        near[rng.randrange(300)] = f"w{i}"
+        rows.append((i, " ".join(near)))
+    rows += [(i, " ".join(rng.choices(["p", "q", "r"], k=40))) for i in range(240, 300)]
+    assert result(simhash.near_duplicates(documents(spark, rows))) == plain_components(rows)
+
+
 def test_long_text(spark):
     text = "ab Cd " * 200_000
     assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)

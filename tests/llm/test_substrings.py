@@ -66,6 +66,17 @@ def test_as_by_brute_force(spark, monkeypatch, block, chunk):
     assert result(substrings.repeated_substrings(documents(spark, rows, extra=True), block_bytes=block)) == plain(rows)
 
 
+def test_one_passage_in_most_documents(spark):
+    rng = random.Random(12)
+    passage = "".join(rng.choices("klmnop ", k=180))
+    rows = []
+    for i in range(150):
+        own = "".join(rng.choices("abcdefghij", k=rng.randrange(0, 80)))
+        cut = rng.randrange(0, 60) if i % 3 else 0
+        rows.append((i, own + passage[cut:] + own[::-1]))
+    assert result(substrings.repeated_substrings(documents(spark, rows), block_bytes=4000)) == plain(rows)
+
+
 def test_long_text_and_shorter_window(spark):
     rows = [(1, "no repeats here at all, just text that goes on for a while 0123456789"), (2, "xy" * 150_000), (3, "z" + "xy" * 100)]
     found = result(substrings.repeated_substrings(documents(spark, rows)))
