@@ -24,7 +24,7 @@ STOPS = [frozenset(words.split()) for words in STOP_WORDS.values()]
 
 # Elements by their part in a page.
 BLOCKS = frozenset(
-    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "address article aside blockquote body button caption center datalist dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section "
     "select summary table tbody td tfoot th thead title tr ul".split())
 RAW = frozenset("script style textarea title template iframe noframes noembed xmp svg math".split())

@@ -33,6 +33,7 @@ def pages(spark, rows):
     (f"<p>{LONG}</p><script>never closed <p>{LONG}</p>", LONG.strip()),
     (f"<div class='site-header'><p>{LONG}</p></div><div class='post-content'><div class=entry-header><h2>Title</h2></div><p>Short.</p>"
      f"<div id='reader-comments'><p>{LONG}</p></div></div><div class='ad-slot'>{LONG}</div>", "Title\nShort."),
+    ("<article><p>One</p><button>Share</button><P>Two<BR/>three</P></article>", "One\nTwo three"),
     (f"<article><p>{LONG}</p><p>5 < 6 and 7 > 3</p></article>", f"{LONG.strip()}\n5 < 6 and 7 > 3"),
 ])
 def test_pages(page, text):

@@ -1,10 +1,13 @@
 """The registered corpus queries over the smallest tables: against their SQL, and the columns their contracts name."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from loanfold.llm.queries import ORACLES, QUERIES
+from loanfold.session import scratch, shared_folder
 from tests.compare import canonical, connect, kind
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,6 +52,15 @@ def test_all_are_registered():
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_scratch_removes_what_a_query_wrote(spark):
+    folder = f"{shared_folder(spark)}/loanfold"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with scratch(spark):
+        assert QUERIES["op10_simhash"](spark, SF_DIR).count() > 0
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
+
+
 def test_reruns_agree(spark):
     for name in ("op4_mixing", "op9_quality", "op10_simhash"):
         once, again = (sorted(map(tuple, QUERIES[name](spark, SF_DIR).collect())) for _ in range(2))
