@@ -122,8 +122,8 @@ def merged(starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
     return [s for s, _ in out], [e for _, e in out]
 
 
-def _searched(df: DataFrame, block: list[tuple[str, str]]) -> DataFrame:
-    """Add what a block of windows finds to the columns n_words, starts, ends, items."""
+def _searched(df: DataFrame, block: list[tuple[str, str]], cut: bool) -> DataFrame:
+    """Add what a block of windows finds to the columns n_words, starts, ends, items; cut: take hit spans out of the text."""
     schema = StructType([f for f in df.schema.fields if f.name in ("row", "text")])
     for name, kind in (("n_words", LongType()), ("starts", ArrayType(LongType())), ("ends", ArrayType(LongType())),
                        ("items", ArrayType(StringType()))):
@@ -136,25 +136,28 @@ def _searched(df: DataFrame, block: list[tuple[str, str]]) -> DataFrame:
         for batch in batches:
             texts = batch["text"].cast(pa.binary())
             for lo, hi in byte_slices(texts, SHARD_BYTES):
-                part = batch.slice(lo, hi - lo)
-                found = search_shard(texts.slice(lo, hi - lo).to_pylist(), phrases)
+                part, raw = batch.slice(lo, hi - lo), texts.slice(lo, hi - lo).to_pylist()
+                found = search_shard(raw, phrases)
                 if old:
                     before = zip(*(part[c].to_pylist() for c in ("starts", "ends", "items")))
                     found = [(n, *merged(s + s0, e + e0), sorted({*i, *i0}))
                              for (n, s, e, i), (s0, e0, i0) in zip(found, before)]
                 n, s, e, i = zip(*found) if found else ((), (), (), ())
+                text = part["text"]
+                if cut and any(s):
+                    text = pa.array([remove_spans(*x) if x[1] else x[0] for x in zip(raw, s, e)], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [part["row"], part["text"], pa.array(n, pa.int64()), pa.array(s, pa.list_(pa.int64())),
+                    [part["row"], text, pa.array(n, pa.int64()), pa.array(s, pa.list_(pa.int64())),
                      pa.array(e, pa.list_(pa.int64())), pa.array(i, pa.list_(pa.string()))], names=schema.names)
 
     return df.mapInArrow(search, schema)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, columns: list[str], width: int = 10,
-         block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+         block_windows: int = BLOCK_WINDOWS, cut: bool = False) -> DataFrame:
     """Search whole documents for item windows: row (a struct of columns), text, n_words, starts, ends, items.
 
-    starts and ends are merged hit spans in words, ascending. The benchmark is searched in blocks of about block_windows
+    cut: the text comes back without the hit spans. starts and ends are merged hit spans in words, ascending. The benchmark is searched in blocks of about block_windows
     windows, each sent to all tasks; with more than one block, what is found so far is written between the blocks.
     Documents are neither shuffled nor joined, so copies, hot sources and repeated doc_ids need no care. A NULL or empty
     text has no words; without any item window nothing is hit.
@@ -164,7 +167,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, columns: list[str], width: int =
     found = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
     for block in range(n_blocks):
         part = windows.filter(F.pmod(F.xxhash64("item", "window"), F.lit(n_blocks)) == block)
-        found = _searched(found, [tuple(r) for r in part.collect()])
+        found = _searched(found, [tuple(r) for r in part.collect()], cut and block + 1 == n_blocks)
         if block + 1 < n_blocks:
             found = saved(found, "searched")
     return found
@@ -188,17 +191,10 @@ def remove_spans(text: bytes, starts: list[int], ends: list[int]) -> bytes:
     return b"".join([*out, text[done:]])
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """All documents and columns, hit spans cut out of the text; n_chars, where there is one, follows the text."""
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-        rows = zip(texts.cast(pa.binary()).to_pylist(), starts.to_pylist(), ends.to_pylist())
-        return pa.array([remove_spans(t, s, e) if s else t for t, s, e in rows], pa.binary()).cast(pa.string())
-
-    found = hits(docs, benchmark, [c for c in docs.columns if c != "text"], width)
-    found = found.select("row", F.size("starts").alias("n"), cut("text", "starts", "ends").alias("text"))
-    own = {"text": F.col("text"), "n_chars": F.when(F.col("n") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    found = hits(docs, benchmark, [c for c in docs.columns if c != "text"], width, block_windows, cut=True)
+    own = {"text": F.col("text"), "n_chars": F.when(F.size("starts") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
     return found.select(*[own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in docs.columns])
 
 

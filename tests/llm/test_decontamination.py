@@ -67,10 +67,11 @@ def test_as_by_brute_force(spark, monkeypatch, block, shard):
     assert result(found) == plain(rows, items)
 
 
-def test_spans_are_cut_and_other_rows_stay(spark):
+@pytest.mark.parametrize("block", [200_000, 40])
+def test_spans_are_cut_and_other_rows_stay(spark, block):
     rows, items = fixture()
     docs = documents(spark, rows, extra=True)
-    clean = dc.decontaminated(docs, spark.createDataFrame([(*x, "n") for x in items], ITEMS))
+    clean = dc.decontaminated(docs, spark.createDataFrame([(*x, "n") for x in items], ITEMS), block_windows=block)
     assert clean.columns == docs.columns
     kept = clean.collect()
     hit = {(r[0], r[1]) for r in plain(rows, items) if r[5]}
