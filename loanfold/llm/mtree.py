@@ -203,15 +203,16 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, query_block: in
     part; ties go to the smaller vec_id; fewer than k candidates give fewer rows. Rows without vec_id or x take no part,
     equal rows count once, shorter vectors count as if they ended in zeros.
 
-    Equal vectors are one entry with their k + 1 smallest ids, which is all that any query can need. The pivots are the
+    Equal vectors are one entry with their k + 1 smallest ids, counted after equal rows became one, which is all that any
+    query can need. The pivots are the
     vectors of the smallest hashes, at most PIVOTS; all vectors are indexed. Queries are searched in blocks of about
     query_block rows, each sent to all tasks: once below the pivot nearest to each query for a floor under its k-th score, once
     everywhere with that floor. A task returns at most k rows per query and block.
     """
     rows = candidates.select("vec_id", "x").filter("vec_id IS NOT NULL AND x IS NOT NULL")
     by_vector = Window.partitionBy("x").orderBy("vec_id")
-    few = rows.withColumn("nth", F.row_number().over(by_vector)).filter(F.col("nth") <= k + 1)
-    distinct = saved(few.groupBy("x").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")), "vectors")
+    few = rows.distinct().withColumn("nth", F.row_number().over(by_vector)).filter(F.col("nth") <= k + 1)
+    distinct = saved(few.groupBy("x").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
     asked = saved(queries.select("vec_id", "x").filter("vec_id IS NOT NULL AND x IS NOT NULL").distinct(), "queries")
     square = F.aggregate("x", F.lit(0.0), lambda t, v: t + v.cast("double") * v)
     norm, width, n = distinct.agg(F.max(square), F.max(F.size("x")), F.count(F.lit(1))).first()

@@ -66,3 +66,15 @@ def test_large_components_are_exact(spark):
     df = frames(spark, rows)
     found = mtree.top_k(df, df.filter("vec_id % 10 = 0"))
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == plain(rows, 10)
+
+
+def test_repeated_rows_among_equal_vectors(spark):
+    same = [0.5, -0.25, 1.0]
+    rows = [(1, same)] * 6 + [(i, same) for i in range(2, 10)] + [(i, [1.0, 1.0, float(i % 3)]) for i in (0, 10, 11)] * 2
+    df = frames(spark, rows)
+    found = mtree.top_k(df, df.filter("vec_id % 10 = 0"))
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == plain(rows, 10)
+    rows = [(i, same) for i in range(9)] * 2
+    df = frames(spark, rows)
+    found = mtree.top_k(df, df.filter("vec_id % 4 = 0"))
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == plain(rows, 4)
