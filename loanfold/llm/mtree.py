@@ -13,18 +13,29 @@ PAGE = 256
 PIVOTS = 128
 QUERY_BLOCK = 2048
 BEST_FIRST = 4
-#: Components beyond this are set to it: sums of products then fit a long.
+#: Bound of whole_numbers where its caller wants one; op6_mtree sets none.
 LARGEST = 1 << 24
+#: Below this squared norm all sums of products are exact in floats.
+NARROW = 1 << 51
 
 PAGES = ("pivot int, to_pivot double, radius double, center binary, vectors binary, to_center binary, ids array<array<long>>")
 
 
-def whole_numbers(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * component) of each component; NULL where the vector or a component is NULL or not finite."""
+def whole_numbers(vector: Column, scale: int = 256, largest: int | None = LARGEST) -> Column:
+    """floor(scale * component) of each component; NULL where the vector or a component is NULL or not finite.
+
+    With a bound, components beyond it are set to it. Without one they are whole numbers in doubles: those hold the floor
+    of any float exactly, as beyond 2^53 a double is a whole number already.
+    """
     wrong = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    scaled = F.transform(vector, lambda x: F.greatest(F.least(
-        F.floor(x.cast("double") * scale), F.lit(LARGEST)), F.lit(-LARGEST)).cast("int"))
-    return F.when(~wrong, scaled)
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * scale
+        if largest is None:
+            return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
+        return F.greatest(F.least(F.floor(y), F.lit(largest)), F.lit(-largest)).cast("int")
+
+    return F.when(~wrong, F.transform(vector, whole))
 
 
 @dataclass
@@ -36,19 +47,50 @@ class Space:
     """
 
     width: int
-    norm: float  # the largest squared norm
+    norm: float  # the largest squared norm, of queries too
+
+    @property
+    def narrow(self) -> bool:
+        return self.norm < NARROW
+
+    @property
+    def kind(self) -> type:
+        return np.int32 if self.narrow else np.float64
 
     def matrix(self, rows) -> np.ndarray:
-        out = np.zeros((len(rows), self.width), np.int32)
+        out = np.zeros((len(rows), self.width), self.kind)
         for i, row in enumerate(rows):
             out[i, :len(row)] = row
         return out
 
     def product(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Exact inner products of the rows of a and b, as floats where these hold them."""
-        if self.norm < 1 << 51:
-            return a.astype(float) @ b.astype(float).T
-        return a.astype(np.int64) @ b.astype(np.int64).T
+        """Inner products of the rows of a and b as floats, exact where the space is narrow."""
+        return a.astype(float) @ b.astype(float).T
+
+    def doubt(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How far the products may be off: the rounding of sums of products, at most the product of both norms each."""
+        if self.narrow:
+            return np.zeros((1, 1))
+        lengths = [np.sqrt((x.astype(float) ** 2).sum(axis=1)) for x in (a, b)]
+        return np.outer(*lengths) * ((self.width + 8) * 2.0 ** -51)
+
+    def exact(self, a: np.ndarray, b: np.ndarray, products: np.ndarray) -> np.ndarray:
+        """Exact inner products of the k-th row of a and the k-th of b, given the rounded ones: longs, or Python integers."""
+        if self.narrow:
+            return products.astype(np.int64)
+        out = np.empty(len(products), object)
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            out[i] = sum(int(p) * int(q) for p, q in zip(x, y))
+        return out
+
+    @property
+    def key_bytes(self) -> int:
+        """Bytes of a sort key that holds any score of a space that is not narrow."""
+        return int(self.norm).bit_length() // 8 + 2
+
+    def key(self, score: int) -> bytes:
+        """The score as bytes whose order is that of scores."""
+        return (score + (1 << 8 * self.key_bytes - 1)).to_bytes(self.key_bytes, "big")
 
     def extra(self, rows: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(0.0, self.norm - (rows.astype(float) ** 2).sum(axis=1)))
@@ -65,7 +107,7 @@ class Space:
     @property
     def slack(self) -> float:
         """Rounding that a bound may carry."""
-        return 1e-6 * (1 + np.sqrt(self.norm))
+        return max(1e-6, 8 * np.sqrt(self.width * 2.0 ** -52)) * (1 + np.sqrt(self.norm))
 
 
 def build(distinct: DataFrame, space: Space, pivots: np.ndarray) -> DataFrame:
@@ -111,7 +153,7 @@ def build(distinct: DataFrame, space: Space, pivots: np.ndarray) -> DataFrame:
         if held:
             yield page()
 
-    assigned = distinct.select("x", "ids").mapInArrow(assign, "pivot int, far double, x array<int>, ids array<long>")
+    assigned = distinct.select("x", "ids").mapInArrow(assign, "pivot int, far double, x array<double>, ids array<long>")
     ordered = saved(assigned, "assigned").repartitionByRange("pivot", "far").sortWithinPartitions("pivot", "far")
     return saved(ordered.mapInArrow(pages, PAGES), "pages")
 
@@ -120,22 +162,29 @@ class Best:
     """The k best (score, smaller id first) found so far of each query."""
 
     def __init__(self, ids: np.ndarray, k: int, floor: np.ndarray):
-        self.own, self.k, self.floor = ids, k, floor
-        self.rows = np.empty((0, 3), np.int64)  # query, score, id
+        self.own, self.k, self.floor = ids, k, floor  # floor: a float not above the k-th score of each query
+        self.query, self.score, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         keep = ids != self.own[query]
-        rows = np.concatenate([self.rows, np.stack([query[keep], score[keep], ids[keep]], axis=1)])
-        if not len(rows):
+        if not keep.any():
             return
-        rows = rows[np.lexsort((rows[:, 2], -rows[:, 1], rows[:, 0]))]
-        same = np.r_[False, (rows[1:] == rows[:-1]).all(axis=1)]
-        rows = rows[~same]
-        first = np.flatnonzero(np.r_[True, np.diff(rows[:, 0]) != 0])
-        place = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
-        self.rows = rows[place < self.k]
-        last = rows[place == self.k - 1]
-        self.floor[last[:, 0]] = np.maximum(self.floor[last[:, 0]], last[:, 1])
+        query, score, ids = (np.concatenate([a, b[keep]]) for a, b in ((self.query, query), (self.score, score), (self.ids, ids)))
+        order = np.lexsort((ids, -score, query))
+        query, score, ids = query[order], score[order], ids[order]
+        new = np.r_[True, (query[1:] != query[:-1]) | (score[1:] != score[:-1]) | (ids[1:] != ids[:-1])]
+        query, score, ids = query[new], score[new], ids[new]
+        first = np.flatnonzero(np.r_[True, np.diff(query) != 0])
+        place = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)]))
+        last = place == self.k - 1
+        self.floor[query[last]] = np.maximum(self.floor[query[last]], below(score[last]))
+        self.query, self.score, self.ids = query[place < self.k], score[place < self.k], ids[place < self.k]
+
+
+def below(scores: np.ndarray) -> np.ndarray:
+    """Floats not above whole scores."""
+    rounded = scores.astype(float)
+    return np.where(np.abs(rounded) < 1 << 53, rounded, np.nextafter(rounded, -np.inf))
 
 
 def search(space: Space, pivots: np.ndarray, queries: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray,
@@ -158,12 +207,12 @@ def search(space: Space, pivots: np.ndarray, queries: np.ndarray, ids: np.ndarra
 
     def reach(rows: np.ndarray) -> np.ndarray:
         """The distance beyond which no vector can be among the k best."""
-        return np.sqrt(np.maximum(0.0, norms[rows] - 2.0 * np.maximum(best.floor[rows], -4e18))) + space.slack
+        return np.sqrt(np.maximum(0.0, norms[rows] - 2.0 * best.floor[rows])) + space.slack
 
     def visit(page: int, rows: np.ndarray) -> None:
         visited[rows, page] = True
         p, limit = held[page], reach(rows)
-        to_center = space.from_queries(queries[rows], np.frombuffer(p["center"], np.int32).reshape(1, -1))[:, 0]
+        to_center = space.from_queries(queries[rows], np.frombuffer(p["center"], space.kind).reshape(1, -1))[:, 0]
         near = to_center - p["radius"] <= limit
         rows, limit, to_center = rows[near], limit[near], to_center[near]
         if not len(rows):
@@ -172,16 +221,18 @@ def search(space: Space, pivots: np.ndarray, queries: np.ndarray, ids: np.ndarra
         some = np.flatnonzero(open_.any(axis=0))
         if not len(some):
             return
-        vectors = np.frombuffer(p["vectors"], np.int32).reshape(-1, space.width)[some]
-        score = space.product(queries[rows], vectors).astype(np.int64)
-        take = open_[:, some] & (score >= best.floor[rows][:, None])
+        vectors = np.frombuffer(p["vectors"], space.kind).reshape(-1, space.width)[some]
+        score = space.product(queries[rows], vectors)
+        doubt = space.doubt(queries[rows], vectors)
+        take = open_[:, some] & (score + doubt >= best.floor[rows][:, None])
         if score.shape[1] > k + 1:  # one of the ids may be the query's own
-            take &= score >= np.partition(score, -(k + 1), axis=1)[:, -(k + 1)][:, None]
+            take &= score + doubt >= np.partition(score - doubt, -(k + 1), axis=1)[:, -(k + 1)][:, None]
         at, which = np.nonzero(take)
         names = [p["ids"][some[w]] for w in which]
         sizes = [len(x) for x in names]
+        exact = space.exact(queries[rows[at]], vectors[which], score[at, which])
         flat = np.array([i for x in names for i in x], np.int64)
-        best.add(np.repeat(rows[at], sizes), np.repeat(score[at, which], sizes), flat)
+        best.add(np.repeat(rows[at], sizes), np.repeat(exact, sizes), flat)
 
     for _ in range(min(BEST_FIRST, len(held))):
         choice = np.where(visited, np.inf, bound).argmin(axis=1)
@@ -199,25 +250,29 @@ def search(space: Space, pivots: np.ndarray, queries: np.ndarray, ids: np.ndarra
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, query_block: int = QUERY_BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """The k candidates of largest inner product of each query: query_id, rank from 1, vec_id, score.
 
-    candidates and queries: vec_id (long) and x (array<int>). A candidate with the query's vec_id is its own row and takes no
+    candidates and queries: vec_id (long) and x (array of whole numbers, int or double). A candidate with the query's vec_id is its own row and takes no
     part; ties go to the smaller vec_id; fewer than k candidates give fewer rows. Rows without vec_id or x take no part,
-    equal rows count once, shorter vectors count as if they ended in zeros.
+    equal rows count once, shorter vectors count as if they ended in zeros. Ranks follow the exact scores whatever their
+    size; a score that does not fit a long is shown as NULL.
 
     Equal vectors are one entry with their k + 1 smallest ids, counted after equal rows became one, which is all that any
     query can need. The pivots are the
     vectors of the smallest hashes, at most PIVOTS; all vectors are indexed. Queries are searched in blocks of about
     query_block rows, each sent to all tasks: once below the pivot nearest to each query for a floor under its k-th score, once
-    everywhere with that floor. A task returns at most k rows per query and block.
+    everywhere with that floor. A task returns at most k rows per query and block. Where squared norms exceed NARROW, products in
+    floats only rule out what they can't be wrong about, and the rest is scored in Python integers; one such vector among
+    small ones makes the bounds loose, so that more pages are visited.
     """
-    rows = candidates.select("vec_id", "x").filter("vec_id IS NOT NULL AND x IS NOT NULL")
+    columns = "vec_id", F.col("x").cast("array<double>").alias("x")
+    rows = candidates.select(*columns).filter("vec_id IS NOT NULL AND x IS NOT NULL")
     by_vector = Window.partitionBy("x").orderBy("vec_id")
     few = rows.distinct().withColumn("nth", F.row_number().over(by_vector)).filter(F.col("nth") <= k + 1)
     distinct = saved(few.groupBy("x").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
-    asked = saved(queries.select("vec_id", "x").filter("vec_id IS NOT NULL AND x IS NOT NULL").distinct(), "queries")
-    square = F.aggregate("x", F.lit(0.0), lambda t, v: t + v.cast("double") * v)
+    asked = saved(queries.select(*columns).filter("vec_id IS NOT NULL AND x IS NOT NULL").distinct(), "queries")
+    square = F.aggregate("x", F.lit(0.0), lambda t, v: t + v * v)
     norm, width, n = distinct.agg(F.max(square), F.max(F.size("x")), F.count(F.lit(1))).first()
-    wide, n_queries = asked.agg(F.max(F.size("x")), F.count(F.lit(1))).first()
-    space = Space(max(width or 0, wide or 0, 1), norm or 0.0)
+    most, wide, n_queries = asked.agg(F.max(square), F.max(F.size("x")), F.count(F.lit(1))).first()
+    space = Space(max(width or 0, wide or 0, 1), max(norm or 0.0, most or 0.0))
     picked = space.matrix([r.x for r in distinct.select("x").orderBy(F.xxhash64("x"), "x").limit(pivots).collect()])
     index = build(distinct, space, picked) if n else None
     results = []
@@ -238,7 +293,6 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, query_block: in
 def _search_block(index: DataFrame, space: Space, pivots: np.ndarray, part: list, k: int) -> DataFrame:
     context = index.sparkSession.sparkContext
     part = sorted(part, key=lambda r: (r.vec_id, list(r.x)))
-    lowest = np.iinfo(np.int64).min
 
     def searched(floor: np.ndarray, nearest_only: bool) -> DataFrame:
         shared = context.broadcast((pivots, space.matrix([r.x for r in part]), np.array([r.vec_id for r in part]), floor))
@@ -250,18 +304,23 @@ def _search_block(index: DataFrame, space: Space, pivots: np.ndarray, part: list
                 held = batch.to_pylist()
                 if held:
                     best = search(space, roots, queries, ids, k, start, held, nearest_only)
-                    yield pa.RecordBatch.from_arrays([pa.array(best.rows[:, c]) for c in range(3)], names=["q", "score", "vec_id"])
+                    scores = best.score.tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(best.query), pa.array([s if -1 << 63 <= s < 1 << 63 else None for s in scores], pa.int64()),
+                         pa.array([None if space.narrow else space.key(s) for s in scores], pa.binary()),
+                         pa.array(below(best.score), pa.float64()), pa.array(best.ids)],
+                        names=["q", "score", "key", "least", "vec_id"])
 
-        return index.mapInArrow(run, "q long, score long, vec_id long")
+        return index.mapInArrow(run, "q long, score long, key binary, least double, vec_id long")
 
-    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("q").orderBy(F.col("score" if space.narrow else "key").desc(), "vec_id")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    floor = np.full(len(part), lowest)
+    floor = np.full(len(part), -np.inf)
     for r in ranked(searched(floor, True)).filter(F.col("rank") == k).collect():  # a row per query of the block
-        floor[r.q] = r.score
+        floor[r.q] = r.least
     found = ranked(searched(floor, False))
     # One row of two longs per query of the block.
     names = index.sparkSession.createDataFrame([(i, r.vec_id) for i, r in enumerate(part)], "q long, query_id long")

@@ -36,7 +36,7 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.whole_numbers(F.col("embedding")).alias("x"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.whole_numbers(F.col("embedding"), largest=None).alias("x"))
     return mtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loanfold.llm import mtree
+from loanfold.llm import mtree, queries
 
 TABLE = "vec_id long, embedding array<float>, label int, x string, ids string, score string"
 
@@ -78,3 +78,30 @@ def test_repeated_rows_among_equal_vectors(spark):
     df = frames(spark, rows)
     found = mtree.top_k(df, df.filter("vec_id % 4 = 0"))
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == plain(rows, 4)
+
+
+@pytest.mark.parametrize("largest", [100_000.0, 6.0e7, 3.0e38])
+def test_no_component_is_bounded(spark, largest):
+    import struct
+
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-largest, largest) if i % 3 else rng.gauss(0, 1) for _ in range(6)]) for i in range(700)]
+    rows += [(700 + i, [largest, -largest, 0.5 * i, -1.0, 1.0, 0.0]) for i in range(30)]  # equal but for their last bits
+    rows = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in rows + [(730, [100_000.0])] + rows[:20]]
+    df = spark.createDataFrame([(i, v, 1, "x", "y", "z") for i, v in rows], TABLE).repartition(3)
+    df = df.select("vec_id", mtree.whole_numbers(F.col("embedding"), largest=None).alias("x"))
+    whole = {i: [int(x) * 256 if abs(x) >= 1 << 53 else int((256 * x) // 1) for x in v] for i, v in rows}
+    assert whole[730] == [25_600_000]
+    expected = []
+    for q in range(0, 731, 10):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], y)), i) for i, y in whole.items() if i != q)[:5]
+        expected += [(q, n, i, -s if -1 << 63 <= -s < 1 << 63 else None) for n, (s, i) in enumerate(scored, 1)]
+    found = mtree.top_k(df, df.filter("vec_id % 10 = 0"), pivots=8)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == expected
+
+
+def test_query_reads_components_unbounded(spark, tmp_path):
+    rows = [(0, [1.0, 0.0]), (1, [100_000.0, 0.0]), (2, [90_000.0, 0.0]), (3, [80_000.0, 0.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = sorted((r["rank"], r.vec_id, r.score) for r in queries.op6_mtree(spark, str(tmp_path)).collect())
+    assert found == [(1, 1, 25_600_000 * 256), (2, 2, 23_040_000 * 256), (3, 3, 20_480_000 * 256)]
