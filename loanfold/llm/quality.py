@@ -6,6 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.skew import join_to_unique
+from .common import saved
+
 #: Byte classes: each punctuation mark is a class of its own, as junk shows in marks and in letter case.
 LETTER_LOW, LETTER_UP, DIGIT, SPACE, LINE, WIDE, OTHER = range(7)
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -127,32 +130,37 @@ def is_held_out(doc_id, folds: int = 5):
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, folds: int = 5) -> Model:
-    """Fit on at most sample trusted positives and at most sample unlabelled documents, those of the smallest hashes of doc_id.
+    """Fit on at most sample rows of trusted positives and at most sample unlabelled rows.
 
-    Trusted positives are documents outside the held-out fold that are only ever labelled 1. Unlabelled are all
-    documents outside it; their labels are not looked at. The class prior is the share of 1 among the labelled
-    documents outside the fold or, where none is labelled 0, comes from the scores of a first fit.
-    Only the sample's figures, sample times two rows of fixed width, reach the driver.
+    Trusted positives are rows of documents outside the held-out fold that are only ever labelled 1. Unlabelled are all
+    rows outside it; their labels are not looked at. Rows with equal doc_id and text count once, and of either kind those of
+    the smallest hashes of both are taken, so a doc_id with many texts has the share in the sample that it has among such
+    rows. The class prior is the share of 1 among the labelled documents outside the fold or, where none is labelled 0,
+    comes from the scores of a first fit. Only the sample's figures, sample times two rows of fixed width, reach the driver.
     """
     marked = labels.filter(~is_held_out(F.col("doc_id"), folds)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     marked = marked.filter("quality IS NOT NULL")
     ones, known = marked.agg(F.count(F.when(F.col("quality") == 1, 1)), F.count(F.lit(1))).first()
-    rank = F.xxhash64("doc_id"), F.col("doc_id")
+    rank = F.xxhash64("doc_id", "hash"), F.col("doc_id"), F.col("hash")
+    hashed = docs.filter(~is_held_out(F.col("doc_id"), folds)).select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    rows = saved(hashed.select("doc_id", "hash").distinct(), "rows")
 
     def chosen(df: DataFrame, kind: int) -> DataFrame:
-        return df.select("doc_id").orderBy(*rank).limit(sample).withColumn("kind", F.lit(kind))
+        return df.select("doc_id", "hash").orderBy(*rank).limit(sample).withColumn("kind", F.lit(kind))
 
-    picked = chosen(marked.filter("quality = 1"), 1).unionByName(
-        chosen(docs.filter(~is_held_out(F.col("doc_id"), folds)).select("doc_id"), 0))
+    positive = join_to_unique(rows, marked.filter("quality = 1").select("doc_id"), ["doc_id"], "inner")
+    # At most two rows per sampled row, 20 bytes each: small whatever docs holds.
+    picked = chosen(positive, 1).unionByName(chosen(rows, 0))
 
     @F.arrow_udf("array<double>")
     def measured(texts: pa.Array) -> pa.Array:
         return pa.array([features(t) for t in texts.cast(pa.binary()).to_pylist()], pa.list_(pa.float64()))
 
-    # picked holds at most two rows per sampled document, 16 bytes each: small whatever docs holds.
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
-        "doc_id", "kind", measured("text").alias("x")).toPandas().sort_values(["kind", "doc_id"], kind="stable")
-    part = [np.array(rows.x[rows.kind == k].tolist(), dtype=float).reshape(-1, WIDTH) for k in (1, 0)]
+    # Equal rows of a sampled one become one again before their figures are taken.
+    texts = hashed.join(F.broadcast(picked), ["doc_id", "hash"]).groupBy("kind", "doc_id", "hash").agg(F.min("text").alias("text"))
+    figures = texts.select("kind", "doc_id", "hash", measured("text").alias("x")).toPandas().sort_values(
+        ["kind", "doc_id", "hash"], kind="stable")
+    part = [np.array(figures.x[figures.kind == k].tolist(), dtype=float).reshape(-1, WIDTH) for k in (1, 0)]
     if known and ones < known:
         return fit(*part, prior=ones / known)
     model = fit(*part, prior=0.5)

@@ -62,3 +62,23 @@ def test_features_do_not_depend_on_the_piece_size(monkeypatch):
     whole = quality.features(text)
     monkeypatch.setattr(quality, "COUNT_AT_ONCE", 37)
     assert np.allclose(whole, quality.features(text))
+
+
+def test_one_doc_id_with_many_rows_takes_its_share_of_a_bounded_sample(spark, monkeypatch):
+    rows, labels = corpus(300)
+    ids = [i for i, y, _ in labels if y and zlib.crc32(str(i).encode()) % 5]
+    # One doc_id that is learnt from holds a third of the rows, half of them equal; another one's rows are all equal.
+    rows += [(ids[0], "MUCH JUNK" + "!" * k) for k in range(100)] + [(ids[0], "MUCH JUNK")] * 100 + [(ids[1], rows[ids[1]][1])] * 100
+    for i in ids[:6]:
+        rows += [(i, rows[i][1])] * 30
+    seen = []
+    plain = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda p, u, **more: (seen.append((p, u)), plain(p, u, **more))[1])
+    quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS), sample=60)
+    (positive, unlabelled), = seen
+    assert len(positive) == len(unlabelled) == 60
+    assert len(np.unique(unlabelled, axis=0)) >= 55
+    quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS))
+    distinct = {r for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    good = {i for i, y, _ in labels if y}
+    assert [len(x) for x in seen[1]] == [sum(i in good for i, _ in distinct), len(distinct)]
