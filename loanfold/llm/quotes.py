@@ -10,6 +10,11 @@ MARKS = r"^(?:[ \t]{0,3}>)+"
 #: A line such as "On Monday, Ann wrote:", which goes with the quote below it.
 SAYS = r"(?i)(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$"
 
+#: Where a sentence ends: after its mark and before white space, or after a wide mark.
+SENTENCE_END = r"(?<=[.!?…])\s+|(?<=[。！？])"
+#: Before each block of lines, and between its level and its lines; texts lose these signs.
+BLOCK, LEVEL = "\x01", "\x02"
+
 
 def normalised(line):
     """Lower-case words of a line, one space between them."""
@@ -24,6 +29,26 @@ def parsed(messages: DataFrame) -> DataFrame:
     return messages.withColumn("lines", lines)
 
 
+def blocks(lines):
+    """Adjacent lines of one level without a blank line between them, as (level, body): lines and joined text of a passage."""
+    def marked(x, i):
+        body = F.translate(x["body"], BLOCK + LEVEL, "  ")
+        before = F.get(lines, i - 1)
+        goes_on = (i > 0) & (before["level"] == x["level"]) & (F.trim(before["body"]) != "") & (F.trim(x["body"]) != "")
+        return F.when(goes_on, F.concat(F.lit("\n"), body)).otherwise(
+            F.concat(F.lit(BLOCK), x["level"].cast("string"), F.lit(LEVEL), body))
+
+    return F.transform(F.split(F.array_join(F.transform(lines, marked), ""), BLOCK), lambda b: F.struct(
+        F.substring_index(b, LEVEL, 1).try_cast("int").alias("level"), F.substring_index(b, LEVEL, -1).alias("body")))
+
+
+def units(body):
+    """Normalised lines of a block, and its sentences that are no line, so that breaking lines anew leaves the sentences."""
+    whole = F.filter(F.transform(F.split(body, "\n"), normalised), lambda x: x != "")
+    sentences = F.filter(F.transform(F.split(body, SENTENCE_END), normalised), lambda x: x != "")
+    return F.concat(whole, F.array_except(sentences, whole))
+
+
 def link(messages: DataFrame) -> DataFrame:
     """Conversations in reply order, without quotes.
 
@@ -31,8 +56,10 @@ def link(messages: DataFrame) -> DataFrame:
     its thread), depth (replies from the root), position (from 1 in the conversation: threads by their roots, messages
     of a thread by turn) and text (its own lines, trimmed).
 
-    A passage is a line; its hash is that of its normalised words. The original of a passage is the first message of the
-    conversation that wrote it unquoted, and has to come before the quote. reply_to is the original of most passages quoted
+    A passage is a line, or a sentence of adjacent lines of one level joined; its hash is that of its normalised words. So a
+    quote that is broken into other lines, or takes whole sentences out of a longer line, shares its sentences with its
+    original; a part of a sentence is a passage only where it is a line of both. The original of a passage is the first
+    message of the conversation that wrote it unquoted, and has to come before the quote. reply_to is the original of most passages quoted
     at level 1, the latest of equal ones. A line that announces a quote right below it belongs to the quote.
 
     Rows without conv_id or turn link to nothing; rows without conv_id are ordered as one conversation, rows without
@@ -43,8 +70,9 @@ def link(messages: DataFrame) -> DataFrame:
     of messages are formed. A conversation of any size is spread by passage, and by range for its order.
     """
     lined = saved(parsed(messages.select("conv_id", "turn", "role", "text")), "lines")
-    each = lined.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("lines").alias("line"))
-    passages = each.select("conv_id", "turn", "line.level", normalised(F.col("line.body")).alias("words")).filter("words <> ''")
+    each = lined.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select(
+        "conv_id", "turn", F.explode(blocks(F.col("lines"))).alias("block")).filter("block.level IS NOT NULL")
+    passages = each.select("conv_id", "turn", "block.level", F.explode(units(F.col("block.body"))).alias("words"))
     passages = passages.select("conv_id", "turn", "level", F.md5("words").alias("hash"))
     written = passages.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("original"))
     quoted = passages.filter("level > 0").join(written, ["conv_id", "hash"]).filter("original < turn")

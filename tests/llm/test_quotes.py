@@ -84,3 +84,19 @@ def test_long_chain_and_empty_table(spark, rows):
     found = {(r.conv_id, r.turn): r for r in quotes.link(frame(spark, chain + rows)).collect()}
     assert all(found[500, t].depth == t and found[500, t].root == 0 for t in range(70))
     assert quotes.link(frame(spark, chain).filter("false")).collect() == []
+
+
+def test_rewrapped_and_partial_quotes(spark):
+    first = ("The river rose over night and took the old bridge with it. Nobody was hurt. "
+             "We will need a boat for the rest of the week, and somebody who can row it.")
+    wrapped = "The river rose over night\nand took the old bridge with it. Nobody\nwas hurt. We will need a boat for\nthe rest of the week, and somebody\nwho can row it."
+    rows = [(1, 0, "a", first), (1, 1, "b", "Something else was said here.\nNo mark at the end"),
+            (1, 2, "c", "".join(f"> {x}\n" for x in wrapped.split("\n")) + "I can row."),
+            (1, 3, "d", "> Nobody was hurt.\nGood."),
+            (1, 4, "e", "> No mark at the end\nIndeed."),
+            (1, 5, "f", ">> Nobody\n>> was hurt.\n> Good.\nYes."),
+            (2, 0, "a", wrapped), (2, 1, "b", "> " + first), (2, 2, "c", "> never written\nno")]
+    found = {(r.conv_id, r.turn): (r.reply_to, list(r.quoted), r.root, r.depth) for r in quotes.link(frame(spark, rows)).collect()}
+    assert found == {(1, 0): (None, [], 0, 0), (1, 1): (None, [], 1, 0), (1, 2): (0, [0], 0, 1), (1, 3): (0, [0], 0, 1),
+                     (1, 4): (1, [1], 1, 1), (1, 5): (3, [0, 3], 0, 2),
+                     (2, 0): (None, [], 0, 0), (2, 1): (0, [0], 0, 1), (2, 2): (None, [], 2, 0)}
