@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, substrings, tokencount
+from . import contentsort, decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, substrings, tokencount
 from .common import table
 
 
@@ -64,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op13_contentsort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contentsort.copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quotes": op1_quotes,
     "op2_decontamination": op2_decontamination,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op13_contentsort": op13_contentsort,
 }
 
 ORACLES = {
@@ -82,4 +87,5 @@ ORACLES = {
     "op4_mixing": mixing.ORACLE,
     "op5_substrings": substrings.ORACLE,
     "op6_mtree": mtree.ORACLE,
+    "op13_contentsort": contentsort.ORACLE,
 }

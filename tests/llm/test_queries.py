@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_html": "page_id bigint, url string, text string, n_chars bigint",
     "op9_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op13_contentsort": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
 }
 
 
