@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contentsort, decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, substrings, tokencount
+from . import contentsort, decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, substrings, tokencount, wordruns
 from .common import table
 
 
@@ -64,6 +64,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def runs_of(docs: DataFrame) -> DataFrame:
+    """Figures and digests of the runs of documents with planted ones."""
+    found = wordruns.periodic_runs(wordruns.with_planted_runs(docs)).withColumn("top", wordruns.strongest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("(1000 * top.length) div top.period").alias("exponent_milli"),
+        F.sha2(wordruns.listing(F.col("runs")), 256).alias("runs_sha256"), F.col("text_sha256").alias("collapsed_sha256"))
+
+
+def op11_wordruns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_of(table(spark, sf_dir, "documents"))
+
+
 def op13_contentsort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contentsort.copies(table(spark, sf_dir, "documents"))
 
@@ -79,6 +92,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_wordruns": op11_wordruns,
     "op13_contentsort": op13_contentsort,
 }
 

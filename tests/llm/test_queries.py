@@ -20,6 +20,8 @@ COLUMNS = {
     "op8_html": "page_id bigint, url string, text string, n_chars bigint",
     "op9_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_wordruns": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
+                     "runs_sha256 string, collapsed_sha256 string",
     "op13_contentsort": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
 }
 
