@@ -164,17 +164,23 @@ def fragments(parts: list[tuple[np.ndarray, int, int, bool, bool]]) -> list[list
         end = after + hashes.match(after, period, size, 1, 0, n) + period
         by = np.lexsort((period, end, start))
         start, end, period = start[by], end[by], period[by]
-        new = np.r_[True, (start[1:] != start[:-1]) | (end[1:] != end[:-1])]
-        start, end, period = start[new], end[new], period[new]
-        tile = np.searchsorted(begins, start, "right") - 1
-        cut_before = np.array([p[3] for p in parts])[np.array(order)[tile]] & (start == begins[tile])
-        cut_after = np.array([p[4] for p in parts])[np.array(order)[tile]] & (end == begins[tile] + lengths[tile])
-        wanted = (end - start >= np.maximum(LEAST, TIMES * period)) | cut_before | cut_after
-        for s, e, q, t in zip(start[wanted].tolist(), end[wanted].tolist(), period[wanted].tolist(), tile[wanted].tolist()):
-            part = parts[order[t]]
-            if part[1] <= octave <= part[2]:
-                for a, b in exact(words, s, e, q):
-                    found[order[t]].setdefault((a - int(begins[t]), b - int(begins[t])), q)
+        heads = np.flatnonzero(np.r_[True, (start[1:] != start[:-1]) | (end[1:] != end[:-1])])
+        tails = np.r_[heads[1:], len(start)]
+        tile = np.searchsorted(begins, start[heads], "right") - 1
+        goes_on = np.array([p[3:] for p in parts])[np.array(order)[tile]]
+        cut = goes_on[:, 0] & (start[heads] == begins[tile]) | goes_on[:, 1] & (end[heads] == begins[tile] + lengths[tile])
+        wanted = np.flatnonzero(((end - start)[heads] >= np.maximum(LEAST, TIMES * period[heads])) | cut)
+        for k in wanted.tolist():
+            i, at = order[tile[k]], int(begins[tile[k]])
+            if not parts[i][1] <= octave <= parts[i][2]:
+                continue
+            s, e = int(start[heads[k]]), int(end[heads[k]])
+            for q in period[heads[k]:tails[k]].tolist():
+                stretches = exact(words, s, e, q)
+                for a, b in stretches:
+                    found[i].setdefault((a - at, b - at), q)
+                if stretches == [(s, e)]:  # else the hash was wrong for this period, not for the next
+                    break
     return [[(q, s, e) for (s, e), q in f.items()] for f in found]
 
 
