@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contentsort, decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, substrings, tokencount, wordruns
+from . import contentsort, decontamination, htmltext, mixing, mtree, quality, quotes, secrets, simhash, spelling, substrings, tokencount, wordruns
 from .common import table
 
 
@@ -77,6 +77,15 @@ def op11_wordruns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_of(table(spark, sf_dir, "documents"))
 
 
+def variants_of(docs: DataFrame) -> DataFrame:
+    """Spelling variants among the words of documents with planted deletions."""
+    return spelling.variants(spelling.word_counts(docs, spelling.with_planted_deletions))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants_of(table(spark, sf_dir, "documents"))
+
+
 def op13_contentsort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contentsort.copies(table(spark, sf_dir, "documents"))
 
@@ -93,6 +102,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
     "op11_wordruns": op11_wordruns,
+    "op12_spelling": op12_spelling,
     "op13_contentsort": op13_contentsort,
 }
 
@@ -101,5 +111,6 @@ ORACLES = {
     "op4_mixing": mixing.ORACLE,
     "op5_substrings": substrings.ORACLE,
     "op6_mtree": mtree.ORACLE,
+    "op12_spelling": spelling.ORACLE,
     "op13_contentsort": contentsort.ORACLE,
 }

@@ -22,6 +22,7 @@ COLUMNS = {
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op11_wordruns": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
                      "runs_sha256 string, collapsed_sha256 string",
+    "op12_spelling": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
     "op13_contentsort": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
 }
 
@@ -49,7 +50,7 @@ def test_columns(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert [f"op{n}_" for n in range(1, 11)] == sorted(
+    assert [f"op{n}_" for n in range(1, 14)] == sorted(
         {n.split("_")[0] + "_" for n in names if n.startswith("op")}, key=lambda x: int(x[2:-1]))
     assert names["pipeline"] is corpus_pipeline.run and set(ORACLES) <= set(entry.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
