@@ -1,14 +1,17 @@
 """Sources, sinks, projections and predicates."""
 
 import uuid
+from contextlib import suppress
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from ..functions.flags import not_blank, null_or_no, null_or_not_in, null_or_zero, truthy_text
 from ..operators.history import keep_latest_of_type, retain
+from ..operators.sequence import global_sequence
 from ..session import scratch_path
 from ..sources import sinks
+from ..sources.publish import add_rows, publish_partitions, reserve_ids
 from ..sources.tables import Tables
 from .raw import AS_OF, RUN_TS
 from .registry import Inputs, query
@@ -42,6 +45,62 @@ def _(t):
     return t.spark.table(table)
 
 
+@query("s3_stopped_refresh", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
+def _(t):
+    """The state after a stop between the two renamings, then a build that fails: the old rows are read."""
+    table = f"{scratch_database(t.spark)}.slv_orders"
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus")
+    sinks.full_refresh(orders.filter("o_orderstatus = 'F'").drop("o_orderstatus"), table)
+    t.spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    with suppress(Exception):
+        sinks.full_refresh(orders.select("o_orderkey", F.raise_error(F.lit("stopped")).alias("o_custkey")), table)
+    return t.spark.table(table)
+
+
+@query("s3_published_partitions", """
+    SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM events e
+    WHERE ts >= TIMESTAMP '2024-01-15' OR event_type = 'click'
+       OR NOT EXISTS (SELECT 1 FROM events c WHERE c.event_type = 'click' AND CAST(c.ts AS DATE) = CAST(e.ts AS DATE))""")
+def _(t):
+    """Days written again are replaced as a whole, the others stay; a run that fails changes no day."""
+    table = f"{scratch_database(t.spark)}.snapshots"
+    rows = t["events"].select("event_id", "event_type", F.to_date("ts").alias("day"))
+    sinks.full_refresh(rows, table, partition_by=["day"])
+    early = rows.filter(F.col("day") < F.lit(date(2024, 1, 15)))
+    with suppress(Exception):
+        publish_partitions(early.withColumn("event_type", F.when(F.col("event_type") == "view", F.raise_error(F.lit("stopped")))), table)
+    publish_partitions(early.filter("event_type = 'click'"), table)
+    return t.spark.table(table).select("event_id", "event_type", "day")
+
+
+@query("w10_reserved_ids", """
+    SELECT event_id, CAST(event_id % 3 AS INT) AS batch, ROW_NUMBER() OVER (ORDER BY CASE event_id % 3 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END, event_id) AS id
+    FROM events""")
+def _(t):
+    """Batches in any order, each numbered from where the table's mark stands."""
+    table = f"{scratch_database(t.spark)}.numbered"
+    sinks.ensure_table(t.spark, table, "event_id bigint, id bigint, batch int", ["batch"])
+    for batch in (1, 0, 2):
+        rows = t["events"].filter(F.col("event_id") % 3 == batch).select("event_id", F.lit(batch).alias("batch"))
+        fresh = global_sequence(rows, "event_id", "id")
+        highest = reserve_ids(t.spark, table, "id", fresh.count())
+        add_rows(fresh.withColumn("id", F.col("id") + highest), table)
+    return t.spark.table(table).select("event_id", "batch", "id")
+
+
+@query("s4_added_column", """
+    SELECT o_orderkey AS id, o_orderstatus AS status, CASE WHEN o_orderstatus <> 'F' THEN CAST(o_orderdate AS DATE) END AS day FROM orders""")
+def _(t):
+    """A column declared later is added to the table and is NULL in the rows it had."""
+    table = f"{scratch_database(t.spark)}.snapshots"
+    rows = t["orders"].select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.to_date("o_orderdate").alias("day"))
+    sinks.ensure_table(t.spark, table, "id bigint, status string")
+    sinks.append_by_name(rows.filter("status = 'F'"), table, ["id", "status"])
+    sinks.ensure_table(t.spark, table, "id bigint, status string, day date")
+    sinks.append_by_name(rows.filter("status <> 'F'"), table, ["id", "status", "day"])
+    return t.spark.table(table)
+
+
 @query("s4_ensure_table", "SELECT o_orderkey AS id, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day FROM orders")
 def _(t):
     table = f"{scratch_database(t.spark)}.snapshots"

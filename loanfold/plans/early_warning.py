@@ -10,7 +10,8 @@ from ..operators.history import new_rows
 from ..operators.scoring import indicator_text, recommended_action, risk_grade, risk_score, with_score_trend
 from ..operators.sequence import global_sequence
 from ..session import scratch
-from ..sources.sinks import append_by_name, audit_stamp, drop_expired, ensure_table
+from ..sources.publish import add_rows, reserve_ids
+from ..sources.sinks import audit_stamp, drop_expired, ensure_table
 from ..sources.tables import Tables
 from .common import join_sides
 
@@ -64,25 +65,38 @@ def score(flagged: DataFrame, history: DataFrame, as_of: date) -> DataFrame:
     return with_score_trend(df, history, as_of)
 
 
-def build(raw: Tables, silver: Tables, as_of: date, run_ts: datetime) -> DataFrame:
-    """The rows of the run day that the history lacks, numbered after its largest id.
-
-    Ids grow from day to day, so the largest one is in the newest day's partition.
-    """
+def fresh_rows(raw: Tables, silver: Tables, as_of: date, run_ts: datetime) -> DataFrame:
+    """The rows of the run day that the history lacks, numbered from 1."""
     history = silver[TABLE].withColumn("loan_application_id", F.col("loan_application_id").cast("bigint"))
     scored = score(flags(raw, silver, as_of), history, as_of)
     fresh = new_rows(scored, history.filter(F.col("signal_date") == F.lit(as_of)))
-    newest = history.filter(F.col("signal_date") == history.agg(F.max("signal_date")).scalar())
-    largest = newest.agg(F.coalesce(F.max("ews_id"), F.lit(0))).scalar()
-    df = global_sequence(fresh, "loan_application_id", "ews_id", start=largest)
-    df = audit_stamp(df, run_ts, prefix="gold")
-    return df.select(*[F.col(name).cast(kind) for name, kind in COLUMNS.items()])
+    return audit_stamp(global_sequence(fresh, "loan_application_id", "ews_id"), run_ts, prefix="gold")
+
+
+def numbered_after(df: DataFrame, highest) -> DataFrame:
+    """The declared columns, with ids that begin after the highest one given."""
+    return df.withColumn("ews_id", F.col("ews_id") + highest).select(*[F.col(name).cast(kind) for name, kind in COLUMNS.items()])
+
+
+def build(raw: Tables, silver: Tables, as_of: date, run_ts: datetime) -> DataFrame:
+    """The rows of the run day that the history lacks, numbered after the largest id of all its days.
+
+    The newest day need not hold the largest id, as days may be built in any order. run() takes the mark kept with the table.
+    """
+    largest = silver[TABLE].agg(F.coalesce(F.max("ews_id"), F.lit(0))).scalar()
+    return numbered_after(fresh_rows(raw, silver, as_of, run_ts), largest)
 
 
 def run(spark: SparkSession, raw: Tables, silver: Tables, database: str, as_of: date, run_ts: datetime) -> None:
-    """Create the table once, append the day, drop what is past retention."""
+    """Create the table once, publish the day's partition with its new rows, drop what is past retention.
+
+    Ids come from the table's own mark: days built late, again or after a failure get ids that no row ever had.
+    """
     table = f"{database}.{TABLE}"
     ensure_table(spark, table, SCHEMA, partition_by=["signal_date"])
     with scratch(spark):
-        append_by_name(build(raw, silver, as_of, run_ts), table, list(COLUMNS))
+        fresh = fresh_rows(raw, silver, as_of, run_ts)
+        count = fresh.count()  # of the numbered rows, which are written already
+        if count:
+            add_rows(numbered_after(fresh, F.lit(reserve_ids(spark, table, "ews_id", count))), table)
     drop_expired(spark, table, "signal_date", as_of)

@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.signals import LOAN
+from ..sources.publish import recover
 from ..sources.sinks import bucketed_refresh, full_refresh, layout
 from ..sources.tables import Tables
 from . import (
@@ -46,6 +47,8 @@ def refresh(spark: SparkSession, raw: Tables, database: str, as_of: date, run_ts
     the tables after them join them without a shuffle.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in SILVER:
+        recover(spark, f"{database}.{name}")
     silver = Tables.from_catalog(spark, database)
     for name, table in SILVER.items():
         if not names or name in names:

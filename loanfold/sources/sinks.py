@@ -3,22 +3,29 @@
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import batch_id, moment, months_before
 from ..operators.history import RETENTION_MONTHS, SNAPSHOT_KEY, new_rows
+from .publish import add_new_rows, columns_of, drop_partitions, partition_columns, publish, publish_partitions, recover
 
 
 def full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by the rows of df.
 
-    A table with partitions is overwritten in place, as a catalog may keep a path for each of them.
+    A failed build leaves the old rows. A table with partitions that keeps its columns gets them one by one, and loses those that
+    df has no rows of.
     """
+    spark = df.sparkSession
+    recover(spark, table)
+    if partition_by and spark.catalog.tableExists(table):
+        declared = [(f.name.lower(), f.dataType.simpleString(), f.name in partition_by) for f in df.schema]
+        if partition_columns(spark, table) == list(partition_by) and sorted(declared) == sorted(columns_of(spark, table)):
+            publish_partitions(df, table, only=True)
+            return
     writer = df.write.format("parquet")
-    if partition_by:
-        writer.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
-    else:
-        _swap_in(df.sparkSession, writer, table)
+    publish(spark, writer.partitionBy(*partition_by) if partition_by else writer, table)
 
 
 def bucketed_refresh(df: DataFrame, table: str, key: str, buckets: int, sort_keys: Sequence[str] = ()) -> None:
@@ -28,27 +35,31 @@ def bucketed_refresh(df: DataFrame, table: str, key: str, buckets: int, sort_key
     """
     order = list(dict.fromkeys([key, *sort_keys]))
     writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(*order)
-    _swap_in(df.sparkSession, writer, table)
-
-
-def _swap_in(spark: SparkSession, writer: DataFrameWriter, table: str) -> None:
-    """Write beside the table, then change names: a failed write leaves the old rows where they were."""
-    new, old = f"{table}__new", f"{table}__old"
-    for leftover in (new, old):
-        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
-    writer.saveAsTable(new)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    publish(df.sparkSession, writer, table)
 
 
 def ensure_table(spark: SparkSession, table: str, schema: str, partition_by: Sequence[str] = ()) -> bool:
-    """Create an empty table with declared columns unless it exists. True when it was created."""
-    if spark.catalog.tableExists(table):
-        return False
-    full_refresh(spark.createDataFrame([], schema), table, partition_by)
-    return True
+    """Create an empty table with declared columns, or bring an existing one in line. True when it was created.
+
+    Columns that an existing table lacks are added at its end and are NULL in its rows; columns it has beyond the declared
+    ones stay. A column of another type, or other partitions, cannot be mended without rewriting rows: both raise.
+    """
+    recover(spark, table)
+    if not spark.catalog.tableExists(table):
+        full_refresh(spark.createDataFrame([], schema), table, partition_by)
+        return True
+    declared, have = StructType.fromDDL(schema), {name: kind for name, kind, _ in columns_of(spark, table)}
+    wrong = [f"{f.name} is {have[f.name.lower()]}, declared {f.dataType.simpleString()}" for f in declared
+             if have.get(f.name.lower(), f.dataType.simpleString()) != f.dataType.simpleString()]
+    parts = partition_columns(spark, table)
+    if parts != list(partition_by):
+        wrong.append(f"partitions are {parts}, declared {list(partition_by)}")
+    if wrong:
+        raise ValueError(f"{table}: " + "; ".join(wrong))
+    missing = [f for f in declared if f.name.lower() not in have]
+    if missing:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing) + ")")
+    return False
 
 
 def empty_clone(df: DataFrame, extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
@@ -64,19 +75,15 @@ def append_by_name(df: DataFrame, table: str, columns: Sequence[str]) -> None:
 
 
 def append_new(df: DataFrame, table: str, keys: Sequence[str] = SNAPSHOT_KEY, within=None) -> None:
-    """Append rows whose key the table lacks.
+    """Append rows whose key the table lacks. Partitions get them whole: each is published with its old rows and the new ones.
 
     within: a predicate on the table that holds for every key of df; it prunes the partitions compared.
     """
+    if partition_columns(df.sparkSession, table):
+        add_new_rows(df, table, keys, within)
+        return
     target = df.sparkSession.table(table)
-    if within is not None:
-        target = target.filter(within)
-    columns = df.sparkSession.table(table).columns
-    append_by_name(new_rows(df, target, keys), table, columns)
-
-
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    append_by_name(new_rows(df, target if within is None else target.filter(within), keys), table, target.columns)
 
 
 def drop_expired(spark: SparkSession, table: str, column: str, as_of: date, months: int = RETENTION_MONTHS) -> int:
@@ -85,11 +92,9 @@ def drop_expired(spark: SparkSession, table: str, column: str, as_of: date, mont
     Returns how many went. The list handled here is one entry per day kept.
     """
     cutoff = spark.range(1).select(months_before(as_of, months).cast("string")).first()[0]
-    days = [row.partition.split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    expired = sorted(day for day in days if day < cutoff and not day.startswith("__"))
-    for day in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{day}')")
-    return len(expired)
+    names = [row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    days = {name: name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")}
+    return drop_partitions(spark, table, [n for n, day in days.items() if day < cutoff and not day.startswith("__")])
 
 
 def layout(df: DataFrame, key: str, sort_keys: Sequence[str] = ()) -> DataFrame:

@@ -70,12 +70,18 @@ def test_failed_refresh_keeps_the_old_table(spark):
     assert spark.table(table).count() == 7
 
 
-def test_numbering_leaves_nothing_in_the_shared_folder(spark, raw, database):
+def test_days_in_any_order_have_ids_of_their_own(spark, raw, database):
+    """The day before, then the day after: as many ids as rows, and nothing of the numbering stays in the shared folder."""
     folder = f"{shared_folder(spark)}/loanfold"
     before = set(os.listdir(folder))
-    refresh(spark, raw, database, date(1998, 6, 29), datetime(1998, 6, 29, 1), names=["slv_early_warning"])
+    for day in (date(1998, 6, 29), date(1998, 7, 1)):
+        refresh(spark, raw, database, day, datetime(day.year, day.month, day.day, 1), names=["slv_early_warning"])
     assert set(os.listdir(folder)) == before
-    spark.sql(f"ALTER TABLE {database}.slv_early_warning DROP PARTITION (signal_date = DATE '1998-06-29')")
+    rows = spark.table(f"{database}.slv_early_warning")
+    days = rows.groupBy("signal_date").agg(F.count(F.lit(1)).alias("n"), F.min("ews_id").alias("low"), F.max("ews_id").alias("high")).collect()
+    assert len(days) == 3 and all(r.high - r.low + 1 == r.n for r in days)
+    assert rows.count() == rows.select("ews_id").distinct().count()
+    assert [r.signal_date.day for r in sorted(days, key=lambda r: r.low)] == [30, 29, 1]
 
 
 def test_second_run_of_a_day_adds_nothing(spark, raw, database):
@@ -98,7 +104,8 @@ def test_next_day_continues_ids_and_compares_scores(spark, raw, database):
 def test_retention_drops_whole_partitions(spark, database):
     table = f"{database}.slv_early_warning"
     days = {r[0] for r in spark.table(table).select("signal_date").distinct().collect()}
-    assert sinks.drop_expired(spark, table, "signal_date", date(1999, 12, 31)) == 0
+    assert sinks.drop_expired(spark, table, "signal_date", date(1999, 12, 29)) == 0
+    assert sinks.drop_expired(spark, table, "signal_date", date(1999, 12, 31)) == 1  # 29 June
     assert sinks.drop_expired(spark, table, "signal_date", date(2000, 1, 1)) == 1
     left = {r[0] for r in spark.table(table).select("signal_date").distinct().collect()}
     assert left < days
