@@ -8,7 +8,7 @@ from ..operators.lookup import attach, decode, roll_up
 from ..operators.receipts import attach_receipts, instalment_payments, receipts_union
 from ..operators.sequence import month_series
 from ..operators.signals import entity_stress
-from ..operators.skew import join_to_unique
+from ..operators.skew import join_to_unique, join_where_keyed
 from .raw import AS_OF
 from .registry import Inputs, query
 
@@ -185,7 +185,17 @@ def _(t):
     orders = t["orders"]
     link = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") - F.col("o_orderkey") % 3)
     linked = orders.select(F.col("o_orderkey").alias("link"), F.col("o_orderdate").alias("linked_date"))
-    return join_to_unique(orders.select("o_orderkey", link.alias("link")), linked, "link").select("o_orderkey", "linked_date")
+    return join_where_keyed(orders.select("o_orderkey", link.alias("link")), linked, "link").select("o_orderkey", "linked_date")
+
+
+@query("j16_rarely_linked", """
+    SELECT a.event_id, b.event_type AS linked_type FROM events a LEFT JOIN events b ON b.event_id = a.event_id // 20 AND a.event_id % 20 = 0""")
+def _(t):
+    """A link that 95 % of the rows lack."""
+    events = t["events"]
+    link = F.when(F.col("event_id") % 20 == 0, F.expr("event_id div 20"))
+    linked = events.select(F.col("event_id").alias("link"), F.col("event_type").alias("linked_type"))
+    return join_where_keyed(events.select("event_id", link.alias("link")), linked, "link").select("event_id", "linked_type")
 
 
 @query("j17_anti_join", """

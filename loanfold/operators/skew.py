@@ -44,6 +44,18 @@ def join_to_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def join_where_keyed(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left-join a side that is unique on the key; rows without a key skip the join and get NULLs.
+
+    For keys that most rows lack: those rows are neither shuffled nor gathered in the task of the NULL key. Both parts read left, so
+    it should be a scan or a step that is written already; its filter on the key reaches the scan.
+    """
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
+    keyed = left.filter(F.col(key).isNotNull()).join(right, key, "left")
+    order = [*left.columns, *[c for c in right.columns if c != key]]
+    return keyed.select(*order).unionByName(left.filter(F.col(key).isNull()).select("*", *nothing).select(*order))
+
+
 def with_group_value(df: DataFrame, key, value, name: str) -> DataFrame:
     """Attach an aggregate of the row's group. Aggregates first, so no group is gathered in one task."""
     on = [key] if isinstance(key, str) else list(key)

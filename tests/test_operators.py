@@ -102,6 +102,26 @@ def test_group_value(spark):
     assert sorted(map(tuple, got.collect())) == [(1, 1, 9), (1, 9, 9), (2, 3, 3)]
 
 
+def test_rows_without_a_key_skip_the_join(spark):
+    """95 % of the keys are NULL: no task of the shuffle gets them, and none is lost."""
+    left = spark.range(0, 40_000, 1, 8).selectExpr("id", "if(id % 20 = 0, id div 20, NULL) AS k")
+    right = spark.range(0, 1000).selectExpr("id AS k", "id * 2 AS v")
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "-1")
+    try:
+        found = skew.join_where_keyed(left, right, "k")
+        rows = found.select("*", F.spark_partition_id().alias("p")).collect()
+        assert found.columns == ["id", "k", "v"] and len(rows) == 40_000 and len({r.id for r in rows}) == 40_000
+        assert all(r.v == (r.k * 2 if r.k is not None and r.k < 1000 else None) for r in rows)
+        parts = [r.p for r in rows if r.k is None]
+        assert max(parts.count(p) for p in set(parts)) <= 5000  # as many as a scan task has
+        assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert skew.join_where_keyed(left.filter("k IS NULL"), right, "k").filter("v IS NOT NULL").count() == 0
+
+
 # --- lookups -----------------------------------------------------------------------------------------------
 
 TYPES = "typedetailid int, typedetaildescription string, isactive int"
@@ -115,6 +135,23 @@ def test_decode_keeps_the_number_of_rows(spark):
     assert sorted(values(lookup.decode(df, types, {"t": "a"}, active_only=True), "t"), key=str) == [None, None, "uno", "uno"]
 
 
+def test_decode_by_dictionary_and_by_join_agree(spark, monkeypatch):
+    """Many codes in each slot, unknown, NULL and negative codes, codes of other types; no join unless the table is too large."""
+    types = spark.range(-50, 5000).selectExpr("cast(id * 7 AS int) AS typedetailid", "concat('text ', id) AS typedetaildescription", "cast(id % 2 AS int) AS isactive")
+    types = types.unionByName(frame(spark, TYPES, (None, "none", 1), (3, None, 1)))
+    df = spark.range(0, 40_000).selectExpr("cast(id - 399 AS int) AS a", "if(id % 5 = 0, NULL, id) AS b", "cast(id AS string) AS c",
+                                           "if(id % 2 = 0, 'x', cast(id AS string)) AS d")
+    labels = {"a_text": "a", "b_text": "b", "c_text": "c"}
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    found = lookup.decode(df, types, labels)
+    assert "Join" not in plan(found) and found.filter("a_text IS NOT NULL AND b_text IS NOT NULL").count() > 1000
+    assert lookup.decode(df, types, {"d_text": "d"}).filter("d = 'x' AND d_text IS NOT NULL").count() == 0
+    once = found.collect()
+    monkeypatch.setattr(lookup, "MOST_CODES", 100)
+    joined = lookup.decode(df, types.select("*"), labels)  # another table object: counted anew
+    assert "Join" in plan(joined) and sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, once), key=repr)
+
+
 def test_attach_may_replace_a_column(spark):
     df = frame(spark, "k int, name string", (1, "mine"))
     dim = frame(spark, "id int, name string", (1, "theirs"))
