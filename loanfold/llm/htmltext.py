@@ -2,6 +2,7 @@
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -37,17 +38,28 @@ AROUND = re.compile(
     r"complementary|contentinfo|disclaimer|discussion|disqus\w*|footer|gdpr|menu|modal|nav|navbar|navigation|newsletter|notices?|"
     r"notification|outbrain|overlay|paywall|popover|popup|privacy|promo\w*|related|replies|respond|responses?|search|share|"
     r"sharing|sidebar|social|sponsor\w*|subscribe|taboola|toast|toolbar|widget)(?:$|[\s_-])", re.I)
-#: The same for what only counts outside an article, where it is the page's own.
+#: Inside an article most such words may be its subject. There only a whole name of a container says that it is no part of it.
+APART = re.compile(
+    r"(?:^|\s)(?:(?:\w+[_-])?comments?(?:[_-]?(?:area|box|form|list|section|thread|wrap\w*))?|commentlist|disqus\w*|respond|replies|"
+    r"ads?|adsbygoogle|ad[_-]?(?:box|slot|unit|wrap\w*)|advert\w*|sponsored|promo|newsletter(?:[_-]\w+)?|outbrain|taboola|paywall|"
+    r"related(?:[_-](?:articles|content|links|posts|stories))?|(?:social[_-])?(?:share|sharing)(?:[_-](?:bar|buttons|links|this))?|"
+    r"social[_-](?:bar|buttons|icons|links|media)|cookie[_-]\w+|consent|gdpr|sidebar|breadcrumbs?|toolbar|nav|navbar|navigation|"
+    r"pagination)(?:$|\s)", re.I)
+#: Elements that hold text of an article whatever their names say.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dd dt figcaption caption hgroup".split())
+#: The same as AROUND for what only counts outside an article, where it is the page's own.
 TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 #: Names of elements that stand for an article element.
 MAIN_NAMED = re.compile(r"(?:^|\s)(?:main|(?:article|entry|main|page|post|story)[_-]?(?:body|content|text))(?:$|\s)", re.I)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.I)
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?>[^<>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>""", re.S)
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?>[^<>"']+|"[^"]*"|'[^']*'){0,200}+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>""", re.S)
 
 SHORT, LONG = 70, 200
 FEW_STOPS, MANY_STOPS = 0.12, 0.2
-MANY_LINKS = 0.5
+MANY_LINKS, FEW_LINKS = 0.5, 0.2
+#: Signs that stand for a word or a good part of one; they count three times where lengths are compared.
+WIDE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 GOOD, NEAR, SMALL, BAD = "good", "near", "short", "bad"
 
 
@@ -60,12 +72,18 @@ class Block:
     around: bool
     main: int  # number of the article it stands in, 0 for none
     heading: bool
+    code: bool = False  # keeps its lines: code, tables of figures, verse
+
+    @property
+    def size(self) -> int:
+        return len(self.text) + 2 * len(WIDE.findall(self.text))
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, character references decoded and white space made single spaces."""
     found: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # open block elements: name, around the article, article number
+    open_names: Counter[str] = Counter()  # of the stack, so that an end without a beginning costs nothing
     parts: list[str] = []
     linked: list[str] = []
     links = mains = at = 0
@@ -76,7 +94,7 @@ def blocks(page: str) -> list[Block]:
             in_links = len(" ".join(html.unescape("".join(linked)).split()))
             _, around, main = stack[-1] if stack else ("", False, 0)
             heading = bool(stack) and stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6")
-            found.append(Block(text, in_links / len(text), around, main, heading))
+            found.append(Block(text, in_links / len(text), around, main, heading, open_names["pre"] > 0))
         parts.clear()
         linked.clear()
 
@@ -103,13 +121,14 @@ def blocks(page: str) -> list[Block]:
             end_block()
             links = 0
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+                while open_names[name]:
+                    last = stack.pop()[0]
+                    open_names[last] -= 1
+                    if last == name:
                         break
             elif name not in VOID:
                 if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack and stack[-1][0] == name == "li":
-                    stack.pop()
+                    open_names[stack.pop()[0]] -= 1
                 _, around, main = stack[-1] if stack else ("", False, 0)
                 names = " ".join(x[1] or x[2] or x[3] or "" for x in NAMED.finditer(attributes)) if attributes else ""
                 if name in ("html", "body"):
@@ -117,9 +136,11 @@ def blocks(page: str) -> list[Block]:
                 if not main and (name in MAIN or (not around and MAIN_NAMED.search(names))):
                     mains += 1
                     around, main = False, mains
-                around = bool(around or name in ASIDE or AROUND.search(names) or (attributes and HIDDEN.search(attributes))
+                named = name not in TEXTUAL and APART.search(names) if main else AROUND.search(names)
+                around = bool(around or name in ASIDE or named or (attributes and HIDDEN.search(attributes))
                               or (not main and (name == "header" or TOP.search(names))))
                 stack.append((name, around, main))
+                open_names[name] += 1
     add(page[at:])
     end_block()
     return found
@@ -131,30 +152,44 @@ def stop_share(text: str) -> float:
     return max(sum(w in stops for w in words) for stops in STOPS) / len(words)
 
 
-def first_pass(block: Block) -> str:
-    """The label of a block by itself."""
+def language_fits(found: list[Block]) -> bool:
+    """Whether the page's running text is in a listed language, so that stop words can tell it from the rest."""
+    running = " ".join(b.text for b in found if b.size >= SHORT and b.links <= MANY_LINKS and not b.around)
+    return bool(running) and stop_share(running) >= MANY_STOPS
+
+
+def first_pass(block: Block, listed: bool) -> str:
+    """The label of a block by itself. listed: stop words count; in other languages length and links alone decide."""
     if block.around or "\N{COPYRIGHT SIGN}" in block.text[:40] and len(block.text) < LONG and not block.main:
         return BAD
+    if block.size < SHORT:
+        return BAD if block.links >= 1 else SMALL
     if block.links > MANY_LINKS:
-        return SMALL if block.main and len(block.text) < SHORT and block.links < 1 else BAD
-    if len(block.text) < SHORT:
-        return BAD if block.links > 0 and not block.main else SMALL
+        return BAD
+    if block.code:
+        return SMALL
+    if not listed:
+        return GOOD if block.size > LONG else NEAR
     share = stop_share(block.text)
     if share >= MANY_STOPS:
-        return GOOD if len(block.text) > LONG else NEAR
-    return NEAR if share >= FEW_STOPS else SMALL if block.main else BAD
+        return GOOD if block.size > LONG else NEAR
+    return NEAR if share >= FEW_STOPS else SMALL if block.main or block.links < FEW_LINKS else BAD
 
 
 def classified(found: list[Block]) -> list[bool]:
     """Second pass: whether each block is main text; undecided blocks take the label of their nearest decided neighbours.
 
     The nearest decided block before and after count; of two that differ, a near-good block takes the good one, a heading the
-    one after it, and any other the nearer one, bad if equally far. The edge of a page counts as bad. Inside an article only
-    blocks of the same article count, and its edge counts as good: what surrounds it says nothing about it.
+    one after it, and any other the nearer one, bad if equally far. The edge of a page counts as bad, but says nothing about a
+    near-good block; in a page without a good block near-good ones are the text. Inside an article only blocks of the same
+    article count, and its edge counts as good: what surrounds it says nothing about it.
     """
-    first = [first_pass(b) for b in found]
+    listed = language_fits(found)
+    first = [first_pass(b, listed) for b in found]
+    if GOOD not in first and not any(b.main for b in found):
+        first = [GOOD if label == NEAR else label for label in first]
     n = len(found)
-    before, after = [(False, i + 1) for i in range(n)], [(False, n - i) for i in range(n)]
+    before, after = [(None, i + 1) for i in range(n)], [(None, n - i) for i in range(n)]
 
     def sweep(order, near) -> None:
         last = None
@@ -176,21 +211,21 @@ def classified(found: list[Block]) -> list[bool]:
     for block, label, (left, to_left), (right, to_right) in zip(found, first, before, after):
         if label in (GOOD, BAD):
             out.append(label == GOOD)
-        elif left == right:
-            out.append(left)
         elif label == NEAR:
-            out.append(True)
+            out.append(bool(left or right) or left is None and right is None)
+        elif bool(left) == bool(right):
+            out.append(bool(left))
         elif block.heading:
-            out.append(right)
+            out.append(bool(right))
         elif block.main:
-            out.append(left or right)
+            out.append(bool(left or right))
         else:
-            out.append(left if to_left < to_right else right if to_right < to_left else False)
+            out.append(bool(left if to_left < to_right else right if to_right < to_left else False))
     return out
 
 
 def main_text(page: str | None) -> str:
-    """The main text of a page: its good blocks in order, one to a line."""
+    """The main text of a page: its good blocks in order, one to a line. Linear in the page, whatever is open or unclosed in it."""
     found = blocks(page or "")
     return "\n".join(b.text for b, good in zip(found, classified(found)) if good)
 

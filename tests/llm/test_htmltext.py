@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -40,6 +41,40 @@ def test_pages(page, text):
     assert htmltext.main_text(page) == text
 
 
+ITALIAN = ("La casa costruita sulla collina è tra le più antiche della città e vi abitarono molti che vennero a lavorare nelle miniere. "
+           "Dopo la guerra fu venduta al comune, che per qualche tempo pensava di farne un museo dedicato alla storia dei minatori. ")
+CHINESE = "山上的那座房子是镇上最古老的房子之一，许多来矿山工作的人都曾住在那里。战争结束后，它被卖给了市政府，有一段时间人们计划把它改成博物馆，展示矿工的历史。" * 2
+SHORTER = "The house on the hill was sold to the city after the war, and for a time there were plans to make it into a museum for all of us to see."
+MENU = "<div><a href=a>Home</a> <a href=b>News</a> <a href=c>About us</a> <a href=d>All our other pages and sites in one list</a></div>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body>{MENU}<div>{ITALIAN}</div><div>{ITALIAN}</div>{MENU}</body>", f"{ITALIAN.strip()}\n{ITALIAN.strip()}"),
+    (f"<body>{MENU}<div>{CHINESE}</div><div>{CHINESE}</div>{MENU}</body>", f"{CHINESE}\n{CHINESE}"),
+    (f"<body><div>{SHORTER}</div></body>", SHORTER),
+    (f"<body>{MENU}<div>{SHORTER}</div>{MENU}</body>", SHORTER),
+    (f"<article><p class='social-history'>{LONG}</p><section id='privacy'><h2>Privacy</h2><p>{LONG}</p></section>"
+     "<li class='notice'>Of note.</li><div class='menu-of-the-day'>Soup and bread.</div></article>",
+     f"{LONG.strip()}\nPrivacy\n{LONG.strip()}\nOf note.\nSoup and bread."),
+    (f"<article><p>{LONG}</p><div class='social-share'>Share this</div><section class='comments-section'><p>{LONG}</p></section>"
+     f"<div class='newsletter-signup'>Our letter</div><div class='related-posts'><p>{LONG}</p></div><p>End.</p></article>", f"{LONG.strip()}\nEnd."),
+    (f"<div><p>{LONG}</p><p>See <a href=m>the old map</a>.</p><p>{LONG}</p></div>", f"{LONG.strip()}\nSee the old map.\n{LONG.strip()}"),
+    (f"<div><p>{LONG}</p><pre>" + "x = f(y)\n" * 40 + f"</pre><p>{LONG}</p></div>", f"{LONG.strip()}\n{'x = f(y) ' * 39}x = f(y)\n{LONG.strip()}"),
+])
+def test_articles_are_kept_whole(page, text):
+    assert htmltext.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "</p>" * 50_000, "<div>" * 50_000 + "</div>" * 50_000, "<!" * 100_000, "<a " * 50_000, '<a "' * 20_000, "<a '\"" * 20_000 + ">",
+    "<!--" * 50_000, "<script " * 50_000, "</" * 100_000, "<p>" * 50_000, "&" * 200_000, "<li>" * 50_000 + "</ul>" * 50_000, "<a b=c " * 30_000 + ">",
+], ids=range(13))
+def test_linear_time(page):
+    start = time.perf_counter()
+    htmltext.main_text(page)
+    assert time.perf_counter() - start < 3
+
+
 def test_given_pages_give_their_articles(spark):
     """The given pages have one article each, which the rules must find whole without being told its place."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
