@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.sequence import global_sequence
+from ..operators.skew import join_to_unique
 from .common import saved
 
-#: Up to three spaces before a quote mark, as often as there are levels.
-MARKS = r"^(?:[ \t]{0,3}>)+"
+#: Up to three spaces before a quote mark, as often as there are levels. Possessive: it takes no stack, however many there are.
+MARKS = r"^(?:[ \t]{0,3}+>)++"
 #: A line such as "On Monday, Ann wrote:", which goes with the quote below it.
 SAYS = r"(?i)(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$"
 
@@ -67,7 +68,8 @@ def link(messages: DataFrame) -> DataFrame:
     empty. Other columns are ignored. An empty table gives no rows.
 
     Originals are counted per passage before the join, so a line that everybody writes is one row per conversation, and no pairs
-    of messages are formed. A conversation of any size is spread by passage, and by range for its order.
+    of messages are formed. A conversation of any size is spread by passage, and by range for its order; a passage, a thread or a
+    conversation that holds a large share of the rows is spread over several tasks where it is joined.
     """
     lined = saved(parsed(messages.select("conv_id", "turn", "role", "text")), "lines")
     each = lined.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select(
@@ -75,7 +77,8 @@ def link(messages: DataFrame) -> DataFrame:
     passages = each.select("conv_id", "turn", "block.level", F.explode(units(F.col("block.body"))).alias("words"))
     passages = passages.select("conv_id", "turn", "level", F.md5("words").alias("hash"))
     written = passages.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("original"))
-    quoted = passages.filter("level > 0").join(written, ["conv_id", "hash"]).filter("original < turn")
+    cited = saved(passages.filter("level > 0"), "quoted-passages")
+    quoted = join_to_unique(cited, written, ["conv_id", "hash"], "inner").filter("original < turn")
     votes = quoted.groupBy("conv_id", "turn", "original").agg(F.count(F.when(F.col("level") == 1, 1)).alias("votes"))
     links = saved(votes.groupBy("conv_id", "turn").agg(
         F.max(F.when(F.col("votes") > 0, F.struct("votes", "original")))["original"].alias("reply_to"),
@@ -87,14 +90,14 @@ def link(messages: DataFrame) -> DataFrame:
         x["level"].alias("level"), x["body"].alias("body"),
         ((i + 1 < last) & (F.get("lines", i + 1)["level"] > 0) & x["body"].rlike(SAYS)).alias("says"))),
         lambda x: (x["level"] == 0) & ~x["says"])
-    text = F.regexp_replace(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), r"^\s+|\s+$", "")
+    text = F.trim(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), F.lit(" \t\n\x0b\f\r"))
     joined = lined.select("conv_id", "turn", "role", text.alias("text")).join(links, ["conv_id", "turn"], "left").join(
         threads, ["conv_id", "turn"], "left")
     placed = joined.select("conv_id", "turn", "role", "reply_to", F.coalesce("quoted", F.array().cast("array<long>")).alias("quoted"),
                            F.coalesce("root", "turn").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"), "text")
     numbered = global_sequence(placed, ["conv_id", "root", "turn", "role", "text"], "nth")
-    begins = numbered.groupBy(F.col("conv_id").alias("of")).agg(F.min("nth").alias("begin"))
-    out = numbered.join(begins, F.col("conv_id").eqNullSafe(F.col("of")))
+    named = numbered.withColumns({"none": F.col("conv_id").isNull(), "of": F.coalesce("conv_id", F.lit(0))})
+    out = join_to_unique(named, named.groupBy("none", "of").agg(F.min("nth").alias("begin")), ["none", "of"])
     return out.select("conv_id", "turn", "role", "reply_to", "quoted", "root", "depth", (F.col("nth") - F.col("begin") + 1).alias("position"), "text")
 
 
@@ -108,8 +111,7 @@ def roots(replies: DataFrame) -> DataFrame:
     while True:
         at = saved(at, "threads")
         next_ = at.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more"))
-        jumped = at.join(next_, ["conv_id", "root"])
-        if jumped.isEmpty():
+        if at.join(next_, ["conv_id", "root"], "left_semi").isEmpty():
             return at
-        at = at.join(next_, ["conv_id", "root"], "left").select(
+        at = join_to_unique(at, next_, ["conv_id", "root"]).select(
             "conv_id", "turn", F.coalesce("above", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanfold.llm import quotes
 
@@ -86,6 +87,35 @@ def test_long_chain_and_empty_table(spark, rows):
     assert quotes.link(frame(spark, chain).filter("false")).collect() == []
 
 
+def test_long_lines_and_marks(spark):
+    """A line of a million marks, one of a million spaces, and one that a long run of spaces ends."""
+    million = 10 ** 6
+    rows = [(1, 0, "a", "first words"), (1, 1, "b", ">" * million + " first words\nmine"), (1, 2, "c", " " * million), (1, 3, "d", "x" + " " * million + "y"),
+            (1, 4, "e", "> first words\n" + " \t" * (million // 2) + "end" + " \n" * (million // 2)), (1, 5, "f", "wrote " * (million // 6))]
+    found = {r.turn: r for r in quotes.link(frame(spark, rows)).collect()}
+    assert found[1].text == "mine" and list(found[1].quoted) == [0] and found[2].text == "" and found[4].text == "end"
+    assert len(found[3].text) == million + 2 and found[4].reply_to == 0 and found[5].text == ("wrote " * (million // 6)).strip()
+
+
+def test_one_conversation_holds_most_rows(spark):
+    """Everybody in one large conversation quotes the same message; no task gets all of it."""
+    rows = [(7, 0, "u", "the first message of all")] + [(7, t, "u", f"> the first message of all\nanswer {t}") for t in range(1, 3001)]
+    rows += [(c, t, "u", f"hello {c}") for c in range(100, 1100) for t in range(3)]
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = quotes.link(frame(spark, rows))
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 2400 and sum(sizes) == len(rows)
+        large = found.filter("conv_id = 7").collect()
+        assert sorted(r.position for r in large) == list(range(1, 3002)) and all(r.reply_to == 0 and r.depth == 1 for r in large if r.turn)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_rewrapped_and_partial_quotes(spark):
     first = ("The river rose over night and took the old bridge with it. Nobody was hurt. "
              "We will need a boat for the rest of the week, and somebody who can row it.")
