@@ -8,6 +8,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.skew import join_to_unique
 from .common import components, saved
 
 #: A-Z to a-z, all other bytes as they are.
@@ -195,7 +196,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataF
     rooted = with_roots(prints, distance)
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return join_to_unique(marked, named, "fp").select("doc_id", "fp", "component_id")
 
 
 def with_roots(prints: DataFrame, distance: int) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from loanfold.llm import simhash
 from tests.llm.helpers import documents
@@ -67,6 +68,23 @@ def test_one_large_group_of_copies(spark):
     assert result(simhash.near_duplicates(documents(spark, rows))) == plain_components(rows)
 
 
+def test_copies_of_one_text_are_spread(spark):
+    """Empty texts are most rows; no task of the last join gets all of them."""
+    docs = spark.range(0, 9000, 1, 6).selectExpr("id AS doc_id", "if(id % 3 < 2, '', concat('own words of ', id)) AS text")
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = simhash.near_duplicates(docs)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 9000 and max(sizes) < 3000
+        assert found.filter("fp = 0 AND component_id = 0").count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_long_text(spark):
     text = "ab Cd " * 200_000
     assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
