@@ -171,6 +171,15 @@ def _(t):
     return t.spark.table(f"{database}.bucketed")
 
 
+@query("s10_two_keys", "SELECT l_partkey, l_suppkey, COUNT(*) AS n, CAST(SUM(l_quantity) AS DOUBLE) AS quantity FROM lineitem GROUP BY 1, 2")
+def _(t):
+    """A table laid out for reads by part and by supplier."""
+    table = f"{scratch_database(t.spark)}.lines"
+    sinks.full_refresh(sinks.cluster(t["lineitem"].select("l_partkey", "l_suppkey", "l_quantity"), ["l_partkey", "l_suppkey"], cuts=64), table)
+    return t.spark.table(table).groupBy("l_partkey", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("double").alias("quantity"))
+
+
 @query("s11_audit_stamp", """
     SELECT o_orderkey, TIMESTAMP '1998-06-30 18:30:15' AS silver_loaded_at, '19980630_183015' AS silver_batch_id FROM orders""")
 def _(t):

@@ -24,7 +24,7 @@ class SilverTable(NamedTuple):
 
 # Table name -> build, distribution key, sort keys. A table only reads those above it.
 SILVER = {
-    "slv_loan_details": SilverTable(loan_details.build, "loan_application_id"),
+    "slv_loan_details": SilverTable(loan_details.build, "loan_application_id", ["branch_id", "loan_application_id"]),  # read by either
     "slv_customer": SilverTable(customer.build, "applicant_id", ["loan_application_id"]),
     "slv_contract_perf_monthly": SilverTable(contract_perf_monthly.build, "loan_application_id", ["snapshot_date"]),
     "slv_asset": SilverTable(asset.build, "loan_application_id", ["property_detail_id"]),

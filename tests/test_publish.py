@@ -1,8 +1,10 @@
 """Publications that stop between any two steps, partitions published whole, ids handed out, declared columns."""
 
+import glob
 import os
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,53 @@ def test_ids_are_handed_out_once(spark, table, monkeypatch):
     assert publish.reserve_ids(spark, table, "id", 0) == 19
 
 
+def groups_to_read(folder, column, value):
+    """Row groups whose range of the column holds the value, of all."""
+    wanted = total = 0
+    for path in glob.glob(f"{folder}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index(column)
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            total += 1
+            wanted += stats is not None and stats.has_min_max and stats.min <= value <= stats.max
+    return wanted, total
+
+
+def test_two_keys_are_both_skipped_by(spark, tmp_path):
+    rows = spark.range(0, 200_000, 1, 8).selectExpr("(id * 7919) % 5000 AS a", "date_add(DATE '2000-01-01', cast((id * 104729) % 199999 % 3000 AS int)) AS b", "id")
+    sinks.cluster(rows, ["a", "b"], files=64, cuts=32).write.parquet(str(tmp_path / "two"))
+    rows.repartitionByRange(64, "a").write.parquet(str(tmp_path / "one"))
+    assert spark.read.parquet(str(tmp_path / "two")).exceptAll(rows).count() == 0
+    for column, value in (("a", 2500), ("a", 17), ("b", date(2003, 5, 17)), ("b", date(2008, 1, 1))):
+        wanted, total = groups_to_read(tmp_path / "two", column, value)
+        assert total >= 60 and 1 <= wanted <= 20
+    assert groups_to_read(tmp_path / "one", "b", date(2003, 5, 17))[0] > 60
+
+
+def test_clustering_of_odd_keys(spark):
+    """NULLs, one value that is most rows, a key that is NULL in all rows, no rows."""
+    rows = spark.range(0, 3000).selectExpr("if(id % 3 = 0, NULL, if(id % 3 = 1, 5, id)) AS a", "cast(NULL AS int) AS b", "id")
+    found = sinks.cluster(rows, ["a", "b"], files=4, cuts=16)
+    assert found.columns == rows.columns and found.exceptAll(rows).count() == 0 and found.count() == 3000
+    assert sinks.cluster(rows.filter("false"), ["a", "b"]).count() == 0
+
+
+def test_buckets_sorted_by_another_key(spark, table):
+    """A read by the bucket's key opens one bucket, a read by the other skips within each."""
+    rows = spark.range(0, 100_000, 1, 8).selectExpr("id AS loan", "(id * 7919) % 1000 AS branch")
+    sinks.bucketed_refresh(rows, table, "loan", 4, ["branch", "loan"])
+    spark.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))  # a task for each file
+    try:
+        whole, opened = spark.table(table), spark.table(table).filter("loan = 77")
+        assert (whole.rdd.getNumPartitions(), opened.rdd.getNumPartitions(), opened.count()) == (4, 1, 1)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for path in glob.glob(publish.described(spark, table)["Location"].replace("file:", "") + "/*.parquet"):
+        branches = pq.read_table(path)["branch"].to_pylist()
+        assert branches == sorted(branches)
+
+
 def test_declared_columns_are_reconciled(spark, table):
     assert sinks.ensure_table(spark, table, "a int, day date", ["day"])
     row = spark.createDataFrame([(1, date(2024, 1, 1))], "a int, day date")
