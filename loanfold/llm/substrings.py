@@ -18,6 +18,8 @@ MERGE_BYTES = 60_000
 SHARDS = 16
 #: Length of an anchor. A window of 50 bytes holds 27 of them and is sent along with the one of smallest hash.
 ANCHOR = 24
+#: Differing pieces under one anchor, counted per block, from which on its windows are dealt out one by one.
+SPLIT = 4096
 LAST = np.iinfo(np.int64).max
 # Odd multipliers for hashes; any would do.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -100,39 +102,75 @@ class Block:
             hashes.append(h[heads[some]])
             docs.append(doc[some])
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-        first, h = join(firsts, np.int64), join(hashes, np.uint64)
-        bucket = (h % np.uint64(buckets)).astype(np.int64)
-        key = ((h // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        self._take(join(firsts, np.int64), join(lengths, np.int64), join(docs, np.int64), *self._dealt(join(hashes, np.uint64)))
+
+    def _dealt(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket and key of hashes."""
+        return ((h % np.uint64(self.buckets)).astype(np.int64),
+                ((h // np.uint64(self.buckets)) & np.uint64(0xFFFFFFFF)).astype(np.int64))
+
+    def _take(self, first, windows, doc, bucket, key) -> None:
         order = np.argsort((bucket << 32) | key)
-        self.run_first, self.run_windows, self.run_doc = first[order], join(lengths, np.int64)[order], join(docs, np.int64)[order]
+        self.run_first, self.run_windows, self.run_doc = first[order], windows[order], doc[order]
         self.run_bucket, self.run_key = bucket[order], key[order]
 
+    def _mixed(self, first: np.ndarray, size: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Hashes h mixed with the bytes of stretches of text, size bytes (8 or more) from first on."""
+        at = np.ndarray((len(self.text) + 1,), "<u8", np.concatenate([self.text, np.zeros(8, np.uint8)]), strides=(1,))
+        for k in range(-(-int(np.max(size, initial=0)) // 8)):
+            # The last word of a stretch may overlap the one before it; shorter stretches repeat it.
+            words = at[np.minimum(first + np.maximum(0, np.minimum(8 * k, size - 8)), len(self.text))]
+            h = (h ^ words) * MIX[k % len(MIX)]
+            h = h ^ (h >> np.uint64(31))
+        return h
+
     def distinct_keys(self) -> tuple[np.ndarray, np.ndarray]:
         """The first run of each distinct anchor, and the distinct anchor of each run."""
         new = np.r_[True, (np.diff(self.run_key) != 0) | (np.diff(self.run_bucket) != 0)] if len(self.run_key) else np.empty(0, bool)
         return np.flatnonzero(new), np.cumsum(new) - 1
 
     def prints(self) -> Iterator[tuple[int, bytes]]:
-        """Per bucket: its distinct anchors here, and for each whether several documents have it."""
+        """Per bucket: its distinct anchors here, whether several documents have each, and how many differing pieces it has."""
         heads, of = self.distinct_keys()
         if not len(heads):
             return
+        kinds = np.ones(len(heads), np.uint32)
+        rows = np.flatnonzero(np.bincount(of)[of] > 1)
+        size = self.run_windows[rows] + self.window - 1
+        h = self._mixed(self.run_first[rows], size, size.astype(np.uint64))
+        order = np.lexsort((h, of[rows]))
+        at, h = of[rows][order], h[order]
+        new = np.r_[True, (at[1:] != at[:-1]) | (h[1:] != h[:-1])][:len(at)]
+        kinds[np.unique(at)] = np.bincount(at[new], minlength=len(heads))[np.unique(at)]
         low, high = np.minimum.reduceat(self.run_doc, heads), np.maximum.reduceat(self.run_doc, heads)
         bucket = self.run_bucket[heads]
         for rows in np.split(np.arange(len(heads)), np.flatnonzero(np.diff(bucket)) + 1):
-            yield int(bucket[rows[0]]), packed(self.run_key[heads[rows]].astype(np.uint32), low[rows] < high[rows])
+            yield int(bucket[rows[0]]), packed(self.run_key[heads[rows]].astype(np.uint32), low[rows] < high[rows], kinds[rows])
 
     def keep_repeated(self, masks: dict[int, bytes]) -> None:
-        """Keep the runs whose anchor another document has too; masks: a bit per distinct anchor, per bucket."""
+        """Keep the runs whose anchor another document has too, and cut those of hot anchors into windows.
+
+        masks: per bucket a number for each distinct anchor: 0 drops it, 1 keeps it, 1 + k deals its windows out to 2^k keys,
+        by a hash of the whole window. Equal windows have equal anchors, so they meet again.
+        """
         heads, of = self.distinct_keys()
         if not len(heads):
             return
         bucket = self.run_bucket[heads]
         here, counts = np.unique(bucket, return_counts=True)
-        bits = [np.unpackbits(np.frombuffer(masks[b], np.uint8), count=c) for b, c in zip(here.tolist(), counts.tolist())]
-        keep = np.concatenate(bits).astype(bool)[of]
-        for name in ("run_first", "run_windows", "run_doc", "run_bucket", "run_key"):
-            setattr(self, name, getattr(self, name)[keep])
+        codes = np.concatenate([unpacked(masks[b], np.uint8)[0] for b in here.tolist()])[of]
+        keep, hot = codes == 1, np.flatnonzero(codes > 1)
+        windows = self.run_windows[hot]
+        run = np.repeat(hot, windows)
+        first = ragged(self.run_first[hot], windows)
+        part = self._mixed(first, np.full(len(first), self.window), np.zeros(len(first), np.uint64))
+        part &= (np.uint64(1) << (codes[run] - 1).astype(np.uint64)) - np.uint64(1)
+        h = ((self.run_bucket[run].astype(np.uint64) * MIX[0]) ^ self.run_key[run].astype(np.uint64)) * MIX[1]
+        h = ((h ^ (h >> np.uint64(32))) + part) * MIX[2]
+        bucket, key = self._dealt(h ^ (h >> np.uint64(32)))
+        join = lambda kept, new: np.concatenate([kept[keep], new])
+        self._take(join(self.run_first, first), join(self.run_windows, np.ones(len(first), np.int64)),
+                   join(self.run_doc, self.run_doc[run]), join(self.run_bucket, bucket), join(self.run_key, key))
 
     def pieces(self) -> tuple["Pieces", np.ndarray]:
         """Distinct pieces of text under the kept runs in the order of buckets, and the piece of each run."""
@@ -240,7 +278,8 @@ def _whole_anchors(pieces: Pieces, rows: np.ndarray) -> list[np.ndarray]:
     return np.split(rows, np.flatnonzero(np.diff(part)) + 1)
 
 
-def repeated_substrings(docs: DataFrame, window: int = 50, block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
+def repeated_substrings(docs: DataFrame, window: int = 50, block_bytes: int = BLOCK_BYTES, buckets: int | None = None,
+                        split: int = SPLIT) -> DataFrame:
     """What remains of each document: doc_id, n_bytes, starts and ends of removed runs (bytes), kept (binary).
 
     A byte goes if a string of window bytes that covers it also starts in a document with a smaller doc_id. Strings are judged
@@ -253,7 +292,9 @@ def repeated_substrings(docs: DataFrame, window: int = 50, block_bytes: int = BL
     unless their number is given. A task holds one block or what one bucket received. First only fingerprints of anchors travel,
     to find those that several documents have. Then each block sends the pieces of text around these, equal ones once; a bucket
     merges the Burrows-Wheeler transforms of its shards and returns the smallest owner of every window. A passage that
-    many documents share is sent once per block, and no pairs of documents are formed.
+    many documents share is sent once per block, and no pairs of documents are formed. An anchor with more than split
+    differing pieces, such as one at the edge of a passage that stands in many texts, has its windows dealt out by a second key that equal
+    windows share, a hash of the whole window, to so many keys that each gets about split of them.
     """
     blocks = _blocks(docs, block_bytes)
     if buckets is None:
@@ -267,11 +308,13 @@ def repeated_substrings(docs: DataFrame, window: int = 50, block_bytes: int = BL
                 yield _rows([b for b, _ in rows], [number] * len(rows), [x for _, x in rows])
 
     def repeated(bucket: pa.Table) -> pa.Table:
-        found = [unpacked(x, np.uint32, np.bool_) for x in bucket["data"].to_pylist()]
-        keys, counts = np.unique(np.concatenate([k for k, _ in found]), return_counts=True)
-        several = np.unique(np.concatenate([k[m] for k, m in found]))
-        hit = (counts > 1) | np.isin(keys, several)
-        masks = [np.packbits(hit[np.searchsorted(keys, k)]).tobytes() for k, _ in found]
+        found = [unpacked(x, np.uint32, np.bool_, np.uint32) for x in bucket["data"].to_pylist()]
+        keys, number, counts = np.unique(np.concatenate([k for k, _, _ in found]), return_inverse=True, return_counts=True)
+        several = np.unique(np.concatenate([k[m] for k, m, _ in found]))
+        kinds = np.bincount(number, weights=np.concatenate([n for _, _, n in found]))
+        parts = np.where(kinds > split, np.ceil(np.log2(kinds * (window - ANCHOR + 1) / split)), 0)
+        code = np.where((counts > 1) | np.isin(keys, several), 1 + parts, 0).astype(np.uint8)
+        masks = [packed(code[np.searchsorted(keys, k)]) for k, _, _ in found]
         return pa.Table.from_batches([_rows(bucket["bucket"].to_pylist(), bucket["block"].to_pylist(), masks)])
 
     def opened(left: pa.Table, right: pa.Table) -> tuple[int, Block]:

@@ -77,6 +77,39 @@ def test_one_passage_in_most_documents(spark):
     assert result(substrings.repeated_substrings(documents(spark, rows), block_bytes=4000)) == plain(rows)
 
 
+@pytest.mark.parametrize("split,block", [(1, 3000), (16, 9000), (16, 8 << 20)])
+def test_hot_anchors_are_split(spark, split, block):
+    rng = random.Random(3)
+    passage = "".join(rng.choices("klmnop ", k=140))
+    rows = []
+    for i in range(240):
+        own = "".join(rng.choices("abcdefghij", k=rng.randrange(30, 60)))
+        rows.append((i, own + passage[rng.choice([0, 0, 7]):] + (own[::-1] if i % 5 else own[:9])))
+    rows += [(300, rows[3][1]), (300, rows[4][1]), (None, rows[5][1]), (None, passage), (301, None)]
+    found = result(substrings.repeated_substrings(documents(spark, rows), block_bytes=block, split=split))
+    assert found == plain(rows)
+
+
+def test_windows_of_a_hot_anchor_go_to_many_keys():
+    rng = random.Random(4)
+    passage = "".join(rng.choices("klmnop ", k=120)).encode()
+    texts = ["".join(rng.choices("abcdefghij", k=40)).encode() + passage for _ in range(5000)]
+    data = substrings.packed(np.arange(5000), np.array([len(t) for t in texts]), np.frombuffer(b"".join(texts), np.uint8))
+    block = substrings.Block(data, 40, 50)
+    most, hot, masks = 0, 0, {}
+    for bucket, row in block.prints():
+        _, several, kinds = substrings.unpacked(row, np.uint32, np.bool_, np.uint32)
+        most, hot = max(most, int(kinds.max())), hot + int((kinds > 256).sum())
+        parts = np.where(kinds > 256, np.ceil(np.log2(kinds * 27 / 256)), 0)
+        masks[bucket] = substrings.packed(np.where(several, 1 + parts, 0).astype(np.uint8))
+    assert 4000 < most <= 5000 and hot < 20  # only anchors at the passage's edge
+    block.keep_repeated(masks)
+    pieces, number = block.pieces()
+    _, counts = np.unique((pieces.bucket << 32) | pieces.key, return_counts=True)
+    assert counts.max() < 600 and len(set(pieces.bucket.tolist())) == 40
+    assert len(number) == len(block.run_first)
+
+
 def test_long_text_and_shorter_window(spark):
     rows = [(1, "no repeats here at all, just text that goes on for a while 0123456789"), (2, "xy" * 150_000), (3, "z" + "xy" * 100)]
     found = result(substrings.repeated_substrings(documents(spark, rows)))
