@@ -1,5 +1,6 @@
 """Text quality from trusted positives and unlabelled text: non-negative unbiased risk (positive-unlabelled learning)."""
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,18 +76,26 @@ class Model:
         return _sigmoid(np.tanh(self.scaled(x) @ w + b) @ v + c)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, epochs: int = 40, batch: int = 512,
-        rate: float = 0.01, decay: float = 1e-4, seed: int = 7) -> Model:
-    """Minimise prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)) with the logistic loss.
+def risk_slope(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndarray:
+    """Slope of the risk by the outputs of positives and unlabelled rows, a batch of each, with the logistic loss.
 
-    Where the second part is negative on a batch, the step goes up that part instead, so that the network does
-    not learn the positives by heart.
+    The risk is prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)). Where the second part is negative, the slope
+    is that of the part itself turned round, so that a step goes up it and the network does not learn the positives by heart.
     """
+    negative = np.logaddexp(0, unlabelled).mean() - prior * np.logaddexp(0, positive).mean()
+    down = np.concatenate([-prior * _sigmoid(positive) / len(positive), _sigmoid(unlabelled) / len(unlabelled)])
+    if negative < 0:
+        return -down
+    return down + np.concatenate([-prior * _sigmoid(-positive) / len(positive), np.zeros(len(unlabelled))])
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, mean: np.ndarray, scale: np.ndarray, hidden: int = 16,
+        epochs: int = 40, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, seed: int = 7) -> Model:
+    """Minimise the non-negative risk (see risk_slope) over batches of positives and unlabelled rows."""
     if not len(positive) or not len(unlabelled):
         return Model(prior)
     rng = np.random.default_rng(seed)
-    both = np.concatenate([positive, unlabelled])
-    model = Model(prior, both.mean(axis=0), both.std(axis=0) + 1e-3)
+    model = Model(prior, mean, scale)
     p, u = model.scaled(positive), model.scaled(unlabelled)
     params = [rng.normal(0, 1 / np.sqrt(p.shape[1]), (p.shape[1], hidden)), np.zeros(hidden),
               rng.normal(0, 1 / np.sqrt(hidden), hidden), np.zeros(1)]
@@ -98,13 +107,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int
             x = np.concatenate([p[rng.integers(0, len(p), batch)], u[rng.integers(0, len(u), batch)]])
             inner = np.tanh(x @ params[0] + params[1])
             g = inner @ params[2] + params[3]
-            gp, gu = g[:batch], g[batch:]
-            negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-            down = np.concatenate([-prior * _sigmoid(gp), _sigmoid(gu)]) / batch
-            if negative >= 0:
-                slope = down + np.concatenate([-prior * _sigmoid(-gp), np.zeros(batch)]) / batch
-            else:
-                slope = -down
+            slope = risk_slope(g[:batch], g[batch:], prior)
             back = np.outer(slope, params[2]) * (1 - inner ** 2)
             grads = [x.T @ back, back.sum(axis=0), inner.T @ slope, np.array([slope.sum()])]
             for k, grad in enumerate(grads):
@@ -117,11 +120,59 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int
     return model
 
 
-def smallest_ratio(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Class prior from scores alone: the smallest ratio of the shares of unlabelled and positive rows above a threshold."""
-    levels = np.quantile(positive, np.linspace(0.05, 0.95, 19))
-    above = [(np.mean(unlabelled >= t) + 1 / len(unlabelled)) / max(1e-9, np.mean(positive >= t)) for t in levels]
-    return float(np.clip(min(above), 0.01, 0.99))
+#: Figures are summed as whole numbers of this unit, in two limbs, so that sums do not depend on the order of rows.
+UNIT, LIMB = 1 << 16, 1 << 24
+
+
+def spread(texts: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, and mean and standard deviation of each figure over all rows of a frame with a text column."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q = np.rint(np.array([features(t) for t in batch["text"].cast(pa.binary()).to_pylist()]) * UNIT).astype(np.int64)
+            high, low = q // LIMB, q % LIMB
+            sums = [np.full(WIDTH, len(q)), *(x.sum(axis=0) for x in (high, low, high * high, high * low, low * low))]
+            yield pa.RecordBatch.from_arrays([pa.array(range(WIDTH), pa.int32()), *(pa.array(x, pa.int64()) for x in sums)],
+                                             names=["figure", *SUMS])
+
+    parts = texts.select("text").mapInArrow(partial, "figure int, " + ", ".join(f"{c} long" for c in SUMS))
+    totals = parts.groupBy("figure").agg(*[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in SUMS])
+    rows = totals.orderBy("figure").collect()  # a row per figure
+    if not rows:
+        return 0, np.zeros(WIDTH), np.ones(WIDTH)
+    n = int(rows[0].n)
+    total = [int(r.high) * LIMB + int(r.low) for r in rows]
+    square = [(int(r.high2) * LIMB + 2 * int(r.both)) * LIMB + int(r.low2) for r in rows]
+    mean = np.array([t / (n * UNIT) for t in total])
+    variance = np.array([(n * s - t * t) / (n * UNIT) ** 2 for s, t in zip(square, total)])
+    return n, mean, np.sqrt(variance)
+
+
+SUMS = "n", "high", "low", "high2", "both", "low2"
+LEVELS = np.linspace(0.05, 0.95, 19)
+
+
+def shares_above(texts: DataFrame, model: Model, levels: np.ndarray, n: int) -> np.ndarray:
+    """Of all n rows of a frame with a text column, the share whose score reaches each level."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [features(t) for t in batch["text"].cast(pa.binary()).to_pylist()]
+            score = model.score(np.array(rows).reshape(-1, WIDTH))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(levels)), pa.int32()), pa.array([int((score >= t).sum()) for t in levels], pa.int64())],
+                names=["level", "n"])
+
+    counts = texts.select("text").mapInArrow(partial, "level int, n long").groupBy("level").agg(F.sum("n").alias("n"))
+    found = {r.level: r.n for r in counts.collect()}  # a row per level
+    return np.array([found.get(k, 0) for k in range(len(levels))]) / max(1, n)
+
+
+def smallest_ratio(positive: np.ndarray, unlabelled: np.ndarray, n: int) -> float:
+    """Class prior: the smallest ratio of the shares of the n unlabelled and of the positive rows that reach a level."""
+    return float(np.clip(np.min((unlabelled + 1 / n) / np.maximum(1e-9, positive)), 0.01, 0.99))
 
 
 def is_held_out(doc_id, folds: int = 5):
@@ -130,17 +181,17 @@ def is_held_out(doc_id, folds: int = 5):
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, folds: int = 5) -> Model:
-    """Fit on at most sample rows of trusted positives and at most sample unlabelled rows.
-
-    Trusted positives are rows of documents outside the held-out fold that are only ever labelled 1. Unlabelled are all
-    rows outside it; their labels are not looked at. Rows with equal doc_id and text count once, and of either kind those of
-    the smallest hashes of both are taken, so a doc_id with many texts has the share in the sample that it has among such
-    rows. The class prior is the share of 1 among the labelled documents outside the fold or, where none is labelled 0,
-    comes from the scores of a first fit. Only the sample's figures, sample times two rows of fixed width, reach the driver.
+    """Fit on trusted positives and unlabelled rows outside the held-out fold.
+
+    Trusted positives are rows of documents that are only ever labelled 1; labels 0 serve for nothing else. Unlabelled are all
+    rows; their labels are not looked at. Mean and spread of the figures are those of all unlabelled rows. The class prior is
+    the smallest ratio, over levels of the scores of a first fit with prior 0.5, of the share of all unlabelled rows and that of the
+    positives that reach the level. Only the steps of the fit, and the levels, see a sample: at most sample rows of either kind,
+    rows with equal doc_id and text once, those of the smallest hashes of both, so a doc_id with many texts has the share in it
+    that it has among such rows. Only the sample's figures, sample times two rows of fixed width, and a row per figure and per level
+    reach the driver.
     """
     marked = labels.filter(~is_held_out(F.col("doc_id"), folds)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marked = marked.filter("quality IS NOT NULL")
-    ones, known = marked.agg(F.count(F.when(F.col("quality") == 1, 1)), F.count(F.lit(1))).first()
     rank = F.xxhash64("doc_id", "hash"), F.col("doc_id"), F.col("hash")
     hashed = docs.filter(~is_held_out(F.col("doc_id"), folds)).select("doc_id", F.xxhash64("text").alias("hash"), "text")
     rows = saved(hashed.select("doc_id", "hash").distinct(), "rows")
@@ -161,12 +212,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, folds: int = 5
     figures = texts.select("kind", "doc_id", "hash", measured("text").alias("x")).toPandas().sort_values(
         ["kind", "doc_id", "hash"], kind="stable")
     part = [np.array(figures.x[figures.kind == k].tolist(), dtype=float).reshape(-1, WIDTH) for k in (1, 0)]
-    if known and ones < known:
-        return fit(*part, prior=ones / known)
-    model = fit(*part, prior=0.5)
-    if model.weights is None:
-        return model
-    return fit(*part, prior=smallest_ratio(model.score(part[0]), model.score(part[1])))
+    if not len(part[0]) or not len(part[1]):
+        return Model(0.5)
+    n, mean, deviation = spread(hashed)
+    scale = deviation + 1e-3
+    model = fit(*part, 0.5, mean, scale)
+    scores = model.score(part[0])
+    levels = np.quantile(scores, LEVELS)
+    prior = smallest_ratio(np.array([np.mean(scores >= t) for t in levels]), shares_above(hashed, model, levels, n), n)
+    return fit(*part, prior, mean, scale)
 
 
 def score_column(text, model: Model):
@@ -185,8 +239,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
 
     Scores use the text alone. NULL and empty texts have the figures of an empty text and are scored like any other;
     rows that repeat a doc_id are scored each by its own text. NULL labels are no labels, and a document labelled both 0
-    and 1 is no trusted positive. Without positives or documents to learn from, every score is 0.5 or the share of 1
-    among the labels. Other columns are ignored. An empty table gives no rows.
+    and 1 is no trusted positive. Without positives or documents to learn from, every score is 0.5. Other columns are ignored. An empty table gives no rows.
     """
     model = learn(docs, labels, sample, folds)
     scored = docs.select("doc_id", is_held_out(F.col("doc_id"), folds).alias("held_out"),

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -73,12 +74,78 @@ def test_one_doc_id_with_many_rows_takes_its_share_of_a_bounded_sample(spark, mo
         rows += [(i, rows[i][1])] * 30
     seen = []
     plain = quality.fit
-    monkeypatch.setattr(quality, "fit", lambda p, u, **more: (seen.append((p, u)), plain(p, u, **more))[1])
+    monkeypatch.setattr(quality, "fit", lambda p, u, *more: (seen.append((p, u)), plain(p, u, *more))[1])
     quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS), sample=60)
-    (positive, unlabelled), = seen
+    (positive, unlabelled), again = seen  # the fit for the prior, and the last one
+    assert np.array_equal(positive, again[0]) and np.array_equal(unlabelled, again[1])
     assert len(positive) == len(unlabelled) == 60
     assert len(np.unique(unlabelled, axis=0)) >= 55
     quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS))
     distinct = {r for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
     good = {i for i, y, _ in labels if y}
-    assert [len(x) for x in seen[1]] == [sum(i in good for i, _ in distinct), len(distinct)]
+    assert [len(x) for x in seen[2]] == [sum(i in good for i, _ in distinct), len(distinct)]
+
+
+def plain_risk(positive, unlabelled, prior):
+    loss = lambda z: math.log1p(math.exp(-z))
+    first = prior * sum(loss(z) for z in positive) / len(positive)
+    second = sum(loss(-z) for z in unlabelled) / len(unlabelled) - prior * sum(loss(-z) for z in positive) / len(positive)
+    return first, second
+
+
+@pytest.mark.parametrize("prior,shift", [(0.3, 0.0), (0.8, 1.0), (0.9, -3.0)])
+def test_slope_of_the_risk_by_differences(prior, shift):
+    rng = np.random.default_rng(3)
+    positive, unlabelled = rng.normal(1, 1, 7), rng.normal(shift, 1, 5)
+    slope = quality.risk_slope(positive, unlabelled, prior)
+    first, second = plain_risk(positive, unlabelled, prior)
+    for k in range(12):
+        moved = np.concatenate([positive, unlabelled])
+        moved[k] += 1e-6
+        a, b = plain_risk(moved[:7], moved[7:], prior)
+        # Above zero the slope of the whole risk, below it that of the second part turned round.
+        expected = (a - first + b - second if second >= 0 else second - b) / 1e-6
+        assert slope[k] == pytest.approx(expected, abs=1e-5)
+
+
+def test_statistics_prior_and_scores_by_brute_force(spark, monkeypatch):
+    rows, labels = corpus(500, seed=5)
+    rows += [(600, None), (601, ""), (None, "not learnt from"), (602, "x" * 70_000), (603, rows[3][1]), (3, rows[3][1])]
+    labels += [(600, 1, 0), (602, 1, 0), (602, 0, 0)]
+    fitted = []
+    plain = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *given: (fitted.append((given, plain(*given))), fitted[-1][1])[1])
+    model = quality.learn(documents(spark, rows, extra=True), spark.createDataFrame(labels, LABELS), sample=70)
+    learnt = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 5]
+    table = np.array([quality.features((t or "").encode()) for t in learnt])
+    assert np.allclose(model.mean, table.mean(axis=0), atol=1e-4)
+    assert np.allclose(model.scale, table.std(axis=0) + 1e-3, atol=1e-3)
+
+    def score(model, x):
+        w, b, v, c = model.weights
+        x = [min(5.0, max(-5.0, (f - m) / s)) for f, m, s in zip(x, model.mean, model.scale)]
+        hidden = [math.tanh(sum(f * r for f, r in zip(x, w[:, h])) + b[h]) for h in range(len(b))]
+        return 1 / (1 + math.exp(-(sum(h * r for h, r in zip(hidden, v)) + c[0])))
+
+    (given, first), (_, last) = fitted
+    positives = sorted(score(first, x) for x in given[0])
+    ratios = []
+    for level in np.quantile(positives, quality.LEVELS):
+        above = sum(score(first, x) >= level - 1e-12 for x in table)
+        ratios.append((above + 1) / len(table) / (sum(p >= level - 1e-12 for p in positives) / len(positives)))
+    assert last.prior == pytest.approx(min(1 - 0.01, min(ratios)), abs=2 / len(table))
+    good = sum(y for i, y, _ in labels[:500]) / 500
+    assert abs(last.prior - good) < 0.15
+    docs = documents(spark, rows)
+    found = docs.select("text", quality.score_column(docs.text, model).alias("score")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.score == pytest.approx(score(model, quality.features((r.text or "").encode())), abs=1e-9)
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    rows, _ = corpus(200)
+    one, many = (quality.spread(documents(spark, rows).repartition(k)) for k in (1, 9))
+    assert one[0] == many[0] == 200
+    assert np.array_equal(one[1], many[1]) and np.array_equal(one[2], many[2])
+    assert quality.spread(documents(spark, []).filter("false"))[0] == 0
