@@ -15,6 +15,13 @@ def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def hash_order(doc_id: str, text: str, seed: str):
+    """A number below 2^60 from a hash of seed, doc_id and text."""
+    parts = F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")))
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), *parts)), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")
+
+
 def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3) -> DataFrame:
     """One row per source: source_no (by code point from 1, NULL last), n_docs, source_size, target.
 
@@ -46,18 +53,18 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epo
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """How many words of each document a mix takes: doc_id, source, size, source_size, target, taken.
 
-    Documents of a source are put in the order of a hash of seed and doc_id. The order is cut into as many equal
+    Documents of a source are put in the order of a hash of seed, doc_id and text, so that rows that share a doc_id, or
+    have none, lie apart like any others. The order is cut into as many equal
     ranges of the hash as the square root of the source's documents, so that neither a range nor the list of a
     source's ranges is large, however large the source is. Sums inside ranges and over ranges give each document
     the words before it. The target, rounded to whole words, takes whole epochs first; the rest takes documents
     in order, and cuts the last one. So a source's taken words equal its rounded target.
 
-    NULL texts have size 0, NULL sources are a source of their own, NULL doc_ids are hashed as empty text.
-    Equal doc_ids are ordered by size. All other columns of docs are ignored. An empty table gives no rows.
+    NULL texts have size 0, NULL sources are a source of their own, NULL doc_ids and texts are hashed as empty text.
+    Rows of equal doc_id and text follow each other. All other columns of docs are ignored. An empty table gives no rows.
     """
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15)
     sized = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              F.conv(digits, 16, 10).cast("long").alias("order")), "sized")
+                              hash_order("doc_id", "text", seed).alias("order")), "sized")
     sources = source_targets(sized, weights, max_epochs)
     wide = F.ceil(F.sqrt("n_docs"))
     placed = sized.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
@@ -89,7 +96,7 @@ def epochs_of(mixed: DataFrame) -> DataFrame:
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS pos
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS pos
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS s,

@@ -9,9 +9,10 @@ from tests.llm.helpers import documents
 
 
 def plain(rows, weights=(5, 2, 1), most=3):
-    sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t, s in rows]
-    names = sorted({s for _, s, _ in sized if s is not None}) + [None] * any(s is None for _, s, _ in sized)
-    size = {s: sum(n for _, x, n in sized if x == s) for s in names}
+    digest = lambda x: hashlib.md5(x.encode()).hexdigest()
+    sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), digest(t or "")) for i, t, s in rows]
+    names = sorted({r[1] for r in sized if r[1] is not None}) + [None] * any(r[1] is None for r in sized)
+    size = {s: sum(r[2] for r in sized if r[1] == s) for s in names}
     weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
     total, full = sum(size.values()), set()
     while True:
@@ -28,8 +29,8 @@ def plain(rows, weights=(5, 2, 1), most=3):
         left = math.floor(target[s] + 0.5)
         whole = left // size[s] if size[s] else 0
         left -= whole * size[s]
-        key = lambda r: (hashlib.md5(f"mix:{'' if r[0] is None else r[0]}".encode()).hexdigest()[:15], r[0] or 0, r[2])
-        for i, _, n in sorted((r for r in sized if r[1] == s), key=key):
+        key = lambda r: (digest(f"mix:{'' if r[0] is None else r[0]}:{r[3]}")[:15], r[0] or 0, r[2])
+        for i, _, n, _ in sorted((r for r in sized if r[1] == s), key=key):
             out.append((i, s, n, size[s], target[s], whole * n + max(0, min(left, n))))
             left -= n
     return sorted(out, key=repr)
@@ -62,3 +63,13 @@ def test_epochs_add_up(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(documents(spark, []).filter("false")).collect() == []
+
+
+def test_rows_of_one_or_no_doc_id_lie_apart(spark):
+    rows = [(None if i % 3 else 7, f"w{i} " * (i % 5) + str(i), "hot") for i in range(900)]
+    docs = documents(spark, rows)
+    places = [r.at for r in docs.select(mixing.hash_order("doc_id", "text", "mix").alias("at")).collect()]
+    slices = [p * 30 >> 60 for p in places]
+    assert len(set(places)) == 900 and max(slices.count(k) for k in range(30)) < 60
+    found = mixing.mix(docs).collect()
+    assert sorted(((r.doc_id, r.source, r.size, r.source_size, r.target, r.taken) for r in found), key=repr) == plain(rows)
