@@ -13,27 +13,22 @@ PAGE = 256
 PIVOTS = 128
 QUERY_BLOCK = 2048
 BEST_FIRST = 4
-#: Bound of whole_numbers where its caller wants one; op6_mtree sets none.
-LARGEST = 1 << 24
 #: Below this squared norm all sums of products are exact in floats.
 NARROW = 1 << 51
 
 PAGES = ("pivot int, to_pivot double, radius double, center binary, vectors binary, to_center binary, ids array<array<long>>")
 
 
-def whole_numbers(vector: Column, scale: int = 256, largest: int | None = LARGEST) -> Column:
+def whole_numbers(vector: Column, scale: int = 256) -> Column:
     """floor(scale * component) of each component; NULL where the vector or a component is NULL or not finite.
 
-    With a bound, components beyond it are set to it. Without one they are whole numbers in doubles: those hold the floor
-    of any float exactly, as beyond 2^53 a double is a whole number already.
+    They are whole numbers in doubles, which hold the floor of any float exactly: beyond 2^53 a double is a whole number already.
     """
     wrong = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
 
     def whole(x: Column) -> Column:
         y = x.cast("double") * scale
-        if largest is None:
-            return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
-        return F.greatest(F.least(F.floor(y), F.lit(largest)), F.lit(-largest)).cast("int")
+        return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
 
     return F.when(~wrong, F.transform(vector, whole))
 

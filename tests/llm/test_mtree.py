@@ -1,4 +1,5 @@
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ def plain(rows, every, k=5):
     whole = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and abs(x) < float("inf") for x in v):
-            whole.append((i, tuple(max(-mtree.LARGEST, min(mtree.LARGEST, int((256 * x) // 1))) for x in v)))
+            single = [struct.unpack("f", struct.pack("f", x))[0] for x in v]
+            whole.append((i, tuple(int((256 * x) // 1) for x in single)))
     whole = sorted(set(whole))
     out = []
     for q, x in whole:
@@ -28,7 +30,7 @@ def plain(rows, every, k=5):
                 if (s, i) not in seen:
                     rank += 1
                     seen.add((s, i))
-                    out.append((q, rank, i, -s))
+                    out.append((q, rank, i, -s if -1 << 63 <= -s < 1 << 63 else None))
     return sorted(out)
 
 
@@ -41,8 +43,6 @@ def vectors(n, seed=1):
 @pytest.mark.parametrize("block,page,pivots", [(2048, 256, 128), (9, 16, 4)])
 def test_as_by_brute_force(spark, monkeypatch, block, page, pivots):
     monkeypatch.setattr(mtree, "PAGE", page)
-    import struct
-
     rows = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in vectors(400)]
     rows += [(i, [0.5] * 12) for i in range(400, 460)]  # one vector many times: ties to the smaller id
     rows += [(460, None), (470, [1.0, None] + [0.0] * 10), (480, [float("nan")] * 12), (490, [float("inf")] * 12), (None, [1.0] * 12),
@@ -82,14 +82,12 @@ def test_repeated_rows_among_equal_vectors(spark):
 
 @pytest.mark.parametrize("largest", [100_000.0, 6.0e7, 3.0e38])
 def test_no_component_is_bounded(spark, largest):
-    import struct
-
     rng = random.Random(4)
     rows = [(i, [rng.uniform(-largest, largest) if i % 3 else rng.gauss(0, 1) for _ in range(6)]) for i in range(700)]
     rows += [(700 + i, [largest, -largest, 0.5 * i, -1.0, 1.0, 0.0]) for i in range(30)]  # equal but for their last bits
     rows = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in rows + [(730, [100_000.0])] + rows[:20]]
     df = spark.createDataFrame([(i, v, 1, "x", "y", "z") for i, v in rows], TABLE).repartition(3)
-    df = df.select("vec_id", mtree.whole_numbers(F.col("embedding"), largest=None).alias("x"))
+    df = df.select("vec_id", mtree.whole_numbers(F.col("embedding")).alias("x"))
     whole = {i: [int(x) * 256 if abs(x) >= 1 << 53 else int((256 * x) // 1) for x in v] for i, v in rows}
     assert whole[730] == [25_600_000]
     expected = []
