@@ -69,7 +69,10 @@ def newest_as_columns(df: DataFrame, keys, by, value: str, names: Sequence[str],
 
 
 def one_per_key(df: DataFrame, keys, columns: Sequence[str]) -> DataFrame:
-    """One row per key of a table without a version column: the largest row, as an aggregate."""
+    """One row per key of a table without a version column: the largest row by these columns in turn, NULLs last.
+
+    As a ranking, a task sends one row of a key on, and texts are compared only where the columns before them are equal.
+    """
     keys = _names(keys)
-    picked = df.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    rows = df.select(*dict.fromkeys([*keys, *columns]))
+    return _top(rows, keys, [_descending(c, "last") for c in columns], 1, None).select(*keys, *columns)
