@@ -170,9 +170,15 @@ def shares_above(texts: DataFrame, model: Model, levels: np.ndarray, n: int) ->
     return np.array([found.get(k, 0) for k in range(len(levels))]) / max(1, n)
 
 
-def smallest_ratio(positive: np.ndarray, unlabelled: np.ndarray, n: int) -> float:
-    """Class prior: the smallest ratio of the shares of the n unlabelled and of the positive rows that reach a level."""
-    return float(np.clip(np.min((unlabelled + 1 / n) / np.maximum(1e-9, positive)), 0.01, 0.99))
+def smallest_ratio(positive: np.ndarray, unlabelled: np.ndarray, m: int, n: int) -> float:
+    """Class prior: ratio of the shares of n unlabelled and m positive rows that reach a level, where it is surely smallest.
+
+    The level is that of the smallest ratio plus its confidence width (95 %), which grows where few positives are left.
+    """
+    positive = np.maximum(1 / m, positive)
+    width = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(n) + 1 / np.sqrt(m)) / positive
+    ratio = unlabelled / positive
+    return float(np.clip(ratio[np.argmin(ratio + width)], 0.01, 0.99))
 
 
 def is_held_out(doc_id, folds: int = 5):
@@ -185,8 +191,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, folds: int = 5
 
     Trusted positives are rows of documents that are only ever labelled 1; labels 0 serve for nothing else. Unlabelled are all
     rows; their labels are not looked at. Mean and spread of the figures are those of all unlabelled rows. The class prior is
-    the smallest ratio, over levels of the scores of a first fit with prior 0.5, of the share of all unlabelled rows and that of the
-    positives that reach the level. Only the steps of the fit, and the levels, see a sample: at most sample rows of either kind,
+    the surely smallest ratio, over levels of the scores of a first fit with prior 0.5 and every other positive, of the share of all
+    unlabelled rows and that of the remaining positives that reach the level. Only the steps of the fit, and the levels, see a sample: at most sample rows of either kind,
     rows with equal doc_id and text once, those of the smallest hashes of both, so a doc_id with many texts has the share in it
     that it has among such rows. Only the sample's figures, sample times two rows of fixed width, and a row per figure and per level
     reach the driver.
@@ -216,10 +222,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, folds: int = 5
         return Model(0.5)
     n, mean, deviation = spread(hashed)
     scale = deviation + 1e-3
-    model = fit(*part, 0.5, mean, scale)
-    scores = model.score(part[0])
+    # Every other positive is kept from the first fit, as its own positives score too high.
+    model = fit(part[0][::2], part[1], 0.5, mean, scale)
+    scores = model.score(part[0][1::2] if len(part[0]) > 1 else part[0])
     levels = np.quantile(scores, LEVELS)
-    prior = smallest_ratio(np.array([np.mean(scores >= t) for t in levels]), shares_above(hashed, model, levels, n), n)
+    reached = np.array([np.mean(scores >= t) for t in levels])
+    prior = smallest_ratio(reached, shares_above(hashed, model, levels, n), len(scores), n)
     return fit(*part, prior, mean, scale)
 
 

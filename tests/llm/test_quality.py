@@ -76,14 +76,14 @@ def test_one_doc_id_with_many_rows_takes_its_share_of_a_bounded_sample(spark, mo
     plain = quality.fit
     monkeypatch.setattr(quality, "fit", lambda p, u, *more: (seen.append((p, u)), plain(p, u, *more))[1])
     quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS), sample=60)
-    (positive, unlabelled), again = seen  # the fit for the prior, and the last one
-    assert np.array_equal(positive, again[0]) and np.array_equal(unlabelled, again[1])
+    (half, same), (positive, unlabelled) = seen  # the fit for the prior, and the last one
+    assert np.array_equal(half, positive[::2]) and np.array_equal(same, unlabelled)
     assert len(positive) == len(unlabelled) == 60
     assert len(np.unique(unlabelled, axis=0)) >= 55
     quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS))
     distinct = {r for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
     good = {i for i, y, _ in labels if y}
-    assert [len(x) for x in seen[2]] == [sum(i in good for i, _ in distinct), len(distinct)]
+    assert [len(x) for x in seen[3]] == [sum(i in good for i, _ in distinct), len(distinct)]
 
 
 def plain_risk(positive, unlabelled, prior):
@@ -127,13 +127,15 @@ def test_statistics_prior_and_scores_by_brute_force(spark, monkeypatch):
         hidden = [math.tanh(sum(f * r for f, r in zip(x, w[:, h])) + b[h]) for h in range(len(b))]
         return 1 / (1 + math.exp(-(sum(h * r for h, r in zip(hidden, v)) + c[0])))
 
-    (given, first), (_, last) = fitted
-    positives = sorted(score(first, x) for x in given[0])
+    (_, first), (given, last) = fitted
+    positives = sorted(score(first, x) for x in given[0][1::2])
     ratios = []
     for level in np.quantile(positives, quality.LEVELS):
-        above = sum(score(first, x) >= level - 1e-12 for x in table)
-        ratios.append((above + 1) / len(table) / (sum(p >= level - 1e-12 for p in positives) / len(positives)))
-    assert last.prior == pytest.approx(min(1 - 0.01, min(ratios)), abs=2 / len(table))
+        share = max(1, sum(p >= level - 1e-12 for p in positives)) / len(positives)
+        above = sum(score(first, x) >= level - 1e-12 for x in table) / len(table)
+        width = math.sqrt(math.log(40) / 2) * (len(table) ** -0.5 + len(positives) ** -0.5) / share
+        ratios.append((above / share + width, above / share))
+    assert last.prior == pytest.approx(min(0.99, min(ratios)[1]), abs=3 / len(table))
     good = sum(y for i, y, _ in labels[:500]) / 500
     assert abs(last.prior - good) < 0.15
     docs = documents(spark, rows)
