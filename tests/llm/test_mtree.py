@@ -1,6 +1,8 @@
+import math
 import random
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,9 @@ def vectors(n, seed=1):
 @pytest.mark.parametrize("block,page,pivots", [(2048, 256, 128), (9, 16, 4)])
 def test_as_by_brute_force(spark, monkeypatch, block, page, pivots):
     monkeypatch.setattr(mtree, "PAGE", page)
+    monkeypatch.setattr(mtree, "FANOUT", 16 if page == 256 else 3)
+    monkeypatch.setattr(mtree, "BLOCK_BYTES", mtree.BLOCK_BYTES if page == 256 else 1)  # several blocks
+    monkeypatch.setattr(mtree, "PAGES_AT_ONCE", 512 if page == 256 else 7)
     rows = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in vectors(400)]
     rows += [(i, [0.5] * 12) for i in range(400, 460)]  # one vector many times: ties to the smaller id
     rows += [(460, None), (470, [1.0, None] + [0.0] * 10), (480, [float("nan")] * 12), (490, [float("inf")] * 12), (None, [1.0] * 12),
@@ -52,6 +57,50 @@ def test_as_by_brute_force(spark, monkeypatch, block, page, pivots):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == plain(rows, 10)
 
 
+def tree(spark, monkeypatch, n):
+    """Pages over n vectors that lie along a curve, and the space, pivots and matrix of the vectors."""
+    monkeypatch.setattr(mtree, "PAGE", 16)
+    monkeypatch.setattr(mtree, "FANOUT", 4)
+    rng = random.Random(n)
+    points = [rng.uniform(0, 6.28) for _ in range(n)]
+    rows = [(i, [math.cos(t), math.sin(t), math.cos(2 * t), math.sin(3 * t)]) for i, t in enumerate(points)]
+    df = frames(spark, rows).select("x", F.array("vec_id").alias("ids"))
+    vectors = [r.x for r in df.orderBy("ids").collect()]
+    space = mtree.Space(4, max(sum(v * v for v in x) for x in vectors))
+    matrix = space.matrix(vectors)
+    pivots = matrix[:mtree.pivot_count(n)]
+    return mtree.build(df, space, pivots), space, pivots, matrix
+
+
+def test_radii_and_parent_distances_hold(spark, monkeypatch):
+    index, space, pivots, matrix = tree(spark, monkeypatch, 900)
+    held, seen, nodes = index.collect(), [], {}
+    for p in held:
+        center, node, rows = (np.frombuffer(p[c], space.kind).reshape(-1, 4) for c in ("center", "node_center", "vectors"))
+        assert np.allclose(space.apart(rows, center)[:, 0], np.frombuffer(p["to_center"])) and len(rows) <= 16
+        assert space.apart(rows, center).max() <= p["radius"] + 1e-3 and space.apart(rows, node).max() <= p["node_radius"] + 1e-3
+        assert np.isclose(space.apart(center, node)[0, 0], p["to_node"])
+        assert np.isclose(space.apart(node, pivots[p["pivot"]:p["pivot"] + 1])[0, 0], p["node_to_pivot"])
+        seen += [i for ids in p["ids"] for i in ids]
+        key = p["pivot"], p["node"], p["node_center"]
+        nodes[key] = nodes.get(key, 0) + 1
+    assert sorted(seen) == list(range(900)) and max(nodes.values()) <= 4
+
+
+def test_visits_grow_slower_than_the_vectors(spark, monkeypatch):
+    cost = {}
+    for n in (1_000, 8_000):
+        index, space, pivots, matrix = tree(spark, monkeypatch, n)
+        held = [r.asDict() for r in index.collect()]
+        best = mtree.search(space, pivots, matrix[:100], np.arange(100), 5, np.full(100, -np.inf), held, False)
+        score = space.product(matrix[:100], matrix)
+        score[np.arange(100), np.arange(100)] = -np.inf
+        assert (best.score.reshape(100, 5) == -np.sort(-score, axis=1)[:, :5]).all()
+        cost[n] = best.distances / 100
+        assert best.pages / 100 < len(held) / 5
+    assert cost[1_000] < 500 and cost[8_000] < 4 * cost[1_000]
+
+
 def test_few_and_no_rows(spark):
     one = frames(spark, [(0, [1.0, 2.0])])
     assert mtree.top_k(one, one).collect() == []
