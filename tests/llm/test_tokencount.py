@@ -1,6 +1,8 @@
+import math
 import random
 
 import pytest
+import sentencepiece
 
 from loanfold.llm import tokencount
 from tests.llm.helpers import documents
@@ -19,7 +21,10 @@ def plain(word, scores):
     return best[-1][1]
 
 
-def test_as_by_brute_force(spark):
+@pytest.mark.parametrize("kept,sliced", [(tokencount.KEPT_CHARACTERS, tokencount.SLICE_BYTES), (20, 60), (10_000, 60)])
+def test_as_by_brute_force(spark, monkeypatch, kept, sliced):
+    monkeypatch.setattr(tokencount, "KEPT_CHARACTERS", kept)
+    monkeypatch.setattr(tokencount, "SLICE_BYTES", sliced)
     scores = tokencount.piece_scores(MODEL)
     rng = random.Random(2)
     words = ["the", "there", "thereafter", "Übung", "naïve", "日本語", "x" * 40, "\n", "a\tb", "😀", "1234", "word,"]
@@ -40,3 +45,47 @@ def test_ties_take_the_longest_last_piece(scores):
     words = ["a" * n for n in range(1, 7)] + ["abc", "abcabc", "ab", "zab"]
     found = tokencount.terminal_counts(words, tokencount.endings(scores), min(scores.values()) - tokencount.PENALTY)
     assert found == {w: plain(w, scores) for w in words}
+
+
+def test_model_type_is_read_from_the_file():
+    proto = sentencepiece.SentencePieceProcessor(model_file=MODEL).serialized_model_proto()
+    assert tokencount.model_type(proto) == tokencount.MERGE_RANKS
+    piece = b"\x0a\x05\x0a\x03abc"
+    assert tokencount.model_type(piece) == 1
+    assert tokencount.model_type(piece + b"\x12\x06\x12\x02xy\x18\x03") == 3
+    assert tokencount.model_type(piece + b"\x12\x07\x15\x00\x00\x80\x3f\x18\x02") == 2
+
+
+def test_no_piece_of_low_score_is_dropped():
+    file = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    low = [file.id_to_piece(i) for i in range(file.vocab_size()) if file.get_score(i) <= -1e6 and not file.is_byte(i)]
+    scores = tokencount.piece_scores(MODEL)
+    assert low and set(low) <= set(scores) and max(scores[p] for p in low) < -9
+
+
+def test_scores_of_a_unigram_model_are_taken_as_they_are(monkeypatch):
+    class File:
+        pieces = [("<unk>", 0.0), ("a", -1.5), ("rare", -2e6), ("b", -250.0), ("none", -math.inf)]
+
+        def __init__(self, model_file):
+            pass
+
+        def vocab_size(self):
+            return len(self.pieces)
+
+        def id_to_piece(self, i):
+            return self.pieces[i][0]
+
+        def get_score(self, i):
+            return self.pieces[i][1]
+
+        def is_unknown(self, i):
+            return i == 0
+
+        def serialized_model_proto(self):
+            return b"\x12\x02\x18\x01"
+
+        is_control = is_byte = is_unused = lambda self, i: False
+
+    monkeypatch.setattr(tokencount.sentencepiece, "SentencePieceProcessor", File)
+    assert tokencount.piece_scores("any") == {"a": -1.5, "rare": -2e6, "b": -250.0}
