@@ -31,11 +31,11 @@ def test_as_by_brute_force(spark, monkeypatch, kept, sliced):
     rows = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 30)))) for i in range(60)]
     rows += [(60, None), (61, ""), (62, " "), (63, "a  b "), (None, "the there"), (3, rows[3][1]), (64, "thereafter " * 40_000)]
     found = tokencount.count_tokens(documents(spark, rows, extra=True), MODEL).collect()
-    known = {}
+    known = {w: plain(w, scores) for w in {"▁" + w for _, t in rows if t for w in t.split(" ")}}
     expected = []
     for i, t in rows:
         split = ["▁" + w for w in t.split(" ")] if t else []
-        expected.append((i, len(split), sum(known.setdefault(w, plain(w, scores)) for w in split)))
+        expected.append((i, len(split), sum(known[w] for w in split)))
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
     assert tokencount.count_tokens(documents(spark, []).filter("false"), MODEL).collect() == []
 
