@@ -11,6 +11,7 @@ from loanfold.bindings.raw import raw_tables
 ORDERS = (3, 2_305_842, 2_305_843, 5_000_003, 9_000_001)
 QUERIES = (
     "g10_early_warning_chained",
+    "c13_tenure_metrics",
 )
 
 
