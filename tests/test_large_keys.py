@@ -12,6 +12,7 @@ ORDERS = (3, 2_305_842, 2_305_843, 5_000_003, 9_000_001)
 QUERIES = (
     "g10_early_warning_chained",
     "c13_tenure_metrics",
+    "c15_effective_roi",
 )
 
 
