@@ -13,6 +13,7 @@ QUERIES = (
     "g10_early_warning_chained",
     "c13_tenure_metrics",
     "c15_effective_roi",
+    "c24_instalment_payments",
 )
 
 
