@@ -14,6 +14,7 @@ QUERIES = (
     "c13_tenure_metrics",
     "c15_effective_roi",
     "c24_instalment_payments",
+    "c25_is_overdue",
 )
 
 
