@@ -15,6 +15,7 @@ QUERIES = (
     "c15_effective_roi",
     "c24_instalment_payments",
     "c25_is_overdue",
+    "c26_dpd_trend",
 )
 
 
