@@ -16,6 +16,7 @@ QUERIES = (
     "c24_instalment_payments",
     "c25_is_overdue",
     "c26_dpd_trend",
+    "c29_non_starter",
 )
 
 
