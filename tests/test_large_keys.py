@@ -17,6 +17,7 @@ QUERIES = (
     "c25_is_overdue",
     "c26_dpd_trend",
     "c29_non_starter",
+    "c42_tranche_summary",
 )
 
 
