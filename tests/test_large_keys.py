@@ -18,6 +18,7 @@ QUERIES = (
     "c26_dpd_trend",
     "c29_non_starter",
     "c42_tranche_summary",
+    "c46_engagement_label",
 )
 
 
