@@ -19,6 +19,7 @@ QUERIES = (
     "c29_non_starter",
     "c42_tranche_summary",
     "c46_engagement_label",
+    "c47_existing_obligations",
 )
 
 
