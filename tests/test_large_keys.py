@@ -20,6 +20,7 @@ QUERIES = (
     "c42_tranche_summary",
     "c46_engagement_label",
     "c47_existing_obligations",
+    "j10_coalesced_key_join",
 )
 
 
