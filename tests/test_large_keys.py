@@ -21,6 +21,7 @@ QUERIES = (
     "c46_engagement_label",
     "c47_existing_obligations",
     "j10_coalesced_key_join",
+    "g3_contract_perf_monthly",
 )
 
 
