@@ -22,6 +22,7 @@ QUERIES = (
     "c47_existing_obligations",
     "j10_coalesced_key_join",
     "g3_contract_perf_monthly",
+    "g12_enquiry",
 )
 
 
