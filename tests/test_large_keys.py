@@ -23,6 +23,7 @@ QUERIES = (
     "j10_coalesced_key_join",
     "g3_contract_perf_monthly",
     "g12_enquiry",
+    "g13_loan_processing",
 )
 
 
