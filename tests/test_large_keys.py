@@ -24,6 +24,7 @@ QUERIES = (
     "g3_contract_perf_monthly",
     "g12_enquiry",
     "g13_loan_processing",
+    "g6_repayment_behavior",
 )
 
 
