@@ -25,6 +25,7 @@ QUERIES = (
     "g12_enquiry",
     "g13_loan_processing",
     "g6_repayment_behavior",
+    "c43_lead_followups",
 )
 
 
