@@ -26,6 +26,7 @@ QUERIES = (
     "g13_loan_processing",
     "g6_repayment_behavior",
     "c43_lead_followups",
+    "g1_loan_details",
 )
 
 
