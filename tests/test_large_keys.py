@@ -27,6 +27,7 @@ QUERIES = (
     "g6_repayment_behavior",
     "c43_lead_followups",
     "g1_loan_details",
+    "g10_early_warning",
 )
 
 
