@@ -28,6 +28,7 @@ QUERIES = (
     "c43_lead_followups",
     "g1_loan_details",
     "g10_early_warning",
+    "g11_branch_historical_chained",
 )
 
 
