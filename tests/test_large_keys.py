@@ -29,6 +29,7 @@ QUERIES = (
     "g1_loan_details",
     "g10_early_warning",
     "g11_branch_historical_chained",
+    "g2_customer",
 )
 
 
