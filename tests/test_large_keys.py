@@ -30,6 +30,7 @@ QUERIES = (
     "g10_early_warning",
     "g11_branch_historical_chained",
     "g2_customer",
+    "g7_employee_chained",
 )
 
 
