@@ -31,6 +31,7 @@ QUERIES = (
     "g11_branch_historical_chained",
     "g2_customer",
     "g7_employee_chained",
+    "g8_branch_chained",
 )
 
 
