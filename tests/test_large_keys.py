@@ -32,6 +32,7 @@ QUERIES = (
     "g2_customer",
     "g7_employee_chained",
     "g8_branch_chained",
+    "g9_collections_daily_chained",
 )
 
 
