@@ -41,6 +41,7 @@ FAR_QUERIES = (
     "c24_instalment_payments",
     "c13_tenure_metrics",
     "c15_effective_roi",
+    "c25_is_overdue",
 )
 
 
