@@ -42,6 +42,7 @@ FAR_QUERIES = (
     "c13_tenure_metrics",
     "c15_effective_roi",
     "c25_is_overdue",
+    "c26_dpd_trend",
 )
 
 
