@@ -43,6 +43,7 @@ FAR_QUERIES = (
     "c15_effective_roi",
     "c25_is_overdue",
     "c26_dpd_trend",
+    "c29_non_starter",
 )
 
 
