@@ -49,6 +49,7 @@ FAR_QUERIES = (
     "c47_existing_obligations",
     "g10_early_warning",
     "g11_branch_historical_chained",
+    "g12_enquiry",
 )
 
 
