@@ -51,6 +51,7 @@ FAR_QUERIES = (
     "g11_branch_historical_chained",
     "g12_enquiry",
     "g13_loan_processing",
+    "g1_loan_details",
 )
 
 
