@@ -52,6 +52,7 @@ FAR_QUERIES = (
     "g12_enquiry",
     "g13_loan_processing",
     "g1_loan_details",
+    "g2_customer",
 )
 
 
