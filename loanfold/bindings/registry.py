@@ -7,14 +7,17 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
+from ..session import sized_session
 from ..sources.tables import Tables
-from .raw import RAW, raw_sql, raw_tables, source_tables
+from .raw import RAW, SOURCES, raw_sql, raw_tables, source_tables
 
 
 class Inputs:
     """What a query may read: the test tables, and the loan tables derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, raw: Tables | None = None):
+        if raw is None:
+            spark = sized_session(spark, [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in SOURCES])
         self.spark, self.sf_dir = spark, sf_dir
         self.sources: Tables = source_tables(spark, sf_dir)
         self.raw: Tables = raw or raw_tables(spark, sf_dir, self.sources)

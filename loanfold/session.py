@@ -2,11 +2,16 @@
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of input files for each shuffle partition. Its rows are wider once they are read and joined: by the loan tables some 30 times.
+BYTES_A_PARTITION = 1 << 20
+#: Most bytes that a task of a sized session reads: of files, and of shuffled rows where Spark merges partitions.
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 4 << 20}
+
 #: Folders made below the shared one since the outermost scratch() began.
 _made: list[str] = []
 #: Temporary folders of sessions on one machine; they go when Python ends.
@@ -29,6 +34,43 @@ def local_session(cpus: int = 8, name: str = "loanfold", memory: str = "8g") ->
     return spark
 
 
+def sized_session(spark: SparkSession, files: Iterable[str]) -> SparkSession:
+    """The given session, or one beside it whose shuffle partitions are as many as these input files ask for.
+
+    A task sorts a partition of each side of a join at once. With too few partitions each sort spills many times, and the
+    buffers of the spilled parts fill the heap. The session beside it has the same catalog and settings, but for this number
+    and smaller tasks; the given session is left as it is.
+    """
+    wanted = -(-sum(map(_bytes_of(spark), files)) // BYTES_A_PARTITION)
+    if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return spark
+    sized = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if sized.conf.get(key, None) != value:
+            sized.conf.set(key, value)
+    sized.conf.set("spark.sql.shuffle.partitions", wanted)
+    for key, most in TASK_BYTES.items():
+        sized.conf.set(key, min(most, _conf_bytes(spark, key)))
+    return sized
+
+
+def _bytes_of(spark: SparkSession) -> Callable[[str], int]:
+    """Gives the bytes of a file or folder; 0 where there is none."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def size(name: str) -> int:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(hadoop)
+        return system.getContentSummary(path).getLength() if system.exists(path) else 0
+
+    return size
+
+
+def _conf_bytes(spark: SparkSession, key: str) -> int:
+    """A size setting in bytes, whatever its unit."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. On one machine, where it is unset, a temporary folder."""
     context = spark.sparkContext
