@@ -86,3 +86,14 @@ def test_a_sized_session_keeps_the_settings(spark, small, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("given, held", [("-1", "-1"), ("256k", "262144"), ("10MB", "1048576")])
+def test_a_sized_session_broadcasts_no_more_than_the_one_given(spark, small, monkeypatch, given, held):
+    monkeypatch.setattr(session, "BYTES_A_PARTITION", 512)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", given)
+    try:
+        assert Inputs(spark, small).spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == held
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == given
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
